@@ -37,4 +37,4 @@ def hash_key(*parts: Column) -> Column:
 def published_key(key: Column) -> Column:
     """Signed internal key -> the reference's unsigned value as decimal(20,0)."""
     d = key.cast("decimal(20,0)")
-    return F.when(key < 0, (d + F.lit(_TWO_POW_64).cast("decimal(20,0)")).cast("decimal(20,0)")).otherwise(d)
+    return F.when(key < 0, (d + F.lit(str(_TWO_POW_64)).cast("decimal(20,0)")).cast("decimal(20,0)")).otherwise(d)
