@@ -456,3 +456,96 @@ ORDER BY t."TeamHomeID" ASC, w."Precipitation" ASC NULLS LAST""",
 
 def oracle_queries() -> dict[str, str]:
     return {k: with_models(v) for k, v in QUERIES.items()}
+
+
+# --- ingest, work lists, enrichment, upsert, quality ---------------------------
+
+_NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+       "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+_NA_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in _NA)
+_VENUE_COLS = ["venueId", "fullName", "shortName", "capacity", "city", "country", "latitude", "longitude"]
+_FIXTURE_COLS = ["Rn", "seasonType", "leagueId", "eventId", "date", "venueId", "attendance", "homeTeamId",
+                 "awayTeamId", "homeTeamWinner", "awayTeamWinner", "homeTeamScore", "awayTeamScore",
+                 "homeTeamShootoutScore", "awayTeamShootoutScore", "statusId", "updateTime"]
+
+
+def _part(x: str) -> str:
+    return f"CASE WHEN lower({x}) <> 'none' THEN NULLIF(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'), '') END"
+
+
+_QTEXT = f"concat_ws(', ', {_part('city')}, {_part('country')})"
+
+QUERIES.update({
+    "latest_by_key": "SELECT * FROM fixtures_latest",
+    "surrogate_keys": f"""
+SELECT event_id, {hk(s('event_id'))} AS match_id,
+       {hk(s('match_datetime') + " || '|' || " + s('venue_id'))} AS date_key
+FROM fx""",
+    "weather_hourly_unnest": "SELECT * FROM bronze_weather",
+    "bronze_null_normalize": "SELECT " + ", ".join(
+        f'CASE WHEN "{c}" IN ({_NA_SQL}) THEN NULL ELSE "{c}" END AS "{c}"' for c in _VENUE_COLS
+    ) + ", _ingestion_time FROM bronze_venues",
+    "bronze_stringify": "SELECT " + ", ".join(f'"{c}"' for c in _FIXTURE_COLS)
+    + ", CAST(NULL AS VARCHAR) AS \"hasWeather\", TIMESTAMP '2025-10-29 06:00:00' AS _ingestion_time"
+    + " FROM fixtures_latest",
+    "bronze_row_counts": """
+SELECT 'fixtures' AS table_name, count(*) AS row_count FROM fixtures_latest
+UNION ALL SELECT 'teams', count(*) FROM teams_latest
+UNION ALL SELECT 'venues', count(*) FROM venues_latest
+UNION ALL SELECT 'teamStats', count(*) FROM stats_latest
+UNION ALL SELECT 'weather', count(*) FROM weather_latest""",
+    "scan_parquet": "SELECT * FROM orders",
+    "geocode_query_text": f'SELECT "venueId", {_QTEXT} AS query FROM venues_latest',
+    "pending_geocode": """
+SELECT v."venueId", v."fullName", v.city, v.country
+FROM venues_latest v JOIN fixtures_latest f ON v."venueId" = f."venueId"
+WHERE v.latitude IS NULL
+GROUP BY v."venueId", v."fullName", v.city, v.country
+ORDER BY count(*) DESC, v."venueId" LIMIT 200""",
+    "venue_coord_enrich": f"""
+SELECT v.* REPLACE (coalesce(v.latitude, CAST(g.latitude AS VARCHAR)) AS latitude,
+                    coalesce(v.longitude, CAST(g.longitude AS VARCHAR)) AS longitude)
+FROM venues_latest v LEFT JOIN gazetteer g ON v.latitude IS NULL AND {_QTEXT.replace('city', 'v.city').replace('country', 'v.country')} = g.query""",
+    "pending_weather": """
+SELECT f."eventId", f.date, v.latitude, v.longitude
+FROM fixtures_latest f JOIN venues_latest v ON f."venueId" = v."venueId"
+WHERE v.latitude IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM bronze_weather w WHERE w."eventId" = f."eventId")
+ORDER BY f.date, f."eventId" LIMIT 500""",
+    "mark_has_weather": """
+SELECT f.* REPLACE (CASE WHEN EXISTS (SELECT 1 FROM bronze_weather w WHERE w."eventId" = f."eventId")
+                         THEN '1' ELSE f."hasWeather" END AS "hasWeather")
+FROM fixtures_latest f""",
+    "incremental_upsert": "SELECT * FROM fact_match",
+    "dq_unique": """
+SELECT 'fact_match.match_id' AS "check", match_id AS key_value, count(*) AS n_rows
+FROM fact_match WHERE match_id IS NOT NULL GROUP BY match_id HAVING count(*) > 1
+UNION ALL
+SELECT 'dim_date.date_key', date_key, count(*) FROM dim_date WHERE date_key IS NOT NULL
+GROUP BY date_key HAVING count(*) > 1""",
+    "dq_not_null": """
+SELECT count(*) FILTER (WHERE match_id IS NULL) AS match_id,
+       count(*) FILTER (WHERE home_team_key IS NULL) AS home_team_key,
+       count(*) FILTER (WHERE away_team_key IS NULL) AS away_team_key
+FROM fact_match""",
+    "dq_relationships": """
+SELECT 'home_team_key' AS "check", match_id FROM fact_match f
+WHERE home_team_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_team t WHERE t.team_key = f.home_team_key)
+UNION ALL
+SELECT 'away_team_key', match_id FROM fact_match f
+WHERE away_team_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_team t WHERE t.team_key = f.away_team_key)""",
+    "dq_non_negative": "SELECT * FROM fact_match WHERE away_goals < 0",
+    "dq_summary": """
+SELECT 'unique_match_id' AS "check", count(*) AS failing_rows FROM
+  (SELECT match_id FROM fact_match WHERE match_id IS NOT NULL GROUP BY match_id HAVING count(*) > 1)
+UNION ALL SELECT 'unique_date_key', count(*) FROM
+  (SELECT date_key FROM dim_date WHERE date_key IS NOT NULL GROUP BY date_key HAVING count(*) > 1)
+UNION ALL SELECT 'not_null_match_id', count(*) FROM fact_match WHERE match_id IS NULL
+UNION ALL SELECT 'not_null_home_team_key', count(*) FROM fact_match WHERE home_team_key IS NULL
+UNION ALL SELECT 'not_null_away_team_key', count(*) FROM fact_match WHERE away_team_key IS NULL
+UNION ALL SELECT 'relationships_home_team_key', count(*) FROM fact_match f
+  WHERE home_team_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_team t WHERE t.team_key = f.home_team_key)
+UNION ALL SELECT 'relationships_away_team_key', count(*) FROM fact_match f
+  WHERE away_team_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_team t WHERE t.team_key = f.away_team_key)
+UNION ALL SELECT 'non_negative_away_goals', count(*) FROM fact_match WHERE away_goals < 0""",
+})

@@ -94,6 +94,7 @@ def registry() -> dict[str, QueryFn]:
         "weather_nearest": _weather_kept("window"),
         "asof_grid": _weather_kept("grid"),
     }
+    q.update(EXTRA)
     return q
 
 
@@ -118,3 +119,208 @@ def _team_stats_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = stg.team_stats_agg(fx, stg.stg_team_stats(b.team_stats))
     # events without statistics keep a row of NULLs, as in the reference's left join
     return fx.select("event_id").join(agg, "event_id", "left")
+
+
+# --- ingest, work lists, enrichment, upsert, quality -------------------------
+
+def _bronze(spark: SparkSession, sf_dir: str, latest: bool = True):
+    from kickwx.plans.warehouse import bronze_from_tables
+    b = bronze_from_tables(spark, sf_dir)
+    return b.latest() if latest else b
+
+
+def _latest_by_key(spark, sf_dir):
+    """Newest version of every fixture (K5)."""
+    return _bronze(spark, sf_dir).fixtures
+
+
+def _surrogate_keys(spark, sf_dir):
+    """Match and date keys of every typed fixture, as published unsigned values."""
+    from kickwx.functions.keys import hash_key, published_key
+    from kickwx.plans import staging as stg
+    fx = stg.stg_fixtures(_bronze(spark, sf_dir).fixtures)
+    return fx.select(
+        "event_id",
+        published_key(hash_key(F.col("event_id"))).alias("match_id"),
+        published_key(stg.date_key(F.col("match_datetime"), F.col("venue_id"))).alias("date_key"),
+    )
+
+
+def _weather_hourly_unnest(spark, sf_dir):
+    """Landed hourly payloads unnested to one typed row per hour (S7 + K4)."""
+    from kickwx.sources.testdata import stand_in
+    return stand_in(spark, sf_dir).weather
+
+
+def _bronze_null_normalize(spark, sf_dir):
+    """NA tokens to NULL on every text column of the venue rows (S3)."""
+    from kickwx.sources.bronze import normalize_na
+    from kickwx.sources.testdata import stand_in
+    return normalize_na(stand_in(spark, sf_dir).venues)
+
+
+def _bronze_stringify(spark, sf_dir):
+    """Lake fixtures re-inserted as text with a NULL weather flag and the load time (K3)."""
+    from kickwx.sources.bronze import stringify_fixtures
+    from kickwx.sources.testdata import SECOND_LOAD
+    lake = _bronze(spark, sf_dir).fixtures.drop("hasWeather", "_ingestion_time")
+    return stringify_fixtures(lake, F.lit(SECOND_LOAD).cast("timestamp_ntz"))
+
+
+def _bronze_row_counts(spark, sf_dir):
+    """Row count of every deduplicated bronze table."""
+    b = _bronze(spark, sf_dir)
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+             for n, df in [("fixtures", b.fixtures), ("teams", b.teams), ("venues", b.venues),
+                           ("teamStats", b.team_stats), ("weather", b.weather)]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _scan_parquet(spark, sf_dir):
+    """Parquet table read through a read-only temp view."""
+    from kickwx.sources.bronze import scan_parquet
+    scan_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet", view="orders_readonly")
+    return spark.table("orders_readonly")
+
+
+def _geocode_query_text(spark, sf_dir):
+    """Geocoder query text of every venue."""
+    from kickwx.operators.enrich import geocode_query_text
+    v = _bronze(spark, sf_dir).venues
+    return v.select("venueId", geocode_query_text(F.col("city"), F.col("country")).alias("query"))
+
+
+def _pending_geocode(spark, sf_dir):
+    """Next batch of venues to geocode: no coordinates, most matches first (Q16)."""
+    from kickwx.operators.enrich import pending_geocode
+    b = _bronze(spark, sf_dir)
+    return pending_geocode(b.venues, b.fixtures)
+
+
+def _venue_coord_enrich(spark, sf_dir):
+    """Venues with missing coordinates filled from the gazetteer (K6)."""
+    from kickwx.operators.enrich import venue_coord_enrich
+    from kickwx.sources.testdata import gazetteer, stand_in
+    s = stand_in(spark, sf_dir)
+    return venue_coord_enrich(_bronze(spark, sf_dir).venues, gazetteer(s.nation, s.region))
+
+
+def _pending_weather(spark, sf_dir):
+    """Next batch of matches to fetch weather for: none yet, venue located, oldest first (Q17)."""
+    from kickwx.operators.enrich import pending_weather
+    b = _bronze(spark, sf_dir)
+    return pending_weather(b.fixtures, b.venues, b.weather)
+
+
+def _mark_has_weather(spark, sf_dir):
+    """Fixtures with the weather flag set where weather rows exist (K7)."""
+    from kickwx.operators.enrich import mark_has_weather
+    b = _bronze(spark, sf_dir)
+    return mark_has_weather(b.fixtures, b.weather)
+
+
+def _incremental_upsert(spark, sf_dir):
+    """Fact as of the first load, then the second load's matches replaced by key."""
+    from kickwx.operators.upsert import incremental_upsert
+    from kickwx.plans.marts import build_marts
+    from kickwx.sources.testdata import FIRST_LOAD
+    b = _bronze(spark, sf_dir, latest=False)
+    first = F.col("_ingestion_time") <= F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    current = build_marts(_replace_fixtures(b, b.fixtures.filter(first))).fact_match
+    batch = build_marts(_replace_fixtures(b, b.fixtures.filter(~first))).fact_match
+    return published_fact(incremental_upsert(current, batch, ["match_id"]))
+
+
+def _replace_fixtures(b, fixtures):
+    from kickwx.plans.staging import Bronze
+    return Bronze(fixtures=fixtures, teams=b.teams, venues=b.venues, team_stats=b.team_stats, weather=b.weather)
+
+
+def _marts(spark, sf_dir):
+    return marts_from_tables(spark, sf_dir)
+
+
+def _dq_unique(spark, sf_dir):
+    """Duplicate keys of the fact (match_id) and the date dimension (date_key)."""
+    from kickwx.functions.keys import published_key
+    from kickwx.operators.quality import unique_violations
+    m = _marts(spark, sf_dir)
+    a = unique_violations(m.fact_match, "match_id").select(
+        F.lit("fact_match.match_id").alias("check"), published_key(F.col("match_id")).alias("key_value"), "n_rows")
+    b = unique_violations(m.dim_date, "date_key").select(
+        F.lit("dim_date.date_key").alias("check"), published_key(F.col("date_key")).alias("key_value"), "n_rows")
+    return a.unionByName(b)
+
+
+def _dq_not_null(spark, sf_dir):
+    """NULL counts of the fact's required columns in one pass."""
+    from kickwx.operators.quality import null_counts
+    return null_counts(_marts(spark, sf_dir).fact_match, ["match_id", "home_team_key", "away_team_key"])
+
+
+def _dq_relationships(spark, sf_dir):
+    """Fact rows whose team keys have no team (D3)."""
+    from kickwx.functions.keys import published_key
+    from kickwx.operators.quality import relationship_violations
+    m = _marts(spark, sf_dir)
+    parts = [
+        relationship_violations(m.fact_match, fk, m.dim_team, "team_key").select(
+            F.lit(fk).alias("check"), published_key(F.col("match_id")).alias("match_id"))
+        for fk in ("home_team_key", "away_team_key")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _dq_non_negative(spark, sf_dir):
+    """Fact rows with negative away goals."""
+    from kickwx.operators.quality import negative_values
+    return published_fact(negative_values(_marts(spark, sf_dir).fact_match, "away_goals"))
+
+
+def _dq_summary(spark, sf_dir):
+    """All row-level checks of the fact as (check, failing_rows)."""
+    from kickwx.operators.quality import negative_values, relationship_violations, summary, unique_violations
+    m = _marts(spark, sf_dir)
+    f = m.fact_match
+    return summary({
+        "unique_match_id": unique_violations(f, "match_id"),
+        "unique_date_key": unique_violations(m.dim_date, "date_key"),
+        "not_null_match_id": f.filter(F.col("match_id").isNull()),
+        "not_null_home_team_key": f.filter(F.col("home_team_key").isNull()),
+        "not_null_away_team_key": f.filter(F.col("away_team_key").isNull()),
+        "relationships_home_team_key": relationship_violations(f, "home_team_key", m.dim_team, "team_key"),
+        "relationships_away_team_key": relationship_violations(f, "away_team_key", m.dim_team, "team_key"),
+        "non_negative_away_goals": negative_values(f, "away_goals"),
+    })
+
+
+def _dq_profile(spark, sf_dir):
+    """Column profile of the published fact (D5); distinct counts are approximate."""
+    from kickwx.operators.quality import profile
+    return profile(published_fact(_marts(spark, sf_dir).fact_match))
+
+
+EXTRA = {
+    "latest_by_key": _latest_by_key,
+    "surrogate_keys": _surrogate_keys,
+    "weather_hourly_unnest": _weather_hourly_unnest,
+    "bronze_null_normalize": _bronze_null_normalize,
+    "bronze_stringify": _bronze_stringify,
+    "bronze_row_counts": _bronze_row_counts,
+    "scan_parquet": _scan_parquet,
+    "geocode_query_text": _geocode_query_text,
+    "pending_geocode": _pending_geocode,
+    "venue_coord_enrich": _venue_coord_enrich,
+    "pending_weather": _pending_weather,
+    "mark_has_weather": _mark_has_weather,
+    "incremental_upsert": _incremental_upsert,
+    "dq_unique": _dq_unique,
+    "dq_not_null": _dq_not_null,
+    "dq_relationships": _dq_relationships,
+    "dq_non_negative": _dq_non_negative,
+    "dq_summary": _dq_summary,
+    "dq_profile": _dq_profile,
+}
