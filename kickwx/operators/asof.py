@@ -50,7 +50,8 @@ def select_window(weather: DataFrame, kickoffs: DataFrame, strict: bool = True)
     ts, ko = F.col(TS), F.col(KO)
     w = Window.partitionBy(EVENT).orderBy(TS)
     prev1, prev2, next1 = F.lag(TS, 1).over(w), F.lag(TS, 2).over(w), F.lead(TS, 1).over(w)
-    j = j.select("*", prev1.alias("__p1"), prev2.alias("__p2"), next1.alias("__n1"))
+    extra = [] if strict else [F.max(TS).over(Window.partitionBy(EVENT)).alias("__last")]
+    j = j.select("*", prev1.alias("__p1"), prev2.alias("__p2"), next1.alias("__n1"), *extra)
     p1, p2, n1 = F.col("__p1"), F.col("__p2"), F.col("__n1")
 
     first_after = (ts >= ko) & (p1.isNull() | (p1 < ko))
@@ -61,9 +62,9 @@ def select_window(weather: DataFrame, kickoffs: DataFrame, strict: bool = True)
     keep = nearest_before | nearest_after | first_after | second_after
     if not strict:
         # no observation at/after kick-off: every row ties on the sentinel; take the earliest (and next)
-        none_after = F.max(ts).over(Window.partitionBy(EVENT)) < ko
+        none_after = F.col("__last") < ko
         keep = keep | (none_after & (p1.isNull() | (is_full_hour(ko) & p2.isNull())))
-    return j.filter(keep).drop("__p1", "__p2", "__n1")
+    return j.filter(keep).drop("__p1", "__p2", "__n1", "__last")
 
 
 def candidate_hours(kickoffs: DataFrame) -> DataFrame:
