@@ -70,21 +70,38 @@ def fact_match(fixtures: DataFrame, team_stats: DataFrame, dim_venue: DataFrame,
                dim_weather_: DataFrame, dim_team: DataFrame) -> DataFrame:
     """Match fact at one row per match.
 
-    ``fixtures`` is the typed, deduplicated fixture model. The date key is
-    computed with the same key function ``dim_date`` uses on the same rows, so
-    its lookup is the key itself (NULL when kick-off or venue is NULL).
-    Event-keyed inputs (stats, weather) join on ``event_id`` and share one
-    hash partitioning; venue and team dimensions are small lookups that the
-    planner broadcasts when their measured size allows.
+    ``fixtures`` is the typed, deduplicated fixture model. Plan:
+      * fixtures LEFT JOIN per-team statistics on ``event_id`` and the
+        home/away pivot as conditional MAX grouped by the fixture row: the
+        reference's ``team_stats_agg`` followed by its join back to fixtures,
+        in one shuffle of each side and no second pass over fixtures;
+      * the weather key joins on ``event_id``, the same partitioning, so the
+        pivoted rows are not shuffled again;
+      * venue and team dimensions are small lookups; the planner broadcasts
+        them when their measured size is under the broadcast threshold and
+        falls back to a shuffle join otherwise;
+      * the date key is computed with the same key function ``dim_date``
+        applies to the same rows, so its lookup is the key itself (NULL when
+        kick-off or venue is NULL);
+      * the grain aggregation (MAX per key combination) groups on the event
+        id first, so it reuses the event partitioning.
     """
-    ts = stg.team_stats_agg(fixtures, team_stats)
+    fx_cols = fixtures.columns
+    stats = team_stats.select("event_id", "team_id", *_STAT_COLS)
+    # one hash partitioning on the match id serves the stats join, the pivot,
+    # the weather-key join and the grain aggregation (all group or join on it)
+    j = fixtures.repartition("event_id").join(stats, "event_id", "left")
+    pivot = []
+    for side in ("home", "away"):
+        is_side = F.col("team_id") == F.col(f"{side}_team_id")
+        pivot += [F.max(F.when(is_side, F.col(c))).alias(f"{side}_{o}") for c, o in _STAT_OUT.items()]
+    per_match = j.groupBy(*fx_cols).agg(*pivot)
     dw = dim_weather_.select("event_id", "weather_key")
     dv = dim_venue.select("venue_id", "venue_key")
     th = dim_team.select(F.col("team_id").alias("home_team_id"), F.col("team_key").alias("home_team_key"))
     ta = dim_team.select(F.col("team_id").alias("away_team_id"), F.col("team_key").alias("away_team_key"))
-    j = (
-        fixtures.join(ts, "event_id", "left")
-        .join(dw, "event_id", "left")
+    k = (
+        per_match.join(dw, "event_id", "left")
         .join(dv, "venue_id", "left")
         .join(th, "home_team_id", "left")
         .join(ta, "away_team_id", "left")
@@ -92,11 +109,18 @@ def fact_match(fixtures: DataFrame, team_stats: DataFrame, dim_venue: DataFrame,
         .withColumn("date_key", stg.date_key(F.col("match_datetime"), F.col("venue_id")))
     )
     # grain: MAX of the measures per key combination (identity on deduplicated input)
-    return j.groupBy(*NATURAL_IDS, *KEY_COLUMNS).agg(*[F.max(m).alias(m) for m in MEASURES]).select(
+    return k.groupBy(*NATURAL_IDS, *KEY_COLUMNS).agg(*[F.max(m).alias(m) for m in MEASURES]).select(
         *KEY_COLUMNS, *MEASURES, *NATURAL_IDS
     )
 
 
+_STAT_COLS = ["fouls_committed", "yellow_cards", "red_cards", "possession_pct", "corners"]
+_STAT_OUT = {
+    "fouls_committed": "fouls", "yellow_cards": "yellow_cards", "red_cards": "red_cards",
+    "possession_pct": "possession_pct", "corners": "corners",
+}
+
+
 def build_marts(bronze: stg.Bronze, weather_method: str = "window", dedup: bool = True) -> Marts:
     b = bronze.latest() if dedup else bronze
     fixtures = stg.stg_fixtures(b.fixtures)

@@ -38,15 +38,50 @@ def new_version_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/kickwx/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
 
-def materialize(spark: SparkSession, marts: Marts, root: str | None = None) -> str:
-    """Write every mart as parquet into a fresh folder; returns the folder."""
+BRONZE_TABLES = ["fixtures", "teams", "venues", "team_stats", "weather"]
+
+
+def write_bronze(spark: SparkSession, bronze: Bronze, root: str | None = None) -> str:
+    """Persist the bronze tables (the ingest step) into a fresh folder."""
+    root = root or new_version_dir(spark, "bronze")
+    for name in BRONZE_TABLES:
+        getattr(bronze, name).write.mode("errorifexists").parquet(f"{root}/{name}")
+    return root
+
+
+def read_bronze(spark: SparkSession, root: str) -> Bronze:
+    return Bronze(**{n: spark.read.parquet(f"{root}/{n}") for n in BRONZE_TABLES})
+
+
+def _write(df, path: str) -> None:
+    # event-keyed marts leave their last shuffle clustered on the match id already;
+    # no extra repartition before the write
+    df.write.mode("errorifexists").parquet(path)
+
+
+def materialize(spark: SparkSession, bronze: Bronze, root: str | None = None,
+                weather_method: str = "window") -> str:
+    """Build and write every mart in dependency order; each step reads the written upstream.
+
+    Staging views stay lazy (they are cheap projections of bronze); the
+    weather selection, the dimensions and the fact are written, so no step
+    recomputes another and a lost executor only redoes its own step.
+    Returns the marts folder.
+    """
+    from kickwx.plans import marts as M
+    from kickwx.plans import staging as stg
+
     root = root or new_version_dir(spark, "marts")
-    for name, df in marts.tables().items():
-        out = df
-        if name in ("fact_match", "dim_weather", "stg_dim_weather"):
-            # one file per hash bucket of the match; readers then scan few, even files
-            out = df.repartition("event_id")
-        out.write.mode("errorifexists").parquet(f"{root}/{name}")
+    r = lambda n: spark.read.parquet(f"{root}/{n}")
+    b = bronze.latest()
+    _write(stg.stg_dim_weather(b.weather, b.fixtures, method=weather_method), f"{root}/stg_dim_weather")
+    _write(M.dim_weather(r("stg_dim_weather")), f"{root}/dim_weather")
+    _write(stg.stg_dim_team(b.teams), f"{root}/dim_team")
+    _write(stg.stg_dim_venue(b.venues), f"{root}/dim_venue")
+    _write(stg.stg_dim_date(b.fixtures), f"{root}/dim_date")
+    fact = M.fact_match(stg.stg_fixtures(b.fixtures), stg.stg_team_stats(b.team_stats),
+                        r("dim_venue"), r("dim_weather"), r("dim_team"))
+    _write(fact, f"{root}/fact_match")
     return root
 
 
