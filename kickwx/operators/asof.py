@@ -67,6 +67,23 @@ def select_window(weather: DataFrame, kickoffs: DataFrame, strict: bool = True)
     return j.filter(keep).drop("__p1", "__p2", "__n1", "__last")
 
 
+def select_ranks(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
+    """The reference's literal form: two ``row_number`` rankings per match, then the rank filter.
+
+    Ranks by distance to kick-off (ties to the earlier time) and by "first
+    at/after kick-off" (later rows first, guard on). Two sorts of each
+    match's rows; kept for cross-checking the one-sort ``window`` form.
+    """
+    j = weather.join(kickoffs.select(EVENT, KO), EVENT, "inner")
+    ts, ko = F.col(TS), F.col(KO)
+    by_distance = Window.partitionBy(EVENT).orderBy(F.abs(_secs(ko, ts)), ts)
+    by_after = Window.partitionBy(EVENT).orderBy(F.when(ts >= ko, ts).asc_nulls_last(), ts)
+    r = j.select("*", F.row_number().over(by_distance).alias("__c"), F.row_number().over(by_after).alias("__a"))
+    c, a, after = F.col("__c"), F.col("__a"), ts >= ko
+    keep = (c == 1) | ((a == 1) & after) | (is_full_hour(ko) & (a == 2) & after)
+    return r.filter(keep).drop("__c", "__a")
+
+
 def candidate_hours(kickoffs: DataFrame) -> DataFrame:
     """(event_id, match_datetime, weather_datetime) for the <= 3 grid hours of each kick-off."""
     ko = F.col(KO)
@@ -92,4 +109,6 @@ def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str
         return select_window(weather, kickoffs, strict=strict)
     if method == "grid":
         return select_grid(weather, kickoffs)
+    if method == "ranks":
+        return select_ranks(weather, kickoffs)
     raise ValueError(f"unknown method {method!r}")

@@ -451,6 +451,7 @@ ORDER BY t."TeamHomeID" ASC, w."Precipitation" ASC NULLS LAST""",
     "team_stats_agg": "SELECT * FROM team_stats_agg",
     "weather_nearest": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
     "asof_grid": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
+    "weather_ranks": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
 }
 
 

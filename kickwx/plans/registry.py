@@ -93,6 +93,7 @@ def registry() -> dict[str, QueryFn]:
         "team_stats_agg": _team_stats_agg,
         "weather_nearest": _weather_kept("window"),
         "asof_grid": _weather_kept("grid"),
+        "weather_ranks": _weather_kept("ranks"),
     }
     q.update(EXTRA)
     return q

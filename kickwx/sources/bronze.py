@@ -184,3 +184,19 @@ def unnest_hourly(payload: DataFrame) -> DataFrame:
         F.col("longitude").cast("double").alias("longitude"),
         *[_nan_to_null(F.col(v)).cast("float").alias(v) for v in WEATHER_VARIABLES],
     ).filter(F.col("timestamp_utc").isNotNull())
+
+
+# --- K1 / K11: lake export and declared empty tables ---
+
+def export_csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str) -> str:
+    """CSV drop file -> parquet with one text field per CSV column (K1), written as a whole."""
+    df = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
+    normalize_na(df).write.mode("overwrite").parquet(out_path)
+    return out_path
+
+
+def ensure_bronze_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Create the bronze table at ``path`` with its declared schema when absent (K11); return it."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], bronze_schema(table)).write.parquet(path)
+    return spark.read.schema(bronze_schema(table)).parquet(path)
