@@ -57,7 +57,7 @@ def venue_coord_enrich(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
         F.col("query").alias("__q"),
         F.col("latitude").cast("string").alias("__lat"),
         F.col("longitude").cast("string").alias("__lon"),
-    ).dropDuplicates(["__q"])
+    ).groupBy("__q").agg(F.min(F.struct("__lat", "__lon")).alias("__c")).select("__q", "__c.*")
     need = F.col("latitude").isNull()
     v = venues.withColumn("__q", F.when(need, geocode_query_text(F.col("city"), F.col("country"))))
     j = v.join(g, "__q", "left")

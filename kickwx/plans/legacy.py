@@ -124,11 +124,13 @@ def team_precipitation(s: LegacyStar) -> DataFrame:
         F.when(~home.eqNullSafe(away), F.struct(
             away.alias("TeamID"), home.alias("OpponentID"), ag.alias("TeamGoals"), hg.alias("OpponentGoals"))),
     )
-    per_side = s.match_fact.select("MatchID", "DateID", "WeatherID", F.explode(sides).alias("x")).filter(
-        F.col("x").isNotNull()).select("MatchID", "DateID", "WeatherID", "x.*")
+    # weather and date are looked up once per match, before the rows double
+    m = s.match_fact.join(s.dim_weather, "WeatherID").join(s.dim_date, "DateID")
+    per_side = m.select("MatchID", "Date", "Precipitation", F.explode(sides).alias("x")).filter(
+        F.col("x").isNotNull()).select("MatchID", "Date", "Precipitation", "x.*")
     t = s.dim_team.select(F.col("TeamHomeID").alias("TeamID"), "TeamName")
     opp = s.dim_team.select(F.col("TeamHomeID").alias("OpponentID"), F.col("TeamName").alias("OpponentName"))
-    j = per_side.join(t, "TeamID").join(opp, "OpponentID").join(s.dim_weather, "WeatherID").join(s.dim_date, "DateID")
+    j = per_side.join(t, "TeamID").join(opp, "OpponentID")
     return j.select(
         "MatchID", "Date", "TeamID", "TeamName", "OpponentID", "OpponentName", "TeamGoals", "OpponentGoals",
         (F.col("TeamGoals") - F.col("OpponentGoals")).alias("GoalDifference"), "Precipitation",

@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("KICKWX_DRIVER_MEMORY", "16g"))
     )
