@@ -21,8 +21,10 @@ SESSION_CONF = {
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "kickwx") -> SparkSession:
     """Local session for tests and the bench; on a cluster the launcher owns these."""
+    scratch = tempfile.mkdtemp(prefix="kickwx-local-")
     builder = (
         SparkSession.builder.master(master)
+        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

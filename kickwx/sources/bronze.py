@@ -137,7 +137,7 @@ def load_or_create_lake_table(spark: SparkSession, name: str, table: str) -> Dat
     """Catalog table with the all-text schema; created empty when absent."""
     if not table_exists(spark, name):
         schema = bronze_schema(table)
-        spark.createDataFrame([], schema).writeTo(name).using("parquet").createOrReplace()
+        spark.createDataFrame([], schema).write.format("parquet").mode("ignore").saveAsTable(name)
     return spark.table(name)
 
 
