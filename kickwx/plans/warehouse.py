@@ -91,3 +91,77 @@ def read_marts(spark: SparkSession, root: str) -> Marts:
         dim_date=r("dim_date"), dim_team=r("dim_team"), dim_venue=r("dim_venue"),
         stg_dim_weather=r("stg_dim_weather"), dim_weather=r("dim_weather"), fact_match=r("fact_match"),
     )
+
+
+# --- catalog tables: fact and weather dimension bucketed on the join key ---
+
+BUCKETED = {"fact_match": "weather_key", "dim_weather": "weather_key"}
+
+
+def table_size_bytes(spark: SparkSession, name: str) -> int:
+    """Size estimate of a written table from its file statistics (no data is read)."""
+    return int(spark.table(name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def materialize_tables(spark: SparkSession, bronze: Bronze, database: str = "kickwx_marts",
+                       buckets: int | None = None, weather_method: str = "window",
+                       bucket: bool | None = None) -> str:
+    """Build the marts into catalog tables; fact and weather dimension bucketed on ``weather_key``.
+
+    Every analytical question joins the fact to the weather dimension on
+    ``weather_key``; with both tables hash-bucketed on it (same count), that
+    join reads bucket against bucket with no exchange. (No write-side sort:
+    readers sort each bucket anyway, a bucket's order is not kept across files.) Each build
+    writes tables with a fresh version suffix and then points the plain names
+    (views) at them, so readers of the previous build are never disturbed.
+    Bucketing costs one shuffle of the fact at build time and pays off only
+    when the weather dimension is too large to broadcast: with ``bucket=None``
+    it is decided from the written size of the weather selection (an upper
+    bound of the dimension) against the broadcast threshold.
+    Returns the version suffix.
+    """
+    from kickwx.plans import marts as M
+    from kickwx.plans import staging as stg
+
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    version = f"v{int(time.time() * 1000)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    t = lambda name: f"{database}.{name}_{version}"
+
+    decided = {"bucket": bucket}
+
+    def save(df, name):
+        if name in BUCKETED and decided["bucket"]:
+            # one task per bucket: one file per bucket instead of one per (task, bucket)
+            key = BUCKETED[name]
+            df.repartition(n, key).write.format("parquet").mode("errorifexists").bucketBy(n, key).saveAsTable(
+                t(name))
+        else:
+            df.write.format("parquet").mode("errorifexists").saveAsTable(t(name))
+
+    b = bronze.latest()
+    save(stg.stg_dim_weather(b.weather, b.fixtures, method=weather_method), "stg_dim_weather")
+    if decided["bucket"] is None:
+        limit = broadcast_threshold(spark)
+        decided["bucket"] = limit < 0 or table_size_bytes(spark, t("stg_dim_weather")) > limit
+    save(M.dim_weather(spark.table(t("stg_dim_weather"))), "dim_weather")
+    save(stg.stg_dim_team(b.teams), "dim_team")
+    save(stg.stg_dim_venue(b.venues), "dim_venue")
+    save(stg.stg_dim_date(b.fixtures), "dim_date")
+    fact = M.fact_match(stg.stg_fixtures(b.fixtures), stg.stg_team_stats(b.team_stats),
+                        spark.table(t("dim_venue")), spark.table(t("dim_weather")), spark.table(t("dim_team")))
+    save(fact, "fact_match")
+    for name in MART_NAMES:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {t(name)}")
+    return version
+
+
+MART_NAMES = ["dim_date", "dim_team", "dim_venue", "stg_dim_weather", "dim_weather", "fact_match"]
+
+
+def read_tables(spark: SparkSession, database: str = "kickwx_marts") -> Marts:
+    return Marts(**{name: spark.table(f"{database}.{name}") for name in MART_NAMES})

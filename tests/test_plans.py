@@ -49,3 +49,33 @@ def test_masked_view_has_same_matches(marts_small):
 def test_fact_is_one_row_per_match(marts_small):
     f = marts_small.fact_match
     assert f.count() == f.select("match_id").distinct().count()
+
+
+def test_bucketed_marts_join_without_exchange(spark):
+    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables, read_tables
+    materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_marts", buckets=4,
+                       bucket=True)
+    m = read_tables(spark, "kickwx_test_marts")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        p = plan(A.variability_rain(m))
+        assert "SortMergeJoin" in p  # a shuffle-free join of the two bucketed tables
+        assert "Exchange hashpartitioning(weather_key" not in p
+        assert A.variability_rain(m).count() == A.variability_rain(marts_of(spark)).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def marts_of(spark):
+    from kickwx.plans.warehouse import marts_from_tables
+    return marts_from_tables(spark, "/root/testdata/sf0.001")
+
+
+def test_bucketing_is_decided_by_size(spark):
+    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables
+    v = materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_auto")
+    desc = spark.sql(f"DESCRIBE TABLE EXTENDED kickwx_test_auto.fact_match_{v}").collect()
+    assert not any(r.col_name == "Num Buckets" for r in desc)  # tiny dimension: broadcast, no buckets
