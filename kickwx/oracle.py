@@ -449,6 +449,7 @@ ORDER BY t."TeamHomeID" ASC, w."Precipitation" ASC NULLS LAST""",
     "v_matches_full": "SELECT * FROM fact_match",
     "v_matches_limited": "SELECT * FROM v_matches_limited",
     "team_stats_agg": "SELECT * FROM team_stats_agg",
+    "stg_team_stats": "SELECT * FROM raw_stats",
     "weather_nearest": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
     "asof_grid": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
     "weather_ranks": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",

@@ -91,6 +91,7 @@ def registry() -> dict[str, QueryFn]:
         "v_matches_full": _on_marts(lambda m: v_matches_full(m.fact_match)),
         "v_matches_limited": _on_marts(lambda m: v_matches_limited(m.fact_match)),
         "team_stats_agg": _team_stats_agg,
+        "stg_team_stats": _stg_team_stats,
         "weather_nearest": _weather_kept("window"),
         "asof_grid": _weather_kept("grid"),
         "weather_ranks": _weather_kept("ranks"),
@@ -111,6 +112,13 @@ def _stg_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg.stg_fixtures(bronze_from_tables(spark, sf_dir).latest().fixtures)
 
 
+def _stg_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed per-team statistics: '6.0'-style counts truncated, possession truncated to decimal(5,2)."""
+    from kickwx.plans import staging as stg
+    from kickwx.plans.warehouse import bronze_from_tables
+    return stg.stg_team_stats(bronze_from_tables(spark, sf_dir).latest().team_stats)
+
+
 def _team_stats_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Home and away statistics per event (conditional-max pivot over the left join)."""
     from kickwx.plans import staging as stg
