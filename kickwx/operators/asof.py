@@ -19,6 +19,10 @@ candidate hours are arithmetic on the kick-off, so the selection is an
 equi-join on (match, hour) with at most three candidates per match. No window
 sort, and a match with many observations spreads over many join keys.
 
+``aggregate`` (exact on any data, no per-match sort): hash aggregates pick
+the times, an equi-join on (match, time) picks the rows; for sources where
+one match may hold a large share of all rows.
+
 Kick-offs after the last observation have no "after" pick (``strict``); the
 reference's sentinel would admit an arbitrary row instead, which
 ``strict=False`` mimics with the earliest rows.
@@ -103,6 +107,38 @@ def select_grid(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     return weather.join(candidate_hours(kickoffs), [EVENT, TS], "inner")
 
 
+def select_aggregate(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
+    """Exact selection without any per-match sort, for sources where one match may hold many rows.
+
+    1. per match, as hash aggregates (combined map-side, so a hot match leaves
+       each task as one row): last observation before kick-off, first at or
+       after it;
+    2. per full-hour match: first observation after that first one (a second
+       aggregate over the rows after it);
+    3. the <= 3 chosen times per match select the rows by an equi-join on
+       (match, time), which spreads a hot match over its timestamps.
+    The joins on the match id are the kind AQE splits when one side is skewed.
+    """
+    j = weather.join(kickoffs.select(EVENT, KO), EVENT, "inner")
+    ts, ko = F.col(TS), F.col(KO)
+    s1 = j.groupBy(EVENT).agg(
+        F.max(F.when(ts < ko, ts)).alias("__lb"),
+        F.min(F.when(ts >= ko, ts)).alias("__a1"),
+        F.max(ko).alias("__ko"),
+    )
+    after = j.join(s1.select(EVENT, "__a1"), EVENT, "inner").filter(is_full_hour(ko) & (ts > F.col("__a1")))
+    s2 = after.groupBy(EVENT).agg(F.min(TS).alias("__a2"))
+    c = s1.join(s2, EVENT, "left")
+    lb, a1, k = F.col("__lb"), F.col("__a1"), F.col("__ko")
+    nearest = (
+        F.when(lb.isNull(), a1).when(a1.isNull(), lb)
+        .when(_secs(lb, k) <= _secs(k, a1), lb).otherwise(a1)
+    )
+    picks = F.array_distinct(F.filter(F.array(nearest, a1, F.col("__a2")), lambda t: t.isNotNull()))
+    chosen = c.select(EVENT, F.explode(picks).alias(TS))
+    return j.join(chosen, [EVENT, TS], "inner")
+
+
 def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str = "window",
                            strict: bool = True) -> DataFrame:
     if method == "window":
@@ -111,4 +147,6 @@ def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str
         return select_grid(weather, kickoffs)
     if method == "ranks":
         return select_ranks(weather, kickoffs)
+    if method == "aggregate":
+        return select_aggregate(weather, kickoffs)
     raise ValueError(f"unknown method {method!r}")

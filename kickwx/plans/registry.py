@@ -95,6 +95,7 @@ def registry() -> dict[str, QueryFn]:
         "weather_nearest": _weather_kept("window"),
         "asof_grid": _weather_kept("grid"),
         "weather_ranks": _weather_kept("ranks"),
+        "weather_aggregate": _weather_kept("aggregate"),
     }
     q.update(EXTRA)
     return q

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from kickwx.operators.asof import select_grid, select_window
+from kickwx.operators.asof import select_aggregate, select_grid, select_window
 
 DAY = datetime(2001, 5, 6)
 
@@ -35,14 +35,15 @@ GOLDEN = [  # kick-off (h, m) -> hours kept (hourly data 00:00-23:00 of the matc
 ]
 
 
-@pytest.mark.parametrize("method", ["window", "grid"])
+@pytest.mark.parametrize("method", ["window", "grid", "aggregate"])
 def test_golden_hours(spark, method):
     obs, kicks = [], []
     for i, ((h, m), _) in enumerate(GOLDEN):
         kicks.append((i, DAY.replace(hour=h, minute=m)))
         obs += [(i, DAY + timedelta(hours=x), float(x)) for x in range(24)]
     w, k = frames(spark, obs, kicks)
-    got = kept(select_window(w, k) if method == "window" else select_grid(w, k))
+    fn = {"window": select_window, "grid": select_grid, "aggregate": select_aggregate}[method]
+    got = kept(fn(w, k))
     for i, (_, hours) in enumerate(GOLDEN):
         assert {t.hour for t in got[i]} == hours, GOLDEN[i]
 
@@ -92,3 +93,23 @@ def test_window_equals_grid_on_full_hourly_grid(spark):
         obs += [(e, DAY + timedelta(hours=h), 0.0) for h in range(24)]
     w, k = frames(spark, obs, kicks)
     assert kept(select_window(w, k)) == kept(select_grid(w, k))
+
+
+def test_aggregate_form_matches_brute_force(spark):
+    rnd = random.Random(19)
+    obs, kicks, expect = [], [], {}
+    for e in range(300):
+        base = DAY + timedelta(minutes=rnd.randint(0, 600))
+        times = sorted({base + timedelta(minutes=rnd.choice([0, 15, 30, 45, 60]) * rnd.randint(0, 20))
+                        for _ in range(rnd.randint(1, 12))})
+        ko = DAY + timedelta(minutes=15 * rnd.randint(0, 96))
+        kicks.append((e, ko))
+        obs += [(e, t, 1.0) for t in times]
+        expect[e] = brute_force(times, ko)
+    # one hot match with many rows
+    hot = [DAY + timedelta(minutes=m) for m in range(0, 20000, 7)]
+    kicks.append((999, DAY + timedelta(hours=100)))
+    obs += [(999, t, 1.0) for t in hot]
+    expect[999] = brute_force(hot, DAY + timedelta(hours=100))
+    w, k = frames(spark, obs, kicks)
+    assert kept(select_aggregate(w, k)) == expect
