@@ -6,9 +6,9 @@ For every match the reference keeps
   * the second one at or after kick-off, when kick-off is on the full hour,
 and drops the rest. A match may keep one, two or three observations.
 
-Two plans compute this:
+Four plans compute this (the marts use ``DEFAULT_WEATHER_METHOD``):
 
-``window`` (default, exact on any data): one window partitioned by match and
+``window`` (exact on any data): one window partitioned by match and
 ordered by time. All three picks sit next to kick-off in time order, so
 ``lag``/``lead`` over the single sort find them; no per-row ranks, no second
 sort. Shuffles: one, on the match id (shared with the join to the fixtures).
@@ -19,9 +19,12 @@ candidate hours are arithmetic on the kick-off, so the selection is an
 equi-join on (match, hour) with at most three candidates per match. No window
 sort, and a match with many observations spreads over many join keys.
 
-``aggregate`` (exact on any data, no per-match sort): hash aggregates pick
-the times, an equi-join on (match, time) picks the rows; for sources where
-one match may hold a large share of all rows.
+``aggregate`` (the marts' default; exact on any data, no per-match sort):
+hash aggregates pick the times, an equi-join on (match, time) picks the rows,
+so one match holding a large share of all rows is never sorted or held by
+one task.
+
+``ranks``: the reference's two ``row_number`` rankings, for cross-checks.
 
 Kick-offs after the last observation have no "after" pick (``strict``); the
 reference's sentinel would admit an arbitrary row instead, which
@@ -35,6 +38,9 @@ from pyspark.sql import functions as F
 
 from kickwx.functions.casts import start_of_hour
 
+# Marts use the form that is exact on any data and never sorts one match's rows in one task.
+DEFAULT_WEATHER_METHOD = "aggregate"
+
 EVENT = "event_id"
 TS = "weather_datetime"
 KO = "match_datetime"

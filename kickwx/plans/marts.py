@@ -18,6 +18,7 @@ from kickwx.functions.casts import start_of_hour
 from kickwx.functions.keys import hash_key, published_key
 from kickwx.functions.masks import attendance_band, goal_range
 from kickwx.plans import staging as stg
+from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
 
 KEY_COLUMNS = ["match_id", "date_key", "venue_key", "weather_key", "home_team_key", "away_team_key"]
 MEASURES = [
@@ -121,7 +122,7 @@ _STAT_OUT = {
 }
 
 
-def build_marts(bronze: stg.Bronze, weather_method: str = "window", dedup: bool = True) -> Marts:
+def build_marts(bronze: stg.Bronze, weather_method: str = DEFAULT_WEATHER_METHOD, dedup: bool = True) -> Marts:
     b = bronze.latest() if dedup else bronze
     fixtures = stg.stg_fixtures(b.fixtures)
     d_team = stg.stg_dim_team(b.teams)

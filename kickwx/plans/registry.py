@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kickwx.plans import analytics as A
+from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
 from kickwx.plans import legacy as L
 from kickwx.plans.marts import Marts, published_dim, published_fact, v_matches_full, v_matches_limited
 from kickwx.plans.warehouse import marts_from_tables
@@ -31,7 +32,7 @@ def round6(df: DataFrame, cols) -> DataFrame:
     return df.select([F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _on_marts(fn: Callable[[Marts], DataFrame], rounded=(), method: str = "window") -> QueryFn:
+def _on_marts(fn: Callable[[Marts], DataFrame], rounded=(), method: str = DEFAULT_WEATHER_METHOD) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return round6(fn(marts_from_tables(spark, sf_dir, weather_method=method)), set(rounded))
     run.__doc__ = fn.__doc__

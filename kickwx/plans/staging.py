@@ -16,7 +16,7 @@ from kickwx.functions.casts import (
     trimmed_or_null,
 )
 from kickwx.functions.keys import hash_key
-from kickwx.operators.asof import select_kickoff_weather
+from kickwx.operators.asof import DEFAULT_WEATHER_METHOD, select_kickoff_weather
 from kickwx.operators.dedup import latest_by_key
 from kickwx.sources.schemas import BRONZE_KEYS
 
@@ -142,7 +142,7 @@ def weather_observations(weather: DataFrame) -> DataFrame:
 WEATHER_MEASURES = ["temperature", "precipitation", "rainfall", "snowfall", "wind_speed"]
 
 
-def stg_dim_weather(weather: DataFrame, fixtures: DataFrame, method: str = "window") -> DataFrame:
+def stg_dim_weather(weather: DataFrame, fixtures: DataFrame, method: str = DEFAULT_WEATHER_METHOD) -> DataFrame:
     """Kept observations around kick-off, averaged per (match, hour) and rounded half-even to 3 places."""
     kick = fixtures.select(to_int("eventId").alias("event_id"), to_timestamp_ntz("date").alias("match_datetime"))
     kept = select_kickoff_weather(weather_observations(weather), kick, method=method)

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from kickwx.plans.marts import Marts, build_marts
+from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
 from kickwx.plans.staging import Bronze
 from kickwx.session import ensure_checkpoint_dir
 from kickwx.sources.testdata import StandIn, stand_in
@@ -29,7 +30,7 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> Bronze:
     return bronze_from_stand_in(stand_in(spark, sf_dir))
 
 
-def marts_from_tables(spark: SparkSession, sf_dir: str, weather_method: str = "window") -> Marts:
+def marts_from_tables(spark: SparkSession, sf_dir: str, weather_method: str = DEFAULT_WEATHER_METHOD) -> Marts:
     return build_marts(bronze_from_tables(spark, sf_dir), weather_method=weather_method)
 
 
@@ -60,7 +61,7 @@ def _write(df, path: str) -> None:
 
 
 def materialize(spark: SparkSession, bronze: Bronze, root: str | None = None,
-                weather_method: str = "window") -> str:
+                weather_method: str = DEFAULT_WEATHER_METHOD) -> str:
     """Build and write every mart in dependency order; each step reads the written upstream.
 
     Staging views stay lazy (they are cheap projections of bronze); the
@@ -108,7 +109,7 @@ def broadcast_threshold(spark: SparkSession) -> int:
 
 
 def materialize_tables(spark: SparkSession, bronze: Bronze, database: str = "kickwx_marts",
-                       buckets: int | None = None, weather_method: str = "window",
+                       buckets: int | None = None, weather_method: str = DEFAULT_WEATHER_METHOD,
                        bucket: bool | None = None) -> str:
     """Build the marts into catalog tables; fact and weather dimension bucketed on ``weather_key``.
 
