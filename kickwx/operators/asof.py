@@ -130,11 +130,14 @@ def select_aggregate(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     s1 = j.groupBy(EVENT).agg(
         F.max(F.when(ts < ko, ts)).alias("__lb"),
         F.min(F.when(ts >= ko, ts)).alias("__a1"),
+    )
+    # one more pass carries the first picks along and finds the second "after" time
+    c = j.join(s1, EVENT, "inner").groupBy(EVENT).agg(
+        F.max("__lb").alias("__lb"),
+        F.max("__a1").alias("__a1"),
         F.max(ko).alias("__ko"),
+        F.min(F.when(is_full_hour(ko) & (ts > F.col("__a1")), ts)).alias("__a2"),
     )
-    after = j.join(s1.select(EVENT, "__a1"), EVENT, "inner").filter(is_full_hour(ko) & (ts > F.col("__a1")))
-    s2 = after.groupBy(EVENT).agg(F.min(TS).alias("__a2"))
-    c = s1.join(s2, EVENT, "left")
     lb, a1, k = F.col("__lb"), F.col("__a1"), F.col("__ko")
     nearest = (
         F.when(lb.isNull(), a1).when(a1.isNull(), lb)
