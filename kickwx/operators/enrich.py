@@ -78,7 +78,7 @@ def pending_weather(fixtures: DataFrame, venues: DataFrame, weather: DataFrame,
     "Without weather" is an anti-join against the weather rows, so a failed
     fetch stays pending (the reference flags the whole request batch).
     """
-    have = weather.select("eventId")
+    have = weather.select("eventId").distinct()  # combined map-side: one row per match leaves each task
     todo = fixtures.join(have, "eventId", "left_anti")
     v = venues.filter(F.col("latitude").isNotNull()).select("venueId", "latitude", "longitude")
     j = todo.select("eventId", "date", "venueId").join(v, "venueId", "inner")
