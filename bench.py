@@ -86,7 +86,7 @@ def main() -> None:
     b = bronze.latest()
     kick = stg.stg_fixtures(b.fixtures).select("event_id", "match_datetime")
     obs = stg.weather_observations(b.weather)
-    for method in ("window", "grid", "aggregate"):
+    for method in ("window", "grid", "aggregate", "topk"):
         times[f"weather_{method}"] = timed(lambda method=method: run(select_kickoff_weather(obs, kick, method=method)))
 
     # bronze_load derives stand-in inputs from the test tables (not engine work) and the

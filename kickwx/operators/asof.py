@@ -6,7 +6,7 @@ For every match the reference keeps
   * the second one at or after kick-off, when kick-off is on the full hour,
 and drops the rest. A match may keep one, two or three observations.
 
-Four plans compute this (the marts use ``DEFAULT_WEATHER_METHOD``):
+Five plans compute this (the marts use ``DEFAULT_WEATHER_METHOD``):
 
 ``window`` (exact on any data): one window partitioned by match and
 ordered by time. All three picks sit next to kick-off in time order, so
@@ -19,10 +19,14 @@ candidate hours are arithmetic on the kick-off, so the selection is an
 equi-join on (match, hour) with at most three candidates per match. No window
 sort, and a match with many observations spreads over many join keys.
 
-``aggregate`` (the marts' default; exact on any data, no per-match sort):
-hash aggregates pick the times, an equi-join on (match, time) picks the rows,
-so one match holding a large share of all rows is never sorted or held by
-one task.
+``topk`` (the marts' default; exact on any data): each pick is a per-match
+top-k (``row_number() <= k``) planned with a partial ``WindowGroupLimit``
+before its shuffle, so every map task forwards at most three rows per match:
+small shuffles, and a match holding a large share of all rows is reduced
+map-side rather than sorted or held by one task.
+
+``aggregate`` (exact on any data, no per-match sort): hash aggregates pick
+the times, an equi-join on (match, time) picks the rows.
 
 ``ranks``: the reference's two ``row_number`` rankings, for cross-checks.
 
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 from kickwx.functions.casts import start_of_hour
 
 # Marts use the form that is exact on any data and never sorts one match's rows in one task.
-DEFAULT_WEATHER_METHOD = "aggregate"
+DEFAULT_WEATHER_METHOD = "topk"
 
 EVENT = "event_id"
 TS = "weather_datetime"
@@ -148,6 +152,38 @@ def select_aggregate(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     return j.join(chosen, [EVENT, TS], "inner")
 
 
+def select_topk(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
+    """Exact selection as per-match top-k picks, each cut down before its shuffle.
+
+    * first two observations at/after kick-off: ``row_number() <= 2`` by time;
+    * last observation before kick-off: ``row_number() = 1`` by time descending;
+    * nearest: the closer of that last-before row and the first-after row
+      (ties to the earlier), decided by a join on the match id.
+    Each rank filter plans a partial ``WindowGroupLimit`` ahead of the
+    exchange, so a map task forwards at most two (or one) rows per match: the
+    shuffle carries ~3 rows per match, not all of them, and a match holding a
+    large share of the rows is reduced map-side.
+    """
+    j = weather.join(kickoffs.select(EVENT, KO), EVENT, "inner")
+    ts, ko = F.col(TS), F.col(KO)
+    r = F.col("__r")
+    by_time = Window.partitionBy(EVENT).orderBy(ts.asc())
+    by_time_desc = Window.partitionBy(EVENT).orderBy(ts.desc())
+    after = j.filter(ts >= ko).withColumn("__r", F.row_number().over(by_time)).filter(r <= 2)
+    after = after.filter((r == 1) | is_full_hour(ko))
+    before = j.filter(ts < ko).withColumn("__r", F.row_number().over(by_time_desc)).filter(r == 1)
+    # the last-before row is kept when no first-after row exists or it is at least as close
+    # (a join on the match id, so both sides are co-partitioned by the planner)
+    first_after = after.filter(r == 1).select(EVENT, F.col(TS).alias("__a1"))
+    a1 = F.col("__a1")
+    nearest_before = before.join(first_after, EVENT, "left").filter(
+        a1.isNull() | (_secs(ts, ko) <= _secs(ko, a1))).drop("__a1")
+    # The union may report its inputs' hash partitioning while AQE coalesced them
+    # differently; an explicit exchange of these few rows (<= 3 per match) gives the
+    # downstream per-match work a real partitioning on the match id.
+    return after.unionByName(nearest_before).drop("__r").repartition(EVENT)
+
+
 def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str = "window",
                            strict: bool = True) -> DataFrame:
     if method == "window":
@@ -158,4 +194,6 @@ def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str
         return select_ranks(weather, kickoffs)
     if method == "aggregate":
         return select_aggregate(weather, kickoffs)
+    if method == "topk":
+        return select_topk(weather, kickoffs)
     raise ValueError(f"unknown method {method!r}")

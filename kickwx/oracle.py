@@ -454,6 +454,7 @@ ORDER BY t."TeamHomeID" ASC, w."Precipitation" ASC NULLS LAST""",
     "asof_grid": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
     "weather_ranks": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
     "weather_aggregate": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
+    "weather_topk": "SELECT event_id, weather_datetime, match_datetime FROM kept_weather",
 }
 
 

@@ -97,6 +97,7 @@ def registry() -> dict[str, QueryFn]:
         "asof_grid": _weather_kept("grid"),
         "weather_ranks": _weather_kept("ranks"),
         "weather_aggregate": _weather_kept("aggregate"),
+        "weather_topk": _weather_kept("topk"),
     }
     q.update(EXTRA)
     return q

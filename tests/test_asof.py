@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from kickwx.operators.asof import select_aggregate, select_grid, select_window
+from kickwx.operators.asof import select_aggregate, select_grid, select_topk, select_window
 
 DAY = datetime(2001, 5, 6)
 
@@ -35,14 +35,14 @@ GOLDEN = [  # kick-off (h, m) -> hours kept (hourly data 00:00-23:00 of the matc
 ]
 
 
-@pytest.mark.parametrize("method", ["window", "grid", "aggregate"])
+@pytest.mark.parametrize("method", ["window", "grid", "aggregate", "topk"])
 def test_golden_hours(spark, method):
     obs, kicks = [], []
     for i, ((h, m), _) in enumerate(GOLDEN):
         kicks.append((i, DAY.replace(hour=h, minute=m)))
         obs += [(i, DAY + timedelta(hours=x), float(x)) for x in range(24)]
     w, k = frames(spark, obs, kicks)
-    fn = {"window": select_window, "grid": select_grid, "aggregate": select_aggregate}[method]
+    fn = {"window": select_window, "grid": select_grid, "aggregate": select_aggregate, "topk": select_topk}[method]
     got = kept(fn(w, k))
     for i, (_, hours) in enumerate(GOLDEN):
         assert {t.hour for t in got[i]} == hours, GOLDEN[i]
@@ -95,7 +95,8 @@ def test_window_equals_grid_on_full_hourly_grid(spark):
     assert kept(select_window(w, k)) == kept(select_grid(w, k))
 
 
-def test_aggregate_form_matches_brute_force(spark):
+@pytest.mark.parametrize("fn", [select_aggregate, select_topk])
+def test_skew_safe_forms_match_brute_force(spark, fn):
     rnd = random.Random(19)
     obs, kicks, expect = [], [], {}
     for e in range(300):
@@ -112,4 +113,4 @@ def test_aggregate_form_matches_brute_force(spark):
     obs += [(999, t, 1.0) for t in hot]
     expect[999] = brute_force(hot, DAY + timedelta(hours=100))
     w, k = frames(spark, obs, kicks)
-    assert kept(select_aggregate(w, k)) == expect
+    assert kept(fn(w, k)) == expect
