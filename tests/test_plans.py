@@ -79,3 +79,23 @@ def test_bucketing_is_decided_by_size(spark):
     v = materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_auto")
     desc = spark.sql(f"DESCRIBE TABLE EXTENDED kickwx_test_auto.fact_match_{v}").collect()
     assert not any(r.col_name == "Num Buckets" for r in desc)  # tiny dimension: broadcast, no buckets
+
+
+def test_team_perspective_rows_follow_in_join_semantics(spark):
+    """Same team on both sides: the reference's IN join yields one row; a NULL side yields none for it."""
+    from datetime import date
+    from kickwx.plans.legacy import LegacyStar, team_precipitation
+    mf = spark.createDataFrame(
+        [(1, 10, 20, 7, 7, 2, 1), (2, 11, 21, 7, 8, 0, 3), (3, 12, 22, 7, None, 1, 1)],
+        "MatchID long, DateID long, WeatherID long, TeamID_home int, TeamID_away int, HomeGoals int, AwayGoals int")
+    star = LegacyStar(
+        match_fact=mf,
+        dim_team=spark.createDataFrame([(7, "A"), (8, "B")], "TeamHomeID int, TeamName string"),
+        dim_weather=spark.createDataFrame([(20, 1.0, 0.5), (21, 2.0, 1.5), (22, 3.0, 2.5)],
+                                          "WeatherID long, Temperature double, Precipitation double"),
+        dim_date=spark.createDataFrame([(10, date(2001, 1, 1)), (11, date(2001, 1, 2)), (12, date(2001, 1, 3))],
+                                       "DateID long, Date date"),
+        dim_venue=None,
+    )
+    rows = sorted((r.MatchID, r.TeamID, r.OpponentID, r.GoalDifference) for r in team_precipitation(star).collect())
+    assert rows == [(1, 7, 7, 1), (2, 7, 8, -3), (2, 8, 7, 3)]
