@@ -99,3 +99,14 @@ def test_team_perspective_rows_follow_in_join_semantics(spark):
     )
     rows = sorted((r.MatchID, r.TeamID, r.OpponentID, r.GoalDifference) for r in team_precipitation(star).collect())
     assert rows == [(1, 7, 7, 1), (2, 7, 8, -3), (2, 8, 7, 3)]
+
+
+def test_fact_grain_aggregation_reuses_event_partitioning(spark, marts_small):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = plan(marts_small.fact_match).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    aggs = [i for i, line in enumerate(lines) if "HashAggregate" in line]
+    top, below = aggs[0], aggs[1]  # final and partial of the grain aggregation
+    assert not any("Exchange" in line for line in lines[top:below])
