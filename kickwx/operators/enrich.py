@@ -71,15 +71,20 @@ def venue_coord_enrich(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
     )
 
 
-def pending_weather(fixtures: DataFrame, venues: DataFrame, weather: DataFrame,
-                    n: int | None = MATCH_BATCH) -> DataFrame:
+def pending_weather(fixtures: DataFrame, venues: DataFrame, weather: DataFrame | None,
+                    n: int | None = MATCH_BATCH, by_flag: bool = False) -> DataFrame:
     """Matches still without weather whose venue has coordinates, oldest first (ties by event id).
 
     "Without weather" is an anti-join against the weather rows, so a failed
     fetch stays pending (the reference flags the whole request batch).
+    ``by_flag=True`` selects by ``hasWeather IS NULL`` instead, as the
+    reference does (``weather`` is then not read).
     """
-    have = weather.select("eventId").distinct()  # combined map-side: one row per match leaves each task
-    todo = fixtures.join(have, "eventId", "left_anti")
+    if by_flag:
+        todo = fixtures.filter(F.col("hasWeather").isNull())
+    else:
+        have = weather.select("eventId").distinct()  # combined map-side: one row per match leaves each task
+        todo = fixtures.join(have, "eventId", "left_anti")
     v = venues.filter(F.col("latitude").isNotNull()).select("venueId", "latitude", "longitude")
     j = todo.select("eventId", "date", "venueId").join(v, "venueId", "inner")
     out = j.orderBy(F.col("date").asc_nulls_last(), F.col("eventId").asc())

@@ -71,3 +71,6 @@ def test_pending_weather_and_flags(spark):
     assert todo == ["2"]  # 1 has weather, 3 has no coordinates
     flags = {r.eventId: r.hasWeather for r in mark_has_weather(fx, weather).collect()}
     assert flags == {"1": "1", "2": None, "3": None}
+    flagged = mark_has_weather(fx, weather)
+    by_flag = [r.eventId for r in pending_weather(flagged, venues, None, by_flag=True).collect()]
+    assert by_flag == ["2"]
