@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kickwx.llm.exact_dedup import exact_dedup
+from kickwx.llm.packing import pack_documents
+from kickwx.llm.scratch import scratch_path
+from kickwx.llm.token_files import read_token_files, write_token_files
 from kickwx.llm.url_filter import url_filter
 
 # The url rules of the task, as (host, path, verdict).
@@ -20,6 +23,12 @@ URL_RULES = [
 ]
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,12 +38,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op3_exact_dedup)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op6_token_files)}
 
 
 OP1_SQL = f"""
