@@ -11,6 +11,7 @@ from kickwx.llm.bpe import bpe_decode, bpe_encode
 from kickwx.llm.exact_dedup import exact_dedup
 from kickwx.llm.packing import pack_documents
 from kickwx.llm.scratch import scratch_path
+from kickwx.llm.simhash import simhash_near_dups
 from kickwx.llm.token_files import read_token_files, write_token_files
 from kickwx.llm.url_filter import url_filter
 
@@ -48,6 +49,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_near_dups(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
@@ -66,7 +71,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op6_token_files, op8_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip)}
 
 
 OP1_SQL = f"""
