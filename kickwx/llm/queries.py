@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kickwx.llm.bpe import bpe_decode, bpe_encode
 from kickwx.llm.exact_dedup import exact_dedup
+from kickwx.llm.fingerprints import spliced_fingerprints
 from kickwx.llm.packing import pack_documents
 from kickwx.llm.scratch import scratch_path
 from kickwx.llm.simhash import simhash_near_dups
@@ -70,8 +71,15 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spliced_fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next", "common_prefix",
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip, op9_document_fingerprints)}
 
 
 OP1_SQL = f"""
