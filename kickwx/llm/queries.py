@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kickwx.llm.bpe import bpe_decode, bpe_encode
 from kickwx.llm.exact_dedup import exact_dedup
 from kickwx.llm.fingerprints import spliced_fingerprints
+from kickwx.llm.language_id import identify, train
 from kickwx.llm.packing import pack_documents
 from kickwx.llm.scratch import scratch_path
 from kickwx.llm.simhash import simhash_near_dups
@@ -32,6 +33,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def id_remainder(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -78,8 +83,15 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(4) == 2
+    predicted = identify(docs, train(docs.filter(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip, op9_document_fingerprints)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
 
 
 OP1_SQL = f"""
