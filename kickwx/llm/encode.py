@@ -7,15 +7,15 @@ batch at U+0020 and numbers the distinct chunks; the library encodes only those
 
 from __future__ import annotations
 
+import json
 import string
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_CHUNKS = 800_000
+MEMO_CHUNKS = 600_000
 
 _encoders: dict[str, "ChunkEncoder"] = {}
 
@@ -34,28 +34,60 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {"": b""}  # ids as unsigned 32-bit integers
-
-    def _key(self, chunk: str) -> tuple[str, str]:
-        """A chunk as (key, tail) with ids(chunk) = ids(key) + ids(tail).
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 + max(vocab.values()), bool)
+        if suffix:
+            self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of letter runs, each one pre-token, read off the word-end marks of their last tokens."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode_chunks(words)
+        return ids, np.diff(np.append(0, ends))
+
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Add chunks to the memo.
 
         A run of letters ends at the next ASCII punctuation, so a punctuation tail is a piece of its own;
-        the tokenizer lowers A-Z itself, so ASCII words are kept once.
+        the tokenizer lowers A-Z itself, so ASCII words are encoded once.
         """
-        word = chunk.rstrip(string.punctuation)
-        if not _letters(word):
-            return chunk, ""
-        return (word.lower() if word.isascii() else word), chunk[len(word):]
-
-    def _learn(self, keys: list[str]) -> None:
-        found = self.tokenizer.encode(keys, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        words = np.array(found.word_ids, dtype=np.int64)
-        ends = (4 * np.searchsorted(words, np.arange(len(keys)), side="right")).tolist()
-        start = 0
-        for key, end in zip(keys, ends):
-            self.memo[key] = ids[start:end]
-            start = end
+        words: dict[str, int] = {}
+        others: dict[str, int] = {}
+        head, tail = [], []  # numbers of a chunk's parts: words from 0 up, others from -1 down
+        for chunk in chunks:
+            word = chunk.rstrip(string.punctuation)
+            if _letters(word):
+                rest = chunk[len(word):]
+                head.append(words.setdefault(word.lower() if word.isascii() else word, len(words)))
+                tail.append(~others.setdefault(rest, len(others)) if rest else None)
+            else:
+                head.append(~others.setdefault(chunk, len(others)))
+                tail.append(None)
+        ids, sizes = self._encode_words(list(words)) if words else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        raw, cuts = ids.tobytes(), (4 * np.append(0, np.cumsum(sizes))).tolist()
+        parts = [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+        if others:
+            ids, sizes = self._encode_chunks(list(others))
+            raw, cuts = ids.tobytes(), (4 * np.append(0, np.cumsum(sizes))).tolist()
+            parts += [raw[x:y] for x, y in zip(cuts, cuts[1:])][::-1]  # so that -1 is the first of them
+        whole = [parts[h] if t is None else parts[h] + parts[t] for h, t in zip(head, tail)]
+        self.memo.update(zip(chunks, range(len(self.memo), len(self.memo) + len(chunks))))
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole)) // 4
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(whole), np.uint32))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (nulls as empty) in one flat array, and the number of ids of each text."""
@@ -66,24 +98,20 @@ class ChunkEncoder:
         offsets = offsets - offsets[0]
         if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        keys = [self._key(c) for c in coded.dictionary.to_pylist()]
-        needed = set(chain.from_iterable(keys))
-        if new := [k for k in needed if k not in self.memo]:
+        chunks = coded.dictionary.to_pylist()
+        new = [c for c in chunks if c not in self.memo]
+        if new:
             if len(self.memo) + len(new) > MEMO_CHUNKS:
-                self.memo = {"": b""}
-                new = [k for k in needed if k]
+                self._forget()
+                new = chunks
             self._learn(new)
-        memo = self.memo
-        parts = [memo[k] + memo[t] for k, t in keys]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        pool = np.frombuffer(b"".join(parts), "<u4")
-        starts = np.cumsum(sizes) - sizes
-        index = np.asarray(coded.indices)
-        each = sizes[index]
+        number = np.fromiter(map(self.memo.__getitem__, chunks), np.int64, len(chunks))
+        index = number[np.asarray(coded.indices)]
+        each = self.sizes[index]
         ends = np.cumsum(each)
-        at = np.repeat(starts[index] - (ends - each), each)
+        at = np.repeat(self.starts[index] - (ends - each), each)
         at += np.arange(len(at))
-        return pool[at], np.diff(np.concatenate(([0], ends))[offsets])
+        return self.ids[at], np.diff(np.append(0, ends)[offsets])
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -104,7 +104,7 @@ def pack_documents(
     text_col: str = "text",
     capacity: int = 4096,
     end_id: int = 1,
-    buffer_tokens: int = 8_000_000,
+    buffer_tokens: int = 6_000_000,
     close_at: float = 0.98,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids, sequence_id, offset``.

@@ -55,7 +55,7 @@ def write_token_files(
             row = [[part], [made], [total], [doc_ids], [file]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, out)], schema=out)
 
-        for some in slices(batches, "text", 1 << 20):
+        for some in slices(batches, "text"):
             ids, n = code.encode(some.column("text"))
             end = np.cumsum(n)
             ids = np.insert(ids, end, end_id)

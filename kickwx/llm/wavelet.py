@@ -76,14 +76,15 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """Every id in order, rebuilt from the lowest plane upwards."""
-        now = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        now = np.zeros(self.size, kind)
         for level, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
             ones = plane.bits()
             above = np.empty_like(now)
             above[~ones] = now[:zeros]
-            above[ones] = now[zeros:] | np.uint32(1 << level)
+            above[ones] = now[zeros:] | kind(1 << level)
             now = above
-        return now
+        return now.astype(np.uint32)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """The ids at some positions, without reading others."""
