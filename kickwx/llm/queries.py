@@ -13,8 +13,10 @@ from kickwx.llm.fingerprints import spliced_fingerprints
 from kickwx.llm.language_id import identify, train
 from kickwx.llm.packing import pack_documents
 from kickwx.llm.scratch import scratch_path
+from kickwx.llm.ship import ship
 from kickwx.llm.simhash import simhash_near_dups
 from kickwx.llm.token_files import read_token_files, write_token_files
+from kickwx.llm.toxicity import toxicity_scores
 from kickwx.llm.url_filter import url_filter
 
 # The url rules of the task, as (host, path, verdict).
@@ -38,6 +40,7 @@ def id_remainder(divisor: int):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -65,6 +68,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(5) == 0
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
     decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path), path)
@@ -91,7 +100,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
 
 
 OP1_SQL = f"""
