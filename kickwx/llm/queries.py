@@ -15,6 +15,7 @@ from kickwx.llm.packing import pack_documents
 from kickwx.llm.scratch import scratch_path
 from kickwx.llm.ship import ship
 from kickwx.llm.simhash import simhash_near_dups
+from kickwx.llm.substring_dedup import repeated_passages
 from kickwx.llm.token_files import read_token_files, write_token_files
 from kickwx.llm.toxicity import toxicity_scores
 from kickwx.llm.url_filter import url_filter
@@ -58,6 +59,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(table(spark, sf_dir, "documents"))
 
@@ -100,7 +105,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
 
 
 OP1_SQL = f"""
