@@ -43,6 +43,11 @@ def to_int(x) -> Column:
     return empty_to_null(x).try_cast("int")
 
 
+def to_id(x) -> Column:
+    """Integer text -> bigint: ids outgrow 32 bits long before the tables do; '' and malformed -> NULL."""
+    return empty_to_null(x).try_cast("bigint")
+
+
 def to_int_via_double(x) -> Column:
     """'6.0' / '6.9' -> 6: through double, then truncate (the reference's toInt32(toFloat64(...)))."""
     return empty_to_null(x).try_cast("double").try_cast("int")

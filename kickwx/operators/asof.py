@@ -6,24 +6,25 @@ For every match the reference keeps
   * the second one at or after kick-off, when kick-off is on the full hour,
 and drops the rest. A match may keep one, two or three observations.
 
-Five plans compute this (the marts use ``DEFAULT_WEATHER_METHOD``):
+Five plans compute this. Which one suits is a property of the weather source, not of its size: ``grid`` for a
+source that delivers every full hour of the kick-off date, ``window`` (the default) for any other.
 
 ``window`` (exact on any data): one window partitioned by match and
 ordered by time. All three picks sit next to kick-off in time order, so
 ``lag``/``lead`` over the single sort find them; no per-row ranks, no second
-sort. Shuffles: one, on the match id (shared with the join to the fixtures).
+sort. Shuffles: one, on the match id (shared with the version choice and the join to the fixtures).
 
 ``grid`` (exact when each match's observations are the full hours of the
 kick-off date, which is what the hourly payload delivers): the three
 candidate hours are arithmetic on the kick-off, so the selection is an
 equi-join on (match, hour) with at most three candidates per match. No window
-sort, and a match with many observations spreads over many join keys.
+sort, and a match with many observations spreads over many join keys. A match whose
+observations are not on that grid keeps none of them here.
 
-``topk`` (the marts' default; exact on any data): each pick is a per-match
+``topk`` (exact on any data): each pick is a per-match
 top-k (``row_number() <= k``) planned with a partial ``WindowGroupLimit``
-before its shuffle, so every map task forwards at most three rows per match:
-small shuffles, and a match holding a large share of all rows is reduced
-map-side rather than sorted or held by one task.
+before its shuffle where the join to the kick-offs is a broadcast; beyond that size the rows are
+exchanged on the match first and joined once per pick.
 
 ``aggregate`` (exact on any data, no per-match sort): hash aggregates pick
 the times, an equi-join on (match, time) picks the rows.
@@ -32,7 +33,7 @@ the times, an equi-join on (match, time) picks the rows.
 
 Kick-offs after the last observation have no "after" pick (``strict``); the
 reference's sentinel would admit an arbitrary row instead, which
-``strict=False`` mimics with the earliest rows.
+``strict=False`` mimics with the earliest rows (``window`` only; the others refuse it).
 """
 
 from __future__ import annotations
@@ -42,8 +43,7 @@ from pyspark.sql import functions as F
 
 from kickwx.functions.casts import start_of_hour
 
-# Marts use the form that is exact on any data and never sorts one match's rows in one task.
-DEFAULT_WEATHER_METHOD = "topk"
+DEFAULT_WEATHER_METHOD = "window"
 
 EVENT = "event_id"
 TS = "weather_datetime"
@@ -188,6 +188,8 @@ def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str
                            strict: bool = True) -> DataFrame:
     if method == "window":
         return select_window(weather, kickoffs, strict=strict)
+    if not strict:
+        raise ValueError(f"method {method!r} has no strict=False form")
     if method == "grid":
         return select_grid(weather, kickoffs)
     if method == "ranks":

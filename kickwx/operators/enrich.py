@@ -29,7 +29,7 @@ def geocode_query_text(city: Column, country: Column) -> Column:
     return F.concat_ws(", ", _place_part(city), _place_part(country))
 
 
-def pending_geocode(venues: DataFrame, fixtures: DataFrame, n: int | None = VENUE_BATCH) -> DataFrame:
+def pending_geocode(venues: DataFrame, fixtures: DataFrame, n: int | None = None) -> DataFrame:
     """Venues without coordinates that host matches, most-used first (ties by venue id).
 
     Fixtures are counted per venue id first (partial aggregation before the
@@ -72,7 +72,7 @@ def venue_coord_enrich(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def pending_weather(fixtures: DataFrame, venues: DataFrame, weather: DataFrame | None,
-                    n: int | None = MATCH_BATCH, by_flag: bool = False) -> DataFrame:
+                    n: int | None = None, by_flag: bool = False) -> DataFrame:
     """Matches still without weather whose venue has coordinates, oldest first (ties by event id).
 
     "Without weather" is an anti-join against the weather rows, so a failed

@@ -31,6 +31,17 @@ def negative_values(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col) < 0)
 
 
+def orphan_sides(rows: DataFrame, id_col: str, fks: Sequence[str], parent: DataFrame, pk: str) -> DataFrame:
+    """Rows (``check, <id_col>``) whose non-NULL foreign key, in any of ``fks``, has no parent row.
+
+    The keys are unpivoted, so that one anti-join answers for all of them.
+    """
+    sides = F.array(*[F.struct(F.lit(fk).alias("check"), F.col(fk).alias("__fk")) for fk in fks])
+    long = rows.select(id_col, F.inline(sides)).filter(F.col("__fk").isNotNull())
+    p = parent.select(F.col(pk).alias("__fk")).distinct()
+    return long.join(p, "__fk", "left_anti").select("check", id_col)
+
+
 def summary(checks: dict[str, DataFrame]) -> DataFrame:
     """(check, failing_rows) for several row-returning checks."""
     parts = [d.agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(n).alias("check"), "failing_rows")
@@ -42,7 +53,8 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Column profile in one aggregation: rows, NULLs, min, max (as text) and approximate distinct count."""
+    """Column profile in one aggregation: rows, NULLs, min, max (as text) and approximate distinct count
+    (relative standard deviation 5 %)."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):

@@ -19,10 +19,13 @@ def _hundred():
 
 
 def _with_weather(m: Marts, fact: DataFrame | None = None, cols=("avg_precipitation",)) -> DataFrame:
-    """Fact rows that have a weather record (inner join on the weather key)."""
+    """Fact rows that have a weather record.
+
+    A fact row's weather key is that of its match's one row of the weather dimension, so the join is on the match,
+    on which both tables are bucketed.
+    """
     f = m.fact_match if fact is None else fact
-    w = m.dim_weather.select("weather_key", *cols)
-    return f.join(w, "weather_key", "inner")
+    return f.filter(F.col("weather_key").isNotNull()).join(m.dim_weather.select("event_id", *cols), "event_id", "inner")
 
 
 def attendance_rain(m: Marts) -> DataFrame:

@@ -19,6 +19,8 @@ from kickwx.functions.keys import hash_key, published_key
 from kickwx.functions.masks import attendance_band, goal_range
 from kickwx.plans import staging as stg
 from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
+from kickwx.operators.dedup import latest_by_key
+from kickwx.sources.schemas import BRONZE_KEYS
 
 KEY_COLUMNS = ["match_id", "date_key", "venue_key", "weather_key", "home_team_key", "away_team_key"]
 MEASURES = [
@@ -71,67 +73,48 @@ def fact_match(fixtures: DataFrame, team_stats: DataFrame, dim_venue: DataFrame,
                dim_weather_: DataFrame, dim_team: DataFrame) -> DataFrame:
     """Match fact at one row per match.
 
-    ``fixtures`` is the typed, deduplicated fixture model. Plan:
+    ``fixtures`` and ``team_stats`` are the typed models (newest versions). Plan:
       * fixtures LEFT JOIN per-team statistics on ``event_id`` and the
         home/away pivot as conditional MAX grouped by the fixture row: the
-        reference's ``team_stats_agg`` followed by its join back to fixtures,
-        in one shuffle of each side and no second pass over fixtures;
-      * the weather key joins on ``event_id``, the same partitioning, so the
-        pivoted rows are not shuffled again;
-      * venue and team dimensions are small lookups; the planner broadcasts
-        them when their measured size is under the broadcast threshold and
-        falls back to a shuffle join otherwise;
+        statistics side by side and their join back to fixtures in one step;
+      * the weather key joins on ``event_id``, the same partitioning;
+      * the grain aggregation (MAX of the measures per match) follows there, still on
+        ``event_id``, before any lookup: fixtures are exchanged once up to here;
+      * venue and team are looked up on the aggregated rows, venue and away team
+        after it; the planner broadcasts them when their measured size is under the
+        broadcast threshold and falls back to a shuffle join (split if skewed) otherwise;
       * the date key is computed with the same key function ``dim_date``
         applies to the same rows, so its lookup is the key itself (NULL when
-        kick-off or venue is NULL);
-      * the grain aggregation (MAX per key combination) groups on the event
-        id first, so it reuses the event partitioning.
+        kick-off or venue is NULL).
     """
-    fx_cols = fixtures.columns
-    stats = team_stats.select("event_id", "team_id", *_STAT_COLS)
-    # one hash partitioning on the match id serves the stats join, the pivot,
-    # the weather-key join and the grain aggregation (all group or join on it)
-    j = fixtures.repartition("event_id").join(stats, "event_id", "left")
-    pivot = []
-    for side in ("home", "away"):
-        is_side = F.col("team_id") == F.col(f"{side}_team_id")
-        pivot += [F.max(F.when(is_side, F.col(c))).alias(f"{side}_{o}") for c, o in _STAT_OUT.items()]
-    per_match = j.groupBy(*fx_cols).agg(*pivot)
-    dw = dim_weather_.select("event_id", "weather_key")
+    j = fixtures.join(team_stats.select("event_id", "team_id", *stg.STATS), "event_id", "left")
+    per_match = j.groupBy(*fixtures.columns).agg(*stg.side_pivot())
+    ids = [*NATURAL_IDS, "match_datetime", "weather_key"]
+    grain = (
+        per_match.join(dim_weather_.select("event_id", "weather_key"), "event_id", "left")
+        .groupBy(*ids).agg(*[F.max(m).alias(m) for m in MEASURES])
+    )
     dv = dim_venue.select("venue_id", "venue_key")
     th = dim_team.select(F.col("team_id").alias("home_team_id"), F.col("team_key").alias("home_team_key"))
     ta = dim_team.select(F.col("team_id").alias("away_team_id"), F.col("team_key").alias("away_team_key"))
-    k = (
-        per_match.join(dw, "event_id", "left")
-        .join(dv, "venue_id", "left")
-        .join(th, "home_team_id", "left")
-        .join(ta, "away_team_id", "left")
+    return (
+        grain.join(dv, "venue_id", "left").join(th, "home_team_id", "left").join(ta, "away_team_id", "left")
         .withColumn("match_id", hash_key(F.col("event_id")))
         .withColumn("date_key", stg.date_key(F.col("match_datetime"), F.col("venue_id")))
+        .select(*KEY_COLUMNS, *MEASURES, *NATURAL_IDS)
     )
-    # grain: MAX of the measures per key combination (identity on deduplicated input)
-    return k.groupBy(*NATURAL_IDS, *KEY_COLUMNS).agg(*[F.max(m).alias(m) for m in MEASURES]).select(
-        *KEY_COLUMNS, *MEASURES, *NATURAL_IDS
-    )
-
-
-_STAT_COLS = ["fouls_committed", "yellow_cards", "red_cards", "possession_pct", "corners"]
-_STAT_OUT = {
-    "fouls_committed": "fouls", "yellow_cards": "yellow_cards", "red_cards": "red_cards",
-    "possession_pct": "possession_pct", "corners": "corners",
-}
 
 
-def build_marts(bronze: stg.Bronze, weather_method: str = DEFAULT_WEATHER_METHOD, dedup: bool = True) -> Marts:
-    b = bronze.latest() if dedup else bronze
-    fixtures = stg.stg_fixtures(b.fixtures)
-    d_team = stg.stg_dim_team(b.teams)
-    d_venue = stg.stg_dim_venue(b.venues)
-    s_weather = stg.stg_dim_weather(b.weather, b.fixtures, method=weather_method)
+def build_marts(bronze: stg.Bronze, weather_method: str = DEFAULT_WEATHER_METHOD) -> Marts:
+    """All marts from bronze rows of any version, as one lazy plan."""
+    fixtures = stg.stg_fixtures(bronze.fixtures)
+    d_team = stg.stg_dim_team(latest_by_key(bronze.teams, BRONZE_KEYS["teams"]))
+    d_venue = stg.stg_dim_venue(latest_by_key(bronze.venues, BRONZE_KEYS["venues"]))
+    s_weather = stg.stg_dim_weather(bronze.weather, fixtures, method=weather_method)
     d_weather = dim_weather(s_weather)
-    fact = fact_match(fixtures, stg.stg_team_stats(b.team_stats), d_venue, d_weather, d_team)
+    fact = fact_match(fixtures, stg.stg_team_stats(bronze.team_stats), d_venue, d_weather, d_team)
     return Marts(
-        dim_date=stg.stg_dim_date(b.fixtures),
+        dim_date=stg.stg_dim_date(fixtures),
         dim_team=d_team,
         dim_venue=d_venue,
         stg_dim_weather=s_weather,

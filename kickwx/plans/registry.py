@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kickwx.plans import analytics as A
-from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
 from kickwx.plans import legacy as L
 from kickwx.plans.marts import Marts, published_dim, published_fact, v_matches_full, v_matches_limited
-from kickwx.plans.warehouse import marts_from_tables
+from kickwx.plans.warehouse import PAYLOAD_WEATHER_METHOD, fresh_path, marts_from_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +31,7 @@ def round6(df: DataFrame, cols) -> DataFrame:
     return df.select([F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _on_marts(fn: Callable[[Marts], DataFrame], rounded=(), method: str = DEFAULT_WEATHER_METHOD) -> QueryFn:
+def _on_marts(fn: Callable[[Marts], DataFrame], rounded=(), method: str = PAYLOAD_WEATHER_METHOD) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return round6(fn(marts_from_tables(spark, sf_dir, weather_method=method)), set(rounded))
     run.__doc__ = fn.__doc__
@@ -48,9 +47,9 @@ def _weather_kept(method: str) -> QueryFn:
     from kickwx.plans.warehouse import bronze_from_tables
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        b = bronze_from_tables(spark, sf_dir).latest()
+        b = bronze_from_tables(spark, sf_dir)
         kick = stg.stg_fixtures(b.fixtures).select("event_id", "match_datetime")
-        kept = select_kickoff_weather(stg.weather_observations(b.weather), kick, method=method)
+        kept = select_kickoff_weather(stg.latest_observations(b.weather, method), kick, method=method)
         return kept.select("event_id", "weather_datetime", "match_datetime")
     run.__doc__ = f"Weather observations kept around each kick-off ({method} form of the as-of selection)."
     return run
@@ -112,21 +111,21 @@ def _stg_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed fixtures after last-write-wins."""
     from kickwx.plans import staging as stg
     from kickwx.plans.warehouse import bronze_from_tables
-    return stg.stg_fixtures(bronze_from_tables(spark, sf_dir).latest().fixtures)
+    return stg.stg_fixtures(bronze_from_tables(spark, sf_dir).fixtures)
 
 
 def _stg_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed per-team statistics: '6.0'-style counts truncated, possession truncated to decimal(5,2)."""
     from kickwx.plans import staging as stg
     from kickwx.plans.warehouse import bronze_from_tables
-    return stg.stg_team_stats(bronze_from_tables(spark, sf_dir).latest().team_stats)
+    return stg.stg_team_stats(bronze_from_tables(spark, sf_dir).team_stats)
 
 
 def _team_stats_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Home and away statistics per event (conditional-max pivot over the left join)."""
     from kickwx.plans import staging as stg
     from kickwx.plans.warehouse import bronze_from_tables
-    b = bronze_from_tables(spark, sf_dir).latest()
+    b = bronze_from_tables(spark, sf_dir)
     fx = stg.stg_fixtures(b.fixtures)
     agg = stg.team_stats_agg(fx, stg.stg_team_stats(b.team_stats))
     # events without statistics keep a row of NULLs, as in the reference's left join
@@ -150,7 +149,7 @@ def _surrogate_keys(spark, sf_dir):
     """Match and date keys of every typed fixture, as published unsigned values."""
     from kickwx.functions.keys import hash_key, published_key
     from kickwx.plans import staging as stg
-    fx = stg.stg_fixtures(_bronze(spark, sf_dir).fixtures)
+    fx = stg.stg_fixtures(_bronze(spark, sf_dir, latest=False).fixtures)
     return fx.select(
         "event_id",
         published_key(hash_key(F.col("event_id"))).alias("match_id"),
@@ -207,9 +206,9 @@ def _geocode_query_text(spark, sf_dir):
 
 def _pending_geocode(spark, sf_dir):
     """Next batch of venues to geocode: no coordinates, most matches first (Q16)."""
-    from kickwx.operators.enrich import pending_geocode
+    from kickwx.operators.enrich import VENUE_BATCH, pending_geocode
     b = _bronze(spark, sf_dir)
-    return pending_geocode(b.venues, b.fixtures)
+    return pending_geocode(b.venues, b.fixtures, VENUE_BATCH)
 
 
 def _venue_coord_enrich(spark, sf_dir):
@@ -222,9 +221,9 @@ def _venue_coord_enrich(spark, sf_dir):
 
 def _pending_weather(spark, sf_dir):
     """Next batch of matches to fetch weather for: none yet, venue located, oldest first (Q17)."""
-    from kickwx.operators.enrich import pending_weather
+    from kickwx.operators.enrich import MATCH_BATCH, pending_weather
     b = _bronze(spark, sf_dir)
-    return pending_weather(b.fixtures, b.venues, b.weather)
+    return pending_weather(b.fixtures, b.venues, b.weather, MATCH_BATCH)
 
 
 def _mark_has_weather(spark, sf_dir):
@@ -234,21 +233,54 @@ def _mark_has_weather(spark, sf_dir):
     return mark_has_weather(b.fixtures, b.weather)
 
 
-def _incremental_upsert(spark, sf_dir):
-    """Fact as of the first load, then the second load's matches replaced by key."""
-    from kickwx.operators.upsert import incremental_upsert
-    from kickwx.plans.marts import build_marts
+def _weather_latest(spark, sf_dir):
+    """Hourly weather rows of the last fetch of every (event, hour) (K5)."""
+    return _bronze(spark, sf_dir).weather
+
+
+def _csv_ingest(spark, sf_dir):
+    """Venue rows exported as CSV (quotes, commas, line breaks, NA tokens) and loaded back as bronze."""
+    from kickwx.sources.bronze import read_bronze_csv
+    from kickwx.sources.testdata import FIRST_LOAD, stand_in
+    path = fresh_path(spark, "venues-csv")
+    (stand_in(spark, sf_dir).venues.drop("_ingestion_time").write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_bronze_csv(spark, path, "venues", F.lit(FIRST_LOAD).cast("timestamp_ntz"), multi_line=True)
+
+
+def _bronze_append(spark, sf_dir):
+    """Bronze fixtures after two appended loads: every version of every row."""
+    from kickwx.sources.bronze import append_bronze
+    path = fresh_path(spark, "bronze-fixtures")
+    rows = _bronze(spark, sf_dir, latest=False).fixtures
+    first, second = _by_load(rows)
+    append_bronze(first, path, "fixtures")
+    return append_bronze(second, path, "fixtures")
+
+
+def _by_load(fixtures):
     from kickwx.sources.testdata import FIRST_LOAD
-    b = _bronze(spark, sf_dir, latest=False)
     first = F.col("_ingestion_time") <= F.lit(FIRST_LOAD).cast("timestamp_ntz")
-    current = build_marts(_replace_fixtures(b, b.fixtures.filter(first))).fact_match
-    batch = build_marts(_replace_fixtures(b, b.fixtures.filter(~first))).fact_match
-    return published_fact(incremental_upsert(current, batch, ["match_id"]))
+    return fixtures.filter(first), fixtures.filter(~first)
 
 
-def _replace_fixtures(b, fixtures):
+def _incremental_upsert(spark, sf_dir):
+    """Written fact after the first load, the second load's matches replaced by key, and that batch again."""
+    from kickwx.functions.casts import to_id
+    from kickwx.operators.upsert import upsert_table
+    from kickwx.plans.marts import build_marts
     from kickwx.plans.staging import Bronze
-    return Bronze(fixtures=fixtures, teams=b.teams, venues=b.venues, team_stats=b.team_stats, weather=b.weather)
+    b = _bronze(spark, sf_dir, latest=False)
+    root = fresh_path(spark, "fact_match")
+    for rows in _by_load(b.fixtures):
+        # a batch is built once, from the statistics and weather of its own matches
+        ids = rows.select(to_id("eventId").alias("__id")).distinct()
+        own = lambda df: df.join(ids, to_id("eventId") == F.col("__id"), "left_semi")
+        batch = Bronze(rows, b.teams, b.venues, own(b.team_stats), own(b.weather))
+        path = fresh_path(spark, "fact_match_batch")
+        build_marts(batch, PAYLOAD_WEATHER_METHOD).fact_match.write.parquet(path)
+        upsert_table(spark, root, spark.read.parquet(path), ["match_id"])
+    return published_fact(upsert_table(spark, root, spark.read.parquet(path), ["match_id"]))
 
 
 def _marts(spark, sf_dir):
@@ -256,15 +288,21 @@ def _marts(spark, sf_dir):
 
 
 def _dq_unique(spark, sf_dir):
-    """Duplicate keys of the fact (match_id) and the date dimension (date_key)."""
+    """Keys that occur more than once: match_id of the fact, date_key of the dates, event id of the bronze
+    fixtures (several versions) (D1)."""
     from kickwx.functions.keys import published_key
     from kickwx.operators.quality import unique_violations
+    from kickwx.plans import staging as stg
     m = _marts(spark, sf_dir)
-    a = unique_violations(m.fact_match, "match_id").select(
-        F.lit("fact_match.match_id").alias("check"), published_key(F.col("match_id")).alias("key_value"), "n_rows")
-    b = unique_violations(m.dim_date, "date_key").select(
-        F.lit("dim_date.date_key").alias("check"), published_key(F.col("date_key")).alias("key_value"), "n_rows")
-    return a.unionByName(b)
+    versions = stg.typed_fixtures(_bronze(spark, sf_dir, latest=False).fixtures)
+    parts = [
+        unique_violations(df, key).select(F.lit(f"{name}.{key}").alias("check"), value(F.col(key)).alias("key_value"), "n_rows")
+        for name, df, key, value in [
+            ("fact_match", m.fact_match, "match_id", published_key), ("dim_date", m.dim_date, "date_key", published_key),
+            ("bronze_fixtures", versions, "event_id", lambda c: c.cast("decimal(20,0)")),
+        ]
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _dq_not_null(spark, sf_dir):
@@ -273,17 +311,19 @@ def _dq_not_null(spark, sf_dir):
     return null_counts(_marts(spark, sf_dir).fact_match, ["match_id", "home_team_key", "away_team_key"])
 
 
+TEAM_SIDES = ("home_team_id", "away_team_id")
+
+
+def _team_orphans(spark, sf_dir):
+    from kickwx.operators.quality import orphan_sides
+    from kickwx.plans import staging as stg
+    b = _bronze(spark, sf_dir, latest=False)
+    return orphan_sides(stg.stg_fixtures(b.fixtures), "event_id", TEAM_SIDES, stg.stg_dim_team(b.teams), "team_id")
+
+
 def _dq_relationships(spark, sf_dir):
-    """Fact rows whose team keys have no team (D3)."""
-    from kickwx.functions.keys import published_key
-    from kickwx.operators.quality import relationship_violations
-    m = _marts(spark, sf_dir)
-    parts = [
-        relationship_violations(m.fact_match, fk, m.dim_team, "team_key").select(
-            F.lit(fk).alias("check"), published_key(F.col("match_id")).alias("match_id"))
-        for fk in ("home_team_key", "away_team_key")
-    ]
-    return parts[0].unionByName(parts[1])
+    """Typed fixtures whose home or away team id has no team (D3)."""
+    return _team_orphans(spark, sf_dir)
 
 
 def _dq_non_negative(spark, sf_dir):
@@ -293,30 +333,46 @@ def _dq_non_negative(spark, sf_dir):
 
 
 def _dq_summary(spark, sf_dir):
-    """All row-level checks of the fact as (check, failing_rows)."""
-    from kickwx.operators.quality import negative_values, relationship_violations, summary, unique_violations
+    """All checks as (check, failing_rows): one pass over the fact by match, one over the dates, one over the
+    fixtures' team ids, one over the bronze ids that can't be typed."""
+    from kickwx.operators.quality import unique_violations
+    from kickwx.plans import staging as stg
     m = _marts(spark, sf_dir)
-    f = m.fact_match
-    return summary({
-        "unique_match_id": unique_violations(f, "match_id"),
-        "unique_date_key": unique_violations(m.dim_date, "date_key"),
-        "not_null_match_id": f.filter(F.col("match_id").isNull()),
-        "not_null_home_team_key": f.filter(F.col("home_team_key").isNull()),
-        "not_null_away_team_key": f.filter(F.col("away_team_key").isNull()),
-        "relationships_home_team_key": relationship_violations(f, "home_team_key", m.dim_team, "team_key"),
-        "relationships_away_team_key": relationship_violations(f, "away_team_key", m.dim_team, "team_key"),
-        "non_negative_away_goals": negative_values(f, "away_goals"),
-    })
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    nulls = {k: F.col(k).isNull() for k in ("home_team_key", "away_team_key")}
+    by_match = m.fact_match.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("n"), count(F.col("away_goals") < 0).alias("negative"),
+        *[count(c).alias(k) for k, c in nulls.items()],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    wide = by_match.agg(
+        count(F.col("match_id").isNotNull() & (F.col("n") > 1)).alias("unique_match_id"),
+        total(F.when(F.col("match_id").isNull(), F.col("n"))).alias("not_null_match_id"),
+        *[total(k).alias(f"not_null_{k}") for k in nulls],
+        total("negative").alias("non_negative_away_goals"),
+    )
+    checks = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("failing_rows")) for c in wide.columns])))
+    orphans = _team_orphans(spark, sf_dir).agg(*[count(F.col("check") == k).alias(f"relationships_{k}") for k in TEAM_SIDES])
+    orphans = orphans.select(F.inline(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("failing_rows")) for c in orphans.columns])))
+    rows = lambda name, df: df.agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(name).alias("check"), "failing_rows")
+    return (
+        checks.unionByName(orphans)
+        .unionByName(rows("unique_date_key", unique_violations(m.dim_date, "date_key")))
+        .unionByName(rows("untypable_event_id", stg.unusable_ids(_bronze(spark, sf_dir, latest=False).fixtures, "eventId")))
+    )
 
 
 def _dq_profile(spark, sf_dir):
-    """Column profile of the published fact (D5); distinct counts are approximate."""
+    """Column profile of the published fact (D5): rows, NULLs, smallest and largest value."""
     from kickwx.operators.quality import profile
-    return profile(published_fact(_marts(spark, sf_dir).fact_match))
+    return profile(published_fact(_marts(spark, sf_dir).fact_match)).drop("approx_distinct")
 
 
 EXTRA = {
     "latest_by_key": _latest_by_key,
+    "weather_latest": _weather_latest,
+    "csv_ingest": _csv_ingest,
+    "bronze_append": _bronze_append,
     "surrogate_keys": _surrogate_keys,
     "weather_hourly_unnest": _weather_hourly_unnest,
     "bronze_null_normalize": _bronze_null_normalize,

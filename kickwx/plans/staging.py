@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kickwx.functions.casts import (
     start_of_hour,
     to_decimal_5_2_trunc,
+    to_id,
     to_int,
     to_int_via_double,
     to_timestamp_ntz,
@@ -18,7 +19,7 @@ from kickwx.functions.casts import (
 from kickwx.functions.keys import hash_key
 from kickwx.operators.asof import DEFAULT_WEATHER_METHOD, select_kickoff_weather
 from kickwx.operators.dedup import latest_by_key
-from kickwx.sources.schemas import BRONZE_KEYS
+from kickwx.sources.schemas import BRONZE_KEYS, INGESTION_TIME
 
 
 @dataclass
@@ -38,24 +39,40 @@ class Bronze:
             teams=latest_by_key(self.teams, BRONZE_KEYS["teams"]),
             venues=latest_by_key(self.venues, BRONZE_KEYS["venues"]),
             team_stats=latest_by_key(self.team_stats, BRONZE_KEYS["teamStats"]),
-            weather=latest_by_key(self.weather, BRONZE_KEYS["weather"], version=None),
+            weather=latest_by_key(self.weather, BRONZE_KEYS["weather"]),
         )
 
 
-def stg_fixtures(fixtures: DataFrame) -> DataFrame:
-    """Typed fixtures; rows without an event id are dropped."""
-    return fixtures.filter(F.col("eventId").isNotNull()).select(
-        to_int("eventId").alias("event_id"),
+def _version(df: DataFrame) -> list[str]:
+    return [INGESTION_TIME] if INGESTION_TIME in df.columns else []
+
+
+def typed_fixtures(fixtures: DataFrame) -> DataFrame:
+    """Typed fixtures, with their load time; rows without a usable event id are dropped."""
+    return fixtures.select(
+        to_id("eventId").alias("event_id"),
         to_timestamp_ntz("date").alias("match_datetime"),
-        to_int("venueId").alias("venue_id"),
-        to_int("homeTeamId").alias("home_team_id"),
-        to_int("awayTeamId").alias("away_team_id"),
+        to_id("venueId").alias("venue_id"),
+        to_id("homeTeamId").alias("home_team_id"),
+        to_id("awayTeamId").alias("away_team_id"),
         to_int("attendance").alias("attendance"),
         to_int("homeTeamScore").alias("home_goals"),
         to_int("awayTeamScore").alias("away_goals"),
         to_int("homeTeamShootoutScore").alias("home_shootout_score"),
         to_int("awayTeamShootoutScore").alias("away_shootout_score"),
-    )
+        *_version(fixtures),
+    ).filter(F.col("event_id").isNotNull())
+
+
+def stg_fixtures(fixtures: DataFrame) -> DataFrame:
+    """Newest typed version of every fixture: cast first, so that one exchange on the typed id serves the
+    version choice and every later join and aggregation of a match."""
+    return latest_by_key(typed_fixtures(fixtures), ["event_id"]).drop(INGESTION_TIME)
+
+
+def unusable_ids(bronze: DataFrame, column: str) -> DataFrame:
+    """Bronze rows whose id is not a number (they can't enter the models)."""
+    return bronze.filter(to_id(column).isNull())
 
 
 def date_key(match_datetime, venue_id):
@@ -64,8 +81,8 @@ def date_key(match_datetime, venue_id):
 
 
 def stg_dim_date(fixtures: DataFrame) -> DataFrame:
-    ts = to_timestamp_ntz("date")
-    venue = to_int("venueId")
+    """Distinct (kick-off, venue) pairs of the typed fixtures."""
+    ts, venue = F.col("match_datetime"), F.col("venue_id")
     return fixtures.select(
         date_key(ts, venue).alias("date_key"),
         ts.cast("date").alias("match_date"),
@@ -77,7 +94,7 @@ def stg_dim_date(fixtures: DataFrame) -> DataFrame:
 def stg_dim_team(teams: DataFrame) -> DataFrame:
     return teams.select(
         hash_key(F.col("teamId")).alias("team_key"),
-        to_int("teamId").alias("team_id"),
+        to_id("teamId").alias("team_id"),
         trimmed_or_null("name").alias("team_name"),
         trimmed_or_null("location").alias("team_location"),
     )
@@ -86,7 +103,7 @@ def stg_dim_team(teams: DataFrame) -> DataFrame:
 def stg_dim_venue(venues: DataFrame) -> DataFrame:
     return venues.select(
         hash_key(F.col("venueId")).alias("venue_key"),
-        to_int("venueId").alias("venue_id"),
+        to_id("venueId").alias("venue_id"),
         trimmed_or_null("fullName").alias("venue_name"),
         trimmed_or_null("city").alias("city"),
         trimmed_or_null("country").alias("country"),
@@ -94,40 +111,45 @@ def stg_dim_venue(venues: DataFrame) -> DataFrame:
 
 
 def stg_team_stats(team_stats: DataFrame) -> DataFrame:
-    """Per (event, team) statistics; counts arrive as '6.0'-style text."""
-    return team_stats.select(
-        to_int("eventId").alias("event_id"),
-        to_int("teamId").alias("team_id"),
+    """Newest per (event, team) statistics; counts arrive as '6.0'-style text. Rows without usable ids are dropped."""
+    typed = team_stats.select(
+        to_id("eventId").alias("event_id"),
+        to_id("teamId").alias("team_id"),
         to_int_via_double("foulsCommitted").alias("fouls_committed"),
         to_int_via_double("yellowCards").alias("yellow_cards"),
         to_int_via_double("redCards").alias("red_cards"),
         to_decimal_5_2_trunc("possessionPct").alias("possession_pct"),
         to_int_via_double("wonCorners").alias("corners"),
-    )
+        *_version(team_stats),
+    ).filter(F.col("event_id").isNotNull() & F.col("team_id").isNotNull())
+    return latest_by_key(typed, ["event_id", "team_id"]).drop(INGESTION_TIME)
 
 
-_STATS = ["fouls_committed", "yellow_cards", "red_cards", "possession_pct", "corners"]
-_STAT_OUT = {
+# statistic -> its name in the home_/away_ columns
+STATS = {
     "fouls_committed": "fouls", "yellow_cards": "yellow_cards", "red_cards": "red_cards",
     "possession_pct": "possession_pct", "corners": "corners",
 }
 
 
+def side_pivot() -> list:
+    """Home and away statistics side by side: conditional MAX over rows of fixture x team."""
+    return [
+        F.max(F.when(F.col("team_id") == F.col(f"{side}_team_id"), F.col(c))).alias(f"{side}_{name}")
+        for side in ("home", "away") for c, name in STATS.items()
+    ]
+
+
 def team_stats_agg(fixtures: DataFrame, stats: DataFrame) -> DataFrame:
-    """Home and away statistics side by side, one row per event (conditional-max pivot)."""
+    """Home and away statistics, one row per event that has any."""
     f = fixtures.select("event_id", "home_team_id", "away_team_id")
-    j = stats.join(f, "event_id", "inner")
-    aggs = []
-    for side in ("home", "away"):
-        is_side = F.col("team_id") == F.col(f"{side}_team_id")
-        aggs += [F.max(F.when(is_side, F.col(s))).alias(f"{side}_{_STAT_OUT[s]}") for s in _STATS]
-    return j.groupBy("event_id").agg(*aggs)
+    return stats.join(f, "event_id", "inner").groupBy("event_id").agg(*side_pivot())
 
 
 def weather_observations(weather: DataFrame) -> DataFrame:
-    """Typed hourly observations (one match's rows are keyed by its event id)."""
+    """Typed hourly observations (one match's rows are keyed by its event id), with their load time."""
     return weather.select(
-        to_int("eventId").alias("event_id"),
+        to_id("eventId").alias("event_id"),
         F.col("timestamp_utc").cast("timestamp_ntz").alias("weather_datetime"),
         F.col("latitude").cast("float").alias("latitude"),
         F.col("longitude").cast("float").alias("longitude"),
@@ -136,16 +158,32 @@ def weather_observations(weather: DataFrame) -> DataFrame:
         F.col("rain").cast("float").alias("rainfall"),
         F.col("snowfall").cast("float").alias("snowfall"),
         F.col("wind_speed_10m").cast("float").alias("wind_speed"),
-    )
+        *_version(weather),
+    ).filter(F.col("event_id").isNotNull())
+
+
+def latest_observations(weather: DataFrame, method: str) -> DataFrame:
+    """The observation loaded last for every (match, time), in the partitioning that the selection needs.
+
+    Cast before the version choice, so its exchange is the only one of the weather rows: on (match, time) for the
+    ``grid`` selection, which joins on both, and on the match for those that look at a match's rows together.
+    """
+    typed = weather_observations(weather)
+    if method != "grid":
+        typed = typed.repartition("event_id")
+    return latest_by_key(typed, ["event_id", "weather_datetime"]).drop(INGESTION_TIME)
 
 
 WEATHER_MEASURES = ["temperature", "precipitation", "rainfall", "snowfall", "wind_speed"]
 
 
 def stg_dim_weather(weather: DataFrame, fixtures: DataFrame, method: str = DEFAULT_WEATHER_METHOD) -> DataFrame:
-    """Kept observations around kick-off, averaged per (match, hour) and rounded half-even to 3 places."""
-    kick = fixtures.select(to_int("eventId").alias("event_id"), to_timestamp_ntz("date").alias("match_datetime"))
-    kept = select_kickoff_weather(weather_observations(weather), kick, method=method)
+    """Kept observations around kick-off, averaged per (match, hour) and rounded half-even to 3 places.
+
+    ``weather`` are bronze rows of any version, ``fixtures`` the typed fixtures.
+    """
+    kick = fixtures.select("event_id", "match_datetime")
+    kept = select_kickoff_weather(latest_observations(weather, method), kick, method=method)
     hour = start_of_hour(F.col("weather_datetime"))
     return (
         kept.groupBy("event_id", hour.alias("timestamp_hour"))

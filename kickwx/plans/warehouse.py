@@ -1,26 +1,29 @@
-"""Wiring: bronze inputs -> marts, lazily or written as parquet tables.
+"""Wiring: bronze inputs -> marts, lazily or written as catalog tables.
 
 ``marts_from_tables`` builds every mart as one lazy plan over the given test
 tables, so Catalyst prunes columns and pushes filters through the whole star.
-``materialize`` writes the marts once (fresh version folder under the shared
-checkpoint/warehouse root) and ``read_marts`` serves queries from them; this
-also cuts the lineage, so a lost executor recomputes from the written table,
-not from bronze.
+``materialize_tables`` writes the marts in dependency order, each step reading the written
+upstream, so no step recomputes another and a lost executor redoes only its own step.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import SparkSession
 
-from kickwx.plans.marts import Marts, build_marts
 from kickwx.operators.asof import DEFAULT_WEATHER_METHOD
+from kickwx.operators.dedup import latest_by_key
+from kickwx.plans import staging as stg
+from kickwx.plans.marts import Marts, build_marts, dim_weather, fact_match
 from kickwx.plans.staging import Bronze
-from kickwx.session import ensure_checkpoint_dir
+from kickwx.session import output_root
+from kickwx.sources.schemas import BRONZE_KEYS
 from kickwx.sources.testdata import StandIn, stand_in
 
+# The hourly payload delivers every full hour of the kick-off date.
+PAYLOAD_WEATHER_METHOD = "grid"
+
 
 def bronze_from_stand_in(s: StandIn) -> Bronze:
     return Bronze(fixtures=s.fixtures, teams=s.teams, venues=s.venues, team_stats=s.team_stats, weather=s.weather)
@@ -30,13 +33,12 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> Bronze:
     return bronze_from_stand_in(stand_in(spark, sf_dir))
 
 
-def marts_from_tables(spark: SparkSession, sf_dir: str, weather_method: str = DEFAULT_WEATHER_METHOD) -> Marts:
+def marts_from_tables(spark: SparkSession, sf_dir: str, weather_method: str = PAYLOAD_WEATHER_METHOD) -> Marts:
     return build_marts(bronze_from_tables(spark, sf_dir), weather_method=weather_method)
 
 
-def new_version_dir(spark: SparkSession, name: str) -> str:
-    root = ensure_checkpoint_dir(spark)
-    return f"{root}/kickwx/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{output_root(spark)}/kickwx/{name}-{uuid.uuid4().hex[:12]}"
 
 
 BRONZE_TABLES = ["fixtures", "teams", "venues", "team_stats", "weather"]
@@ -44,7 +46,7 @@ BRONZE_TABLES = ["fixtures", "teams", "venues", "team_stats", "weather"]
 
 def write_bronze(spark: SparkSession, bronze: Bronze, root: str | None = None) -> str:
     """Persist the bronze tables (the ingest step) into a fresh folder."""
-    root = root or new_version_dir(spark, "bronze")
+    root = root or fresh_path(spark, "bronze")
     for name in BRONZE_TABLES:
         getattr(bronze, name).write.mode("errorifexists").parquet(f"{root}/{name}")
     return root
@@ -54,115 +56,50 @@ def read_bronze(spark: SparkSession, root: str) -> Bronze:
     return Bronze(**{n: spark.read.parquet(f"{root}/{n}") for n in BRONZE_TABLES})
 
 
-def _write(df, path: str) -> None:
-    # event-keyed marts leave their last shuffle clustered on the match id already;
-    # no extra repartition before the write
-    df.write.mode("errorifexists").parquet(path)
-
-
-def materialize(spark: SparkSession, bronze: Bronze, root: str | None = None,
-                weather_method: str = DEFAULT_WEATHER_METHOD) -> str:
-    """Build and write every mart in dependency order; each step reads the written upstream.
-
-    Staging views stay lazy (they are cheap projections of bronze); the
-    weather selection, the dimensions and the fact are written, so no step
-    recomputes another and a lost executor only redoes its own step.
-    Returns the marts folder.
-    """
-    from kickwx.plans import marts as M
-    from kickwx.plans import staging as stg
-
-    root = root or new_version_dir(spark, "marts")
-    r = lambda n: spark.read.parquet(f"{root}/{n}")
-    b = bronze.latest()
-    _write(stg.stg_dim_weather(b.weather, b.fixtures, method=weather_method), f"{root}/stg_dim_weather")
-    _write(M.dim_weather(r("stg_dim_weather")), f"{root}/dim_weather")
-    _write(stg.stg_dim_team(b.teams), f"{root}/dim_team")
-    _write(stg.stg_dim_venue(b.venues), f"{root}/dim_venue")
-    _write(stg.stg_dim_date(b.fixtures), f"{root}/dim_date")
-    fact = M.fact_match(stg.stg_fixtures(b.fixtures), stg.stg_team_stats(b.team_stats),
-                        r("dim_venue"), r("dim_weather"), r("dim_team"))
-    _write(fact, f"{root}/fact_match")
-    return root
-
-
-def read_marts(spark: SparkSession, root: str) -> Marts:
-    r = lambda n: spark.read.parquet(f"{root}/{n}")
-    return Marts(
-        dim_date=r("dim_date"), dim_team=r("dim_team"), dim_venue=r("dim_venue"),
-        stg_dim_weather=r("stg_dim_weather"), dim_weather=r("dim_weather"), fact_match=r("fact_match"),
-    )
-
-
-# --- catalog tables: fact and weather dimension bucketed on the join key ---
-
-BUCKETED = {"fact_match": "weather_key", "dim_weather": "weather_key"}
+# --- catalog tables: fact and weather dimension bucketed on the match ---
 
-
-def table_size_bytes(spark: SparkSession, name: str) -> int:
-    """Size estimate of a written table from its file statistics (no data is read)."""
-    return int(spark.table(name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_threshold(spark: SparkSession) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+BUCKETED = {"fact_match": "event_id", "dim_weather": "event_id"}
+MART_NAMES = ["dim_date", "dim_team", "dim_venue", "stg_dim_weather", "dim_weather", "fact_match"]
 
 
 def materialize_tables(spark: SparkSession, bronze: Bronze, database: str = "kickwx_marts",
                        buckets: int | None = None, weather_method: str = DEFAULT_WEATHER_METHOD,
-                       bucket: bool | None = None) -> str:
-    """Build the marts into catalog tables; fact and weather dimension bucketed on ``weather_key``.
-
-    Every analytical question joins the fact to the weather dimension on
-    ``weather_key``; with both tables hash-bucketed on it (same count), that
-    join reads bucket against bucket with no exchange. (No write-side sort:
-    readers sort each bucket anyway, a bucket's order is not kept across files.) Each build
-    writes tables with a fresh version suffix and then points the plain names
+                       bucket: bool = True) -> str:
+    """Build the marts into catalog tables; fact and weather dimension bucketed on ``event_id``.
+
+    Every analytical question joins the fact to the weather dimension, one row per match on either side; with both
+    tables hash-bucketed on the match (same count), that join reads bucket against bucket with no
+    exchange. Every row has a match, so no bucket collects the matches without weather. ``bucket=False``
+    leaves the layout to the writer (for marts whose weather dimension is known to be broadcast).
+    Each build writes tables with a fresh version suffix and then points the plain names
     (views) at them, so readers of the previous build are never disturbed.
-    Bucketing costs one shuffle of the fact at build time and pays off only
-    when the weather dimension is too large to broadcast: with ``bucket=None``
-    it is decided from the written size of the weather selection (an upper
-    bound of the dimension) against the broadcast threshold.
     Returns the version suffix.
     """
-    from kickwx.plans import marts as M
-    from kickwx.plans import staging as stg
-
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    version = f"v{int(time.time() * 1000)}"
+    version = f"v{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     t = lambda name: f"{database}.{name}_{version}"
 
-    decided = {"bucket": bucket}
-
     def save(df, name):
-        if name in BUCKETED and decided["bucket"]:
+        if bucket and name in BUCKETED:
             # one task per bucket: one file per bucket instead of one per (task, bucket)
             key = BUCKETED[name]
-            df.repartition(n, key).write.format("parquet").mode("errorifexists").bucketBy(n, key).saveAsTable(
-                t(name))
+            df.repartition(n, key).write.format("parquet").mode("errorifexists").bucketBy(n, key).saveAsTable(t(name))
         else:
             df.write.format("parquet").mode("errorifexists").saveAsTable(t(name))
-
-    b = bronze.latest()
-    save(stg.stg_dim_weather(b.weather, b.fixtures, method=weather_method), "stg_dim_weather")
-    if decided["bucket"] is None:
-        limit = broadcast_threshold(spark)
-        decided["bucket"] = limit < 0 or table_size_bytes(spark, t("stg_dim_weather")) > limit
-    save(M.dim_weather(spark.table(t("stg_dim_weather"))), "dim_weather")
-    save(stg.stg_dim_team(b.teams), "dim_team")
-    save(stg.stg_dim_venue(b.venues), "dim_venue")
-    save(stg.stg_dim_date(b.fixtures), "dim_date")
-    fact = M.fact_match(stg.stg_fixtures(b.fixtures), stg.stg_team_stats(b.team_stats),
-                        spark.table(t("dim_venue")), spark.table(t("dim_weather")), spark.table(t("dim_team")))
-    save(fact, "fact_match")
+        return spark.table(t(name))
+
+    fixtures = stg.stg_fixtures(bronze.fixtures)
+    chosen = save(stg.stg_dim_weather(bronze.weather, fixtures, method=weather_method), "stg_dim_weather")
+    weather = save(dim_weather(chosen), "dim_weather")
+    team = save(stg.stg_dim_team(latest_by_key(bronze.teams, BRONZE_KEYS["teams"])), "dim_team")
+    venue = save(stg.stg_dim_venue(latest_by_key(bronze.venues, BRONZE_KEYS["venues"])), "dim_venue")
+    save(stg.stg_dim_date(fixtures), "dim_date")
+    save(fact_match(fixtures, stg.stg_team_stats(bronze.team_stats), venue, weather, team), "fact_match")
     for name in MART_NAMES:
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {t(name)}")
     return version
 
 
-MART_NAMES = ["dim_date", "dim_team", "dim_venue", "stg_dim_weather", "dim_weather", "fact_match"]
-
-
 def read_tables(spark: SparkSession, database: str = "kickwx_marts") -> Marts:
     return Marts(**{name: spark.table(f"{database}.{name}") for name in MART_NAMES})

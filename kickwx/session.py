@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     builder = (
         SparkSession.builder.master(master)
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -35,20 +36,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and written tables.
+def output_root(spark: SparkSession) -> str:
+    """Folder for written tables and stream state, the same in every session of a cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    ``spark.kickwx.root`` if set, else the shared folder named in ``spark.checkpoint.dir`` itself (not the
+    per-session folder that Spark makes below it). Only a local master may do without: it gets a
+    private scratch folder.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="kickwx-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return (sc.getCheckpointDir() or d).rstrip("/")
+    root = spark.conf.get("spark.kickwx.root", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.kickwx.root or spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="kickwx-local-")
+        spark.conf.set("spark.kickwx.root", root)
+    return root.rstrip("/")

@@ -80,20 +80,57 @@ def conform_to_bronze(df: DataFrame, table: str, ingestion_time: Column | None =
     return df.select(*cols, ts.alias(INGESTION_TIME))
 
 
-def read_bronze_csv(spark: SparkSession, path: str, table: str, ingestion_time: Column | None = None) -> DataFrame:
-    """CSV with header, every field text, NA tokens as NULL, stamped for append (S1+S3+K2)."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("mode", "PERMISSIVE")
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV with header, every field text, quotes doubled inside quoted fields; a malformed row fails the job.
+
+    ``multi_line=True`` admits line breaks inside quoted fields. Such a file can't be split, so one task reads
+    it whole; leave it off for files known to have none.
+    """
+    return (
+        spark.read.option("header", True).option("inferSchema", False)
+        .option("quote", '"').option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
         .csv(path)
     )
-    return conform_to_bronze(normalize_na(raw), table, ingestion_time)
 
 
-def read_drop(spark: SparkSession, drop_dir: str, ingestion_time: Column | None = None) -> dict[str, DataFrame]:
+def read_bronze_csv(spark: SparkSession, path: str, table: str, ingestion_time: Column | None = None,
+                    multi_line: bool = False) -> DataFrame:
+    """CSV drop file as bronze rows: text fields, NA tokens as NULL, stamped for append (S1+S3+K2)."""
+    return conform_to_bronze(normalize_na(scan_csv(spark, path, multi_line)), table, ingestion_time)
+
+
+def read_drop(spark: SparkSession, drop_dir: str, ingestion_time: Column | None = None,
+              multi_line: bool = False) -> dict[str, DataFrame]:
     """All bronze tables of one data drop (S2 + S1)."""
-    return {t: read_bronze_csv(spark, p, t, ingestion_time) for t, p in select_drop_files(spark, drop_dir).items()}
+    return {
+        t: read_bronze_csv(spark, p, t, ingestion_time, multi_line)
+        for t, p in select_drop_files(spark, drop_dir).items()
+    }
+
+
+def append_bronze(df: DataFrame, path: str, table: str, ingestion_time: Column | None = None) -> DataFrame:
+    """Append rows to the bronze table at ``path``, created if absent, and return the table (K2, K3, K4).
+
+    Rows are fitted to the declared layout and stamped unless they carry a load time. Appending a drop twice
+    leaves two versions of its rows, which last-write-wins merges on read.
+    """
+    spark = df.sparkSession
+    ensure_bronze_table(spark, path, table)
+    if table == "weather":
+        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in bronze_schema(table)])
+    else:
+        rows = conform_to_bronze(df, table, ingestion_time)
+    rows.write.mode("append").parquet(path)
+    return spark.read.schema(bronze_schema(table)).parquet(path)
+
+
+def append_drop(spark: SparkSession, drop_dir: str, bronze_root: str, ingestion_time: Column | None = None,
+                multi_line: bool = False) -> dict[str, DataFrame]:
+    """Append every file of a data drop to its bronze table under ``bronze_root`` (S2 + S1 + K2)."""
+    drop = read_drop(spark, drop_dir, ingestion_time, multi_line)
+    return {t: append_bronze(df, f"{bronze_root.rstrip('/')}/{t}", t) for t, df in drop.items()}
 
 
 # --- K3: typed lake table -> text bronze rows ---
@@ -165,16 +202,24 @@ def unnest_hourly(payload: DataFrame) -> DataFrame:
     """One row per hour of each payload: [start, end) stepped by interval (S7), typed as K4.
 
     The hourly timestamps come from ``sequence``; value arrays are zipped
-    positionally and NaN readings become NULL. Pure per-row work: no shuffle.
+    positionally and NaN readings become NULL. An array that is not as long as the
+    hours fails the job; a NULL array gives NULL readings. Rows carry the payload's
+    ``_ingestion_time``, or the present time. Pure per-row work: no shuffle.
     """
+    stamp = F.col(INGESTION_TIME) if INGESTION_TIME in payload.columns else F.current_timestamp()
     hours = F.sequence(
         F.col("start_ts"),
         F.timestamp_add("SECOND", -F.col("interval_s"), F.col("end_ts")),
         F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("interval_s")),
     )
-    zipped = F.arrays_zip(hours.alias("timestamp_utc"), *[F.col(v) for v in WEATHER_VARIABLES])
+    def fitting(v: str) -> Column:
+        wrong = F.size(v) != F.size(hours)
+        text = F.concat(F.lit("payload of event "), F.col("eventId"), F.lit(f": {v} does not have one reading per hour"))
+        return F.when(F.col(v).isNotNull() & wrong, F.raise_error(text)).otherwise(F.col(v)).alias(v)
+
+    zipped = F.arrays_zip(hours.alias("timestamp_utc"), *[fitting(v) for v in WEATHER_VARIABLES])
     exploded = payload.select(
-        "eventId", "date", "latitude", "longitude", F.inline(zipped)
+        "eventId", "date", "latitude", "longitude", stamp.cast("timestamp_ntz").alias(INGESTION_TIME), F.inline(zipped)
     )
     return exploded.select(
         F.col("eventId").cast("string").alias("eventId"),
@@ -183,15 +228,15 @@ def unnest_hourly(payload: DataFrame) -> DataFrame:
         F.col("latitude").cast("double").alias("latitude"),
         F.col("longitude").cast("double").alias("longitude"),
         *[_nan_to_null(F.col(v)).cast("float").alias(v) for v in WEATHER_VARIABLES],
-    ).filter(F.col("timestamp_utc").isNotNull())
+        INGESTION_TIME,
+    )
 
 
 # --- K1 / K11: lake export and declared empty tables ---
 
-def export_csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str) -> str:
+def export_csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, multi_line: bool = False) -> str:
     """CSV drop file -> parquet with one text field per CSV column (K1), written as a whole."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
-    normalize_na(df).write.mode("overwrite").parquet(out_path)
+    normalize_na(scan_csv(spark, csv_path, multi_line)).write.mode("overwrite").parquet(out_path)
     return out_path
 
 

@@ -65,6 +65,9 @@ DROP_FILES = {
 
 
 def bronze_schema(table: str) -> T.StructType:
+    """Declared schema of a bronze table: typed for weather, text for the tables of a drop."""
+    if table == "weather":
+        return WEATHER_SCHEMA
     keys = set(BRONZE_KEYS[table])
     fields = [T.StructField(c, T.StringType(), c not in keys) for c in BRONZE_COLUMNS[table]]
     fields.append(T.StructField(INGESTION_TIME, T.TimestampNTZType(), False))
@@ -82,6 +85,7 @@ WEATHER_SCHEMA = T.StructType([
     T.StructField("rain", T.FloatType(), True),
     T.StructField("snowfall", T.FloatType(), True),
     T.StructField("wind_speed_10m", T.FloatType(), True),
+    T.StructField(INGESTION_TIME, T.TimestampNTZType(), False),
 ])
 
 # Hourly variables requested from the weather API, in payload order.

@@ -8,13 +8,19 @@ aggregation) happens in the library on whatever rows it is handed. The same
 recipe is written in DuckDB SQL in ``kickwx.oracle`` for the parity check.
 
 Recipe (k = o_orderkey, NS = max(s_suppkey)+1, NC = max(c_custkey)+1):
+  event id   k, or k + 3,000,000,000 (beyond 32 bits) for k mod 101 = 9
   fixtures   one row per order, kick-off = order date + ((7k) mod 96) * 15 min;
-             a second, newer version (+1 day, home score + 1) for k mod 7 = 0
-  teamStats  lineitem lines 1 and 2 per order = home and away team
+             a second, newer version (loaded a day later, home score + 1) for k mod 7 = 0;
+             faulty rows: unknown home team (k mod 97 = 5), no away team (k mod 89 = 3),
+             away score -1 (k mod 83 = 7)
+  teamStats  every lineitem row: odd lines are the home team's, even lines the away team's,
+             each loaded l_linenumber minutes after the first load (so teams have several versions)
   teams      customers (padded names, some empty locations)
-  venues     suppliers with nation and region (some without coordinates)
+  venues     suppliers with nation and region (some without coordinates, some names with
+             quotes, commas or line breaks)
   payload    one API payload (24 hourly readings) per order whose venue has
-             coordinates, except k mod 13 = 0 (not fetched yet)
+             coordinates, except k mod 13 = 0 (not fetched yet: the pending work list needs some);
+             fetched again a day later with other readings for k mod 9 = 4
 """
 
 from __future__ import annotations
@@ -36,9 +42,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _max_plus_one(df: DataFrame, col: str) -> int:
-    # a single scalar parameter of the recipe (table cardinality), not table data
-    return int(df.agg(F.max(col)).first()[0]) + 1
+def _max_plus_one(df: DataFrame, col: str) -> Column:
+    """A scalar parameter of the recipe (table cardinality), as a scalar subquery."""
+    return df.agg(F.max(col) + 1).scalar()
+
+
+def event_id(k: Column) -> Column:
+    return F.when(k % 101 == 9, k + 3_000_000_000).otherwise(k)
 
 
 def _s(x: Column) -> Column:
@@ -93,7 +103,7 @@ def stand_in(spark: SparkSession, sf_dir: str) -> StandIn:
     )
 
 
-def _fixtures(orders: DataFrame, ns: int, nc: int) -> DataFrame:
+def _fixtures(orders: DataFrame, ns: Column, nc: Column) -> DataFrame:
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     kick = F.timestamp_add("MINUTE", ((k * 7) % 96) * 15, F.col("o_orderdate"))
@@ -107,17 +117,17 @@ def _fixtures(orders: DataFrame, ns: int, nc: int) -> DataFrame:
 
     def rows(src: DataFrame, version: int) -> DataFrame:
         h = home_score + (version - 1)
-        a = away_score
+        a = F.when(k % 83 == 7, -1).otherwise(away_score)
         return src.select(
             _s(k + 1).alias("Rn"),
             F.lit("1").alias("seasonType"),
             _s(cust % 10 + 700).alias("leagueId"),
-            _s(k).alias("eventId"),
+            _s(event_id(k)).alias("eventId"),
             _s(kick).alias("date"),
             _s(k % ns).alias("venueId"),
             F.when(k % 10 == 0, F.lit("")).otherwise(_s(F.floor(F.col("o_totalprice") / pow10))).alias("attendance"),
-            _s(cust).alias("homeTeamId"),
-            _s((cust + 1 + k % 7) % nc).alias("awayTeamId"),
+            _s(F.when(k % 97 == 5, cust + 900_000_000).otherwise(cust)).alias("homeTeamId"),
+            F.when(k % 89 == 3, F.lit("")).otherwise(_s((cust + 1 + k % 7) % nc)).alias("awayTeamId"),
             _s(h > a).alias("homeTeamWinner"),
             _s(a > h).alias("awayTeamWinner"),
             F.when(k % 50 == 0, F.lit("")).otherwise(_s(h)).alias("homeTeamScore"),
@@ -133,7 +143,7 @@ def _fixtures(orders: DataFrame, ns: int, nc: int) -> DataFrame:
     return rows(orders, 1).unionByName(rows(orders.filter(k % 7 == 0), 2))
 
 
-def _teams(customer: DataFrame, nation: DataFrame, ns: int) -> DataFrame:
+def _teams(customer: DataFrame, nation: DataFrame, ns: Column) -> DataFrame:
     c = F.col("c_custkey")
     j = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
     return j.select(
@@ -160,7 +170,8 @@ def _venues(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFr
     has = venue_has_coordinates(s)
     return j.select(
         _s(s).alias("venueId"),
-        F.col("s_name").alias("fullName"),
+        F.when(s % 5 == 1, F.concat(F.lit('The "'), F.col("s_name"), F.lit('" Park, North')))
+        .when(s % 7 == 2, F.concat(F.col("s_name"), F.lit("\nAnnex"))).otherwise(F.col("s_name")).alias("fullName"),
         F.col("s_name").alias("shortName"),
         _s(s * 10 + 1000).alias("capacity"),
         F.when(s % 11 == 0, F.lit("None")).otherwise(F.col("n_name")).alias("city"),
@@ -171,17 +182,13 @@ def _venues(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFr
     )
 
 
-def _team_stats(lineitem: DataFrame, orders: DataFrame, nc: int) -> DataFrame:
-    per_line = (
-        lineitem.filter(F.col("l_linenumber").isin(1, 2))
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.max("l_quantity").alias("q"), F.max("l_discount").alias("d"))
-    )
-    j = per_line.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+def _team_stats(lineitem: DataFrame, orders: DataFrame, nc: Column) -> DataFrame:
+    j = lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     k = F.col("l_orderkey")
     cust = F.col("o_custkey")
-    team = F.when(F.col("l_linenumber") == 1, cust).otherwise((cust + 1 + k % 7) % nc)
-    q = F.col("q")
+    line = F.col("l_linenumber")
+    team = F.when(line % 2 == 1, cust).otherwise((cust + 1 + k % 7) % nc)
+    q = F.col("l_quantity")
     nulls = {c: F.lit(None).cast("string") for c in [
         "offsides", "saves", "totalShots", "shotsOnTarget", "shotPct", "penaltyKickGoals",
         "penaltyKickShots", "accuratePasses", "totalPasses", "passPct", "accurateCrosses",
@@ -190,16 +197,16 @@ def _team_stats(lineitem: DataFrame, orders: DataFrame, nc: int) -> DataFrame:
         "effectiveClearance", "totalClearance", "updateTime"]}
     return j.select(
         F.lit("1").alias("seasonType"),
-        _s(k).alias("eventId"),
+        _s(event_id(k)).alias("eventId"),
         _s(team).alias("teamId"),
-        _s(F.col("l_linenumber")).alias("teamOrder"),
-        _s(F.round(F.col("d") * 100 + 40, 2)).alias("possessionPct"),
+        _s(line).alias("teamOrder"),
+        _s(F.round(F.col("l_discount") * 100 + 40, 2)).alias("possessionPct"),
         _s(q).alias("foulsCommitted"),
         _s(q % 5).alias("yellowCards"),
         _s(q % 2).alias("redCards"),
         _s(q % 12).alias("wonCorners"),
         *[v.alias(n) for n, v in nulls.items()],
-        F.lit(FIRST_LOAD).cast("timestamp_ntz").alias(INGESTION_TIME),
+        F.timestamp_add("MINUTE", line, F.lit(FIRST_LOAD).cast("timestamp_ntz")).alias(INGESTION_TIME),
     )
 
 
@@ -212,9 +219,15 @@ def _reading(expr_of_h, nan_when=None):
     return f
 
 
-def _payload(orders: DataFrame, ns: int) -> DataFrame:
-    k = F.col("o_orderkey")
-    venue = k % ns
+def _payload(orders: DataFrame, ns: Column) -> DataFrame:
+    again = orders.filter(F.col("o_orderkey") % 9 == 4)
+    return _payloads(orders, ns, 1).unionByName(_payloads(again, ns, 2))
+
+
+def _payloads(orders: DataFrame, ns: Column, version: int) -> DataFrame:
+    key = F.col("o_orderkey")
+    venue = key % ns
+    k = key + 5 * (version - 1)  # readings of a later fetch differ
     hours = F.sequence(F.lit(0), F.lit(23))
 
     def tenths(mult: int, hmult: int, mod: int, shift: int = 0):
@@ -228,10 +241,10 @@ def _payload(orders: DataFrame, ns: int) -> DataFrame:
         t = tenths(11, 3, 500, 100)(h)
         return F.when(t < 0, tenths(13, 7, 100)(h)).otherwise(F.lit(0.0)).cast("float")
 
-    fetched = venue_has_coordinates(venue) & (k % 13 != 0)
+    fetched = venue_has_coordinates(venue) & (key % 13 != 0)
     day = F.col("o_orderdate")
     return orders.filter(fetched).select(
-        _s(k).alias("eventId"),
+        _s(event_id(key)).alias("eventId"),
         day.cast("date").alias("date"),
         venue_latitude(venue).alias("latitude"),
         venue_longitude(venue).alias("longitude"),
@@ -243,6 +256,7 @@ def _payload(orders: DataFrame, ns: int) -> DataFrame:
         F.transform(hours, precip).alias("rain"),
         F.transform(hours, snow).alias("snowfall"),
         F.transform(hours, wind).alias("wind_speed_10m"),
+        F.lit(FIRST_LOAD if version == 1 else SECOND_LOAD).cast("timestamp_ntz").alias(INGESTION_TIME),
     )
 
 

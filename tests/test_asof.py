@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from kickwx.operators.asof import select_aggregate, select_grid, select_topk, select_window
+from kickwx.operators.asof import select_aggregate, select_grid, select_kickoff_weather, select_topk, select_window
 
 DAY = datetime(2001, 5, 6)
 
@@ -64,6 +64,13 @@ def brute_force(obs, ko, strict=True):
     return keep
 
 
+def test_only_the_window_form_takes_strict_false(spark):
+    w, k = frames(spark, [(1, DAY, 0.0)], [(1, DAY)])
+    for method in ("grid", "ranks", "aggregate", "topk"):
+        with pytest.raises(ValueError):
+            select_kickoff_weather(w, k, method=method, strict=False)
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_window_matches_brute_force_on_irregular_data(spark, strict):
     rnd = random.Random(7)

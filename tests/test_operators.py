@@ -3,9 +3,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from kickwx.operators.dedup import latest_by_key
-from kickwx.operators.enrich import geocode_query_text, mark_has_weather, pending_weather
+from kickwx.operators.enrich import geocode_query_text, mark_has_weather, pending_geocode, pending_weather
 from kickwx.operators.quality import negative_values, null_counts, relationship_violations, unique_violations
-from kickwx.operators.upsert import current_version, incremental_upsert, upsert_table
+from kickwx.operators.upsert import incremental_upsert, upsert_table
 
 
 def test_latest_by_key_keeps_newest_and_plans_partial_limit(spark):
@@ -29,13 +29,43 @@ def test_incremental_upsert_replaces_keeps_and_is_idempotent(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
-def test_upsert_table_writes_new_versions(spark, tmp_path):
+def test_upsert_table_replaces_only_touched_buckets(spark, tmp_path):
     root = str(tmp_path / "fact")
-    v1 = upsert_table(spark, root, spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), ["id"])
-    v2 = upsert_table(spark, root, spark.createDataFrame([(2, "c")], "id int, v string"), ["id"])
-    assert v1 != v2 and current_version(spark, root) == v2
-    assert sorted(map(tuple, spark.read.parquet(v2).collect())) == [(1, "a"), (2, "c")]
-    assert sorted(map(tuple, spark.read.parquet(v1).collect())) == [(1, "a"), (2, "b")]
+    first = spark.createDataFrame([(i, "a") for i in range(200)], "id int, v string")
+    upsert_table(spark, root, first, ["id"], buckets=8)
+    files = lambda: set((tmp_path / "fact").glob("*/part-*"))
+    before = files()
+    batch = spark.createDataFrame([(5, "b")], "id int, v string")
+    for _ in range(2):  # a re-run changes nothing
+        out = {r.id: r.v for r in upsert_table(spark, root, batch, ["id"], buckets=8).collect()}
+        assert out == {i: "b" if i == 5 else "a" for i in range(200)}
+    assert len(before & files()) == len(before) - 1
+
+
+def test_ties_on_the_version_go_to_the_smallest_columns(spark):
+    t = datetime(2025, 1, 1)
+    df = spark.createDataFrame([("b", "4", t), ("b", None, t), ("b", "3", t)], "k string, v string, _ingestion_time timestamp_ntz")
+    assert latest_by_key(df, ["k"]).first().v == "3"
+    assert latest_by_key(df.withColumn("w", F.lit(0)), ["k"], tie_break=["v"]).first().v == "3"
+
+
+def test_ids_beyond_32_bits_reach_the_models(spark):
+    from kickwx.plans import staging as stg
+    wide = [3_000_000_000, 4_000_000_000]
+    cols = ["eventId", "date", "venueId", "homeTeamId", "awayTeamId", "attendance", "homeTeamScore", "awayTeamScore",
+            "homeTeamShootoutScore", "awayTeamShootoutScore"]
+    rows = [(str(i), "2001-01-01 15:00:00", "1", str(i + 1), "2", "", "1", "0", "", "") for i in wide]
+    rows += [("x", "2001-01-01 15:00:00", "1", "1", "2", "", "1", "0", "", "")]
+    fx = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).withColumn(
+        "_ingestion_time", F.lit("2025-01-01").cast("timestamp_ntz"))
+    assert sorted((r.event_id, r.home_team_id) for r in stg.stg_fixtures(fx).collect()) == [(i, i + 1) for i in wide]
+    assert stg.unusable_ids(fx, "eventId").count() == 1
+
+
+def test_work_lists_are_whole_unless_limited(spark):
+    venues = spark.createDataFrame([(str(i), "n", "c", "k", None) for i in range(600)], "venueId string, fullName string, city string, country string, latitude string")
+    fx = spark.createDataFrame([(str(i),) for i in range(600)], "venueId string")
+    assert pending_geocode(venues, fx).count() == 600 and pending_geocode(venues, fx, 7).count() == 7
 
 
 def test_quality_checks_find_seeded_rows(spark):

@@ -1,5 +1,7 @@
 """Plan shape and properties of the marts and queries on the smallest test tables."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from kickwx.plans import analytics as A
@@ -51,36 +53,36 @@ def test_fact_is_one_row_per_match(marts_small):
     assert f.count() == f.select("match_id").distinct().count()
 
 
-def test_bucketed_marts_join_without_exchange(spark):
-    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables, read_tables
-    materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_marts", buckets=4,
-                       bucket=True)
-    m = read_tables(spark, "kickwx_test_marts")
+@contextmanager
+def without_broadcast_or_aqe(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        p = plan(A.variability_rain(m))
-        assert "SortMergeJoin" in p  # a shuffle-free join of the two bucketed tables
-        assert "Exchange hashpartitioning(weather_key" not in p
-        assert A.variability_rain(m).count() == A.variability_rain(marts_of(spark)).count()
+        yield
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_bucketed_marts_join_without_exchange_and_without_a_hot_bucket(spark):
+    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables, read_tables
+    materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_marts", buckets=4)
+    m = read_tables(spark, "kickwx_test_marts")
+    with without_broadcast_or_aqe(spark):
+        p = plan(A.variability_rain(m))
+        assert "SortMergeJoin" in p  # a shuffle-free join of the two bucketed tables
+        assert "Exchange hashpartitioning(event_id" not in p and "Exchange hashpartitioning(weather_key" not in p
+        assert A.variability_rain(m).count() == A.variability_rain(marts_of(spark)).count()
+    sizes = [r["count"] for r in m.fact_match.groupBy(F.pmod(F.hash("event_id"), F.lit(4))).count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / 4
+
+
 def marts_of(spark):
     from kickwx.plans.warehouse import marts_from_tables
     return marts_from_tables(spark, "/root/testdata/sf0.001")
 
 
-def test_bucketing_is_decided_by_size(spark):
-    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables
-    v = materialize_tables(spark, bronze_from_tables(spark, "/root/testdata/sf0.001"), "kickwx_test_auto")
-    desc = spark.sql(f"DESCRIBE TABLE EXTENDED kickwx_test_auto.fact_match_{v}").collect()
-    assert not any(r.col_name == "Num Buckets" for r in desc)  # tiny dimension: broadcast, no buckets
-
-
 def test_team_perspective_rows_follow_in_join_semantics(spark):
     """Same team on both sides: the reference's IN join yields one row; a NULL side yields none for it."""
     from datetime import date
@@ -101,12 +103,38 @@ def test_team_perspective_rows_follow_in_join_semantics(spark):
     assert rows == [(1, 7, 7, 1), (2, 7, 8, -3), (2, 8, 7, 3)]
 
 
-def test_fact_grain_aggregation_reuses_event_partitioning(spark, marts_small):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+def test_fact_grain_sits_on_the_event_partitioning_below_every_lookup(spark, marts_small):
+    with without_broadcast_or_aqe(spark):
         lines = plan(marts_small.fact_match).splitlines()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    aggs = [i for i, line in enumerate(lines) if "HashAggregate" in line]
-    top, below = aggs[0], aggs[1]  # final and partial of the grain aggregation
-    assert not any("Exchange" in line for line in lines[top:below])
+    tree = [line for line in lines if "Aggregate" in line or "Exchange" in line]
+    # from the top down: the lookups' exchanges come first, and no aggregate above them
+    first_agg = next(i for i, line in enumerate(tree) if "Aggregate" in line)
+    assert any("hashpartitioning(away_team_id" in line for line in tree[:first_agg])
+    assert any("hashpartitioning(venue_id" in line for line in tree[:first_agg])
+    # the grain and pivot aggregates run on what the event exchanges delivered
+    below = next(line for line in tree[first_agg:] if "Exchange" in line)
+    assert "hashpartitioning(event_id" in below
+
+
+def exchanges_of_the_weather(spark, method):
+    from kickwx.operators.asof import select_kickoff_weather
+    from kickwx.plans import staging as stg
+    from kickwx.plans.warehouse import bronze_from_tables, read_bronze, write_bronze
+    b = read_bronze(spark, write_bronze(spark, bronze_from_tables(spark, "/root/testdata/sf0.001")))
+    with without_broadcast_or_aqe(spark):
+        kick = stg.stg_fixtures(b.fixtures).select("event_id", "match_datetime")
+        lines = plan(select_kickoff_weather(stg.latest_observations(b.weather, method), kick, method=method)).splitlines()
+    # exchanges on the path from the weather scan to the root
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "timestamp_utc" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    path, at = [], depth(lines[scan])
+    for line in lines[scan::-1]:
+        if depth(line) < at:
+            path.append(line)
+            at = depth(line)
+    return [line for line in path if "Exchange" in line]
+
+
+def test_weather_is_exchanged_once(spark):
+    for method in ("window", "grid"):
+        assert len(exchanges_of_the_weather(spark, method)) == 1, method

@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -26,6 +28,27 @@ def test_stream_ingests_each_payload_file_once(spark, tmp_path):
     assert w.count() == 72 and w.select("eventId").distinct().count() == 3
 
 
+SESSION = """
+import sys
+from pyspark.sql import SparkSession
+sys.path[:0] = {path!r}
+from kickwx.sources.schemas import PAYLOAD_SCHEMA
+from kickwx.streaming.payload_ingest import ingest_available_payloads
+from tests.test_streaming_and_views import payload_rows
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {root!r} + "/shared").getOrCreate())
+spark.createDataFrame(payload_rows([{match}]), PAYLOAD_SCHEMA).write.mode("append").parquet({root!r} + "/landing")
+ingest_available_payloads(spark, {root!r} + "/landing", {root!r} + "/weather")
+"""
+
+
+def test_payloads_landed_between_two_sessions_are_all_ingested(spark, tmp_path):
+    for match in (1, 2):  # a Spark context of its own for each
+        code = SESSION.format(path=sys.path, root=str(tmp_path), match=match)
+        subprocess.run([sys.executable, "-c", code], check=True, timeout=240, capture_output=True)
+    assert spark.read.parquet(str(tmp_path / "weather")).count() == 48
+
+
 def test_views_answer_sql_like_dataframes(spark, marts_small):
     register_views(spark, marts_small, prefix="t_")
     sql = spark.sql("""
