@@ -8,7 +8,7 @@ batch at U+0020 and numbers the distinct chunks; the library encodes only those
 from __future__ import annotations
 
 import json
-import string
+import re
 import unicodedata
 
 import numpy as np
@@ -17,6 +17,9 @@ import pyarrow.compute as pc
 
 MEMO_CHUNKS = 600_000
 
+# Lower-case letters of Latin-1 (which normalisation leaves as they are) before ASCII punctuation.
+LETTER_THEN_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
+
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
@@ -39,6 +42,8 @@ class ChunkEncoder:
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
         if suffix:
             self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        # texts with an added token, in any case of A-Z, are left as they are
+        self.added = "|".join("(?i:" + re.escape(t.content) + ")" for t in self.tokenizer.get_added_tokens_decoder().values())
         self._forget()
 
     def _forget(self) -> None:
@@ -58,41 +63,25 @@ class ChunkEncoder:
         return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Add chunks to the memo.
-
-        A run of letters ends at the next ASCII punctuation, so a punctuation tail is a piece of its own;
-        the tokenizer lowers A-Z itself, so ASCII words are encoded once.
-        """
-        words: dict[str, int] = {}
-        others: dict[str, int] = {}
-        head, tail = [], []  # numbers of a chunk's parts: words from 0 up, others from -1 down
-        for chunk in chunks:
-            word = chunk.rstrip(string.punctuation)
-            if _letters(word):
-                rest = chunk[len(word):]
-                head.append(words.setdefault(word.lower() if word.isascii() else word, len(words)))
-                tail.append(~others.setdefault(rest, len(others)) if rest else None)
-            else:
-                head.append(~others.setdefault(chunk, len(others)))
-                tail.append(None)
-        ids, sizes = self._encode_words(list(words)) if words else (np.empty(0, np.uint32), np.empty(0, np.int64))
-        raw, cuts = ids.tobytes(), (4 * np.append(0, np.cumsum(sizes))).tolist()
-        parts = [raw[x:y] for x, y in zip(cuts, cuts[1:])]
-        if others:
-            ids, sizes = self._encode_chunks(list(others))
-            raw, cuts = ids.tobytes(), (4 * np.append(0, np.cumsum(sizes))).tolist()
-            parts += [raw[x:y] for x, y in zip(cuts, cuts[1:])][::-1]  # so that -1 is the first of them
-        whole = [parts[h] if t is None else parts[h] + parts[t] for h, t in zip(head, tail)]
-        self.memo.update(zip(chunks, range(len(self.memo), len(self.memo) + len(chunks))))
-        sizes = np.fromiter(map(len, whole), np.int64, len(whole)) // 4
-        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.ids = np.append(self.ids, np.frombuffer(b"".join(whole), np.uint32))
+        """Add chunks to the memo: runs of letters as one text, others each by itself."""
+        words = [c for c in chunks if _letters(c)]
+        others = list(set(chunks).difference(words))
+        for own, code in ((words, self._encode_words), (others, self._encode_chunks)):
+            if own:
+                ids, sizes = code(own)
+                self.memo.update(zip(own, range(len(self.memo), len(self.memo) + len(own))))
+                self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+                self.sizes = np.append(self.sizes, sizes)
+                self.ids = np.append(self.ids, ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (nulls as empty) in one flat array, and the number of ids of each text."""
-        spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
-        pieces = pc.split_pattern(spaced, " ")
+        texts = pc.fill_null(texts, "")
+        # the tokenizer lowers A-Z itself, and a run of letters ends at the next ASCII punctuation
+        eased = pc.replace_substring_regex(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), LETTER_THEN_MARK, r"\1 \2")
+        if self.added:
+            eased = pc.if_else(pc.match_substring_regex(texts, self.added), texts, eased)
+        pieces = pc.split_pattern(eased, " ")
         offsets = np.asarray(pieces.offsets)
         coded = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
