@@ -229,7 +229,8 @@ def matched_spans(mine: np.ndarray, theirs: np.ndarray, seeds: list[tuple[int, i
             return False
         own = a + np.flatnonzero(hit[a:b])
         shift = where[own] - own
-        held = where[own][np.abs(shift - np.median(shift)) <= b - a]  # shingles that also stand elsewhere aside
+        middle = np.sort(shift)[len(shift) // 2]
+        held = where[own][np.abs(shift - middle) <= b - a]  # shingles that also stand elsewhere aside
         c, d = int(held.min()), int(held.max()) + 1
         near = jaccard(a, b, c, d)
         if near >= similarity:
