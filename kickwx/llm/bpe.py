@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kickwx.llm.batches import slices
 
-MEMO_PIECES = 800_000
+MEMO_PIECES = 500_000
 
 # Fixed value: the split pattern of byte-level tokenizers, with Unicode white space written out.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 400_000
 
 # Lower-case letters of Latin-1 (which normalisation leaves as they are) before ASCII punctuation.
 LETTER_THEN_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"

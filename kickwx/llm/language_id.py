@@ -21,7 +21,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
 GRAMS = (1, 2, 3, 4)
 BLOCK = 64
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +228,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     mean posterior over the words, ``score`` is that mean; ``runs`` are the stretches of words with one most
     likely language: ``lang, first_word, n_words``.
 
-    No shuffle; a task's memory follows a 4 MB slice of texts (or one longer text).
+    No shuffle; a task's memory follows a 1 MB slice of texts (or one longer text).
 
     Defined cases: a null text or one without a letter is ``und`` with score 0 and no runs; ids may be null or
     repeated; empty input gives no rows; other columns are ignored; ties go to the first label in order.
@@ -247,7 +247,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         names = np.array(model.labels, object)
         memo: dict[str, int] = {}
         table = np.empty((0, len(names)))
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 20):
             words = [WORD.findall(t.lower()) if t and len(names) else [] for t in part.column("text").to_pylist()]
             sizes = np.array([len(w) for w in words], np.int64)
             full = np.flatnonzero(sizes)

@@ -57,15 +57,22 @@ def write_token_files(
 
         for some in slices(batches, "text"):
             ids, n = code.encode(some.column("text"))
-            end = np.cumsum(n)
-            ids = np.insert(ids, end, end_id)
-            doc_ids += some.column("doc_id").to_pylist()
-            tokens.append(ids)
-            sizes += (n + 1).tolist()
-            total += len(ids)
-            if total >= shard_tokens:
-                yield shard()
-                doc_ids, tokens, sizes, total, made = [], [], [], 0, made + 1
+            ids = np.insert(ids, np.cumsum(n), end_id)
+            names, n = some.column("doc_id").to_pylist(), n + 1
+            ends = np.cumsum(n)
+            first = 0
+            while first < len(n):  # documents up to the one that fills the shard
+                start = int(ends[first - 1]) if first else 0
+                stop = min(len(n), 1 + int(np.searchsorted(ends, start + shard_tokens - total)))
+                end = int(ends[stop - 1])
+                doc_ids += names[first:stop]
+                tokens.append(ids[start:end])
+                sizes += n[first:stop].tolist()
+                total += end - start
+                first = stop
+                if total >= shard_tokens:
+                    yield shard()
+                    doc_ids, tokens, sizes, total, made = [], [], [], 0, made + 1
         if sizes:
             yield shard()
 

@@ -72,7 +72,7 @@ class BlockMaxIndex:
         self.cells = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1)).reshape(-1)
         self.most = np.zeros(n_terms * max(self.n_blocks, 1))
         np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, -1)
+        self.most = self.most.reshape(n_terms, max(self.n_blocks, 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (ties: lower number), and the cosines."""
