@@ -464,6 +464,17 @@ FROM fixtures_latest f""",
         f'CASE WHEN "{c}" NOT IN ({_NA_SQL}) THEN "{c}" END AS "{c}"' for c in _VENUE_COLS
     ) + ", _ingestion_time FROM bronze_venues",
     "bronze_append": "SELECT * FROM bronze_fixtures",
+    "csv_export": "SELECT " + ", ".join(
+        f'CASE WHEN "{c}" NOT IN ({_NA_SQL}) THEN "{c}" END AS "{c}"' for c in _VENUE_COLS
+    ) + " FROM bronze_venues",
+    "drop_ingest": " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count FROM "bronze_{t}\""""
+        for t in ["fixtures", "teams", "venues", "teamStats"]),
+    "lake_table": "SELECT * FROM bronze_venues",
+    "sql_views": """
+SELECT team_name, count(*) AS home_matches, CAST(sum(home_goals) AS BIGINT) AS home_goals
+FROM fact_match JOIN dim_team ON home_team_key = team_key GROUP BY team_name""",
+    "marts_tables": "SELECT * FROM fact_match",
     "dq_unique": f"""
 FROM (SELECT 'fact_match.match_id' AS "check", match_id AS key_value FROM fact_match
       UNION ALL SELECT 'dim_date.date_key', date_key FROM dim_date

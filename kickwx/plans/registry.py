@@ -242,12 +242,68 @@ def _csv_ingest(spark, sf_dir):
     """Venue rows exported as CSV (quotes, commas, line breaks, NA tokens) and loaded back as bronze."""
     from kickwx.sources.bronze import read_bronze_csv
     from kickwx.sources.testdata import FIRST_LOAD, stand_in
-    path = fresh_path(spark, "venues-csv")
-    (stand_in(spark, sf_dir).venues.drop("_ingestion_time").write.option("header", True).option("quote", '"').option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    path = _write_csv(stand_in(spark, sf_dir).venues.drop("_ingestion_time"), fresh_path(spark, "venues-csv"))
     return read_bronze_csv(spark, path, "venues", F.lit(FIRST_LOAD).cast("timestamp_ntz"), multi_line=True)
 
 
+def _write_csv(df, path):
+    (df.write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+def _csv_export(spark, sf_dir):
+    """Venue CSV exported to a text parquet table and read back (K1)."""
+    from kickwx.sources.bronze import export_csv_to_parquet
+    from kickwx.sources.testdata import stand_in
+    path = _write_csv(stand_in(spark, sf_dir).venues.drop("_ingestion_time"), fresh_path(spark, "venues-csv"))
+    return spark.read.parquet(export_csv_to_parquet(spark, path, fresh_path(spark, "venues-lake"), multi_line=True))
+
+
+def _drop_ingest(spark, sf_dir):
+    """A data drop with three of its four files appended to bronze, and the fourth table from the lake: rows per table."""
+    from kickwx.sources.bronze import append_drop, read_lake_or_csv
+    from kickwx.sources.testdata import stand_in
+    s, drop, lake = stand_in(spark, sf_dir), fresh_path(spark, "drop"), fresh_path(spark, "lake-teams")
+    for name, df in (("fixtures", s.fixtures), ("venues", s.venues), ("teamStats", s.team_stats)):
+        _write_csv(df.drop("_ingestion_time"), f"{drop}/{name}.csv")
+    s.teams.write.parquet(lake)
+    tables = append_drop(spark, drop, fresh_path(spark, "bronze"), multi_line=True)
+    tables["teams"] = read_lake_or_csv(spark, "teams", lake, f"{drop}/teams.csv")
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in sorted(tables.items())]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _lake_table(spark, sf_dir):
+    """Venue rows inserted into a declared catalog table, created where it was absent."""
+    from kickwx.sources.bronze import load_or_create_lake_table
+    from kickwx.sources.testdata import stand_in
+    name = "kickwx_lake_venues_" + fresh_path(spark, "t").rsplit("-", 1)[1]
+    empty = load_or_create_lake_table(spark, name, "venues")
+    stand_in(spark, sf_dir).venues.select(*empty.columns).write.insertInto(name)
+    return load_or_create_lake_table(spark, name, "venues")
+
+
+def _sql_views(spark, sf_dir):
+    """Home matches per team, asked in SQL of the registered views (K8)."""
+    from kickwx.plans.views import register_views
+    register_views(spark, marts_from_tables(spark, sf_dir), prefix="kickwx_")
+    return spark.sql("""
+        SELECT t.team_name, count(*) AS home_matches, sum(f.home_goals) AS home_goals
+        FROM kickwx_fact_match f JOIN kickwx_dim_team t ON f.home_team_key = t.team_key GROUP BY t.team_name""")
+
+
+def _marts_tables(spark, sf_dir):
+    """The fact read from marts written as bucketed catalog tables (K9)."""
+    from kickwx.plans.warehouse import bronze_from_tables, materialize_tables, read_tables
+    database = "kickwx_" + fresh_path(spark, "m").rsplit("-", 1)[1]
+    materialize_tables(spark, bronze_from_tables(spark, sf_dir), database, weather_method=PAYLOAD_WEATHER_METHOD)
+    return published_fact(read_tables(spark, database).fact_match)
+
+
 def _bronze_append(spark, sf_dir):
     """Bronze fixtures after two appended loads: every version of every row."""
     from kickwx.sources.bronze import append_bronze
@@ -373,6 +429,11 @@ EXTRA = {
     "weather_latest": _weather_latest,
     "csv_ingest": _csv_ingest,
     "bronze_append": _bronze_append,
+    "csv_export": _csv_export,
+    "drop_ingest": _drop_ingest,
+    "lake_table": _lake_table,
+    "sql_views": _sql_views,
+    "marts_tables": _marts_tables,
     "surrogate_keys": _surrogate_keys,
     "weather_hourly_unnest": _weather_hourly_unnest,
     "bronze_null_normalize": _bronze_null_normalize,
