@@ -10,13 +10,13 @@ from kickwx.llm.scratch import written
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "large-star")
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "small-star")
     moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``a, b`` (long) edges to ``node, root`` rows: every node on an edge, with the smallest node it reaches.
 
     Each round writes its edges; their number never grows beyond the first round's. Minima are combined before
-    they are shuffled, and the rows of a hub are split by the skew join. Loops and repeated or null-ended
+    they are shuffled and written, so that the skew join can split the rows of a hub. Loops and repeated or null-ended
     edges are dropped; without edges there are no rows.
     """
     now = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")
@@ -39,4 +39,4 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         mark = seen
-        now = written(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = written(_small_star(written(_large_star(now).distinct(), "edges")).distinct(), "edges")

@@ -27,7 +27,7 @@ def exact_dedup(
     themselves (the SHA-256 is only reported). Only documents that share a first digit carry their
     text into later rounds, each of which is one written table.
 
-    Groups are counted with map-side combining and joined back to the rows by sort-merge joins whose
+    Groups are counted with map-side combining, written, and joined back to the rows by joins whose
     row side adaptive execution may split, so a hot group never meets in one task.
 
     Defined cases: a null text counts as empty; all empty texts are equal. Of equal texts the largest
@@ -65,11 +65,14 @@ def exact_dedup(
             (F.length("rest") <= width).alias("ended"),
             F.substring("rest", width + 1, TO_END).alias("rest"),
         )
-        groups = split.groupBy("node", "digit", "ended").agg(
-            F.count(F.lit(1)).alias("group_size"),
-            F.max("doc_id").alias("keep_id"),
-            F.coalesce(F.max_by("row", "doc_id"), F.min("row")).alias("keep_row"),
-            F.min("row").alias("child"),
+        groups = written(
+            split.groupBy("node", "digit", "ended").agg(
+                F.count(F.lit(1)).alias("group_size"),
+                F.max("doc_id").alias("keep_id"),
+                F.coalesce(F.max_by("row", "doc_id"), F.min("row")).alias("keep_row"),
+                F.min("row").alias("child"),
+            ),
+            f"radix-groups-{level}",
         )
         open_ = ~F.col("ended") & (F.col("group_size") > 1)
         parted = written(

@@ -25,7 +25,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and reread: computed once, safe from lost executors."""
+    """``df`` written as Parquet in the shared folder and reread: computed once, safe from lost executors.
+
+    Also for the aggregate side of a join back to its own rows: the join then has an exchange right below it on
+    both sides, which adaptive execution needs in order to split a hot key's rows.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)

@@ -220,5 +220,5 @@ def simhash_near_dups(
     roots = components(near_links(classes.select("fp"), max_bits, shard_rows, max_shards))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = rooted.join(least, "root").select("fp", "component_id")
+    of_print = written(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-components")
     return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -349,7 +349,8 @@ def repeated_passages(
     windows = written(all_intervals(rows, 2, width, shingle), "windows")
 
     def shared(table: DataFrame) -> DataFrame:
-        return table.groupBy("sig").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")).filter("low <> high").select("sig")
+        ends = table.groupBy("sig").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"))
+        return written(ends.filter("low <> high").select("sig"), "shared")
 
     span = F.collect_set(F.struct("first", "last")).alias("ranges")
     ranges = windows.join(shared(windows), "sig").groupBy("text_key").agg(span)
@@ -363,7 +364,8 @@ def repeated_passages(
     for round_no in range(rounds):
         intervals = written(signatures(texts, fixed, range(number, number + hashes - len(fixed)), need, width, shingle), "intervals")
         number += hashes - len(fixed)
-        keeper = intervals.join(shared(intervals), "sig").groupBy("sig").agg(F.min(F.struct("doc_id", "text_key", "first")).alias("keep"))
+        meeting = intervals.join(shared(intervals), "sig")
+        keeper = written(meeting.groupBy("sig").agg(F.min(F.struct("doc_id", "text_key", "first")).alias("keep")), "keepers")
         seeds = (
             intervals.join(keeper, "sig").filter("text_key <> keep.text_key")
             .groupBy("text_key", F.col("keep.text_key").alias("keep_key"))

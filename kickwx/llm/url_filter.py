@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kickwx.llm.scratch import written
+
 HASH_PREFIX = 8  # hex digits: 32 bits
 
 
@@ -42,7 +44,8 @@ def url_filter(
 
     The driver reads the distinct (label count, path length) pairs of the rules: at most 127 labels
     times the longest rule path, whatever the number of rules. The rule table is broadcast only if the
-    planner's size estimate allows; else the join shuffles, and hot expressions are split by the skew join.
+    planner's size estimate allows; else the join shuffles, and hot expressions are split by the skew join. The
+    winners of the distinct urls are written and joined back to the pages, where a hot url's rows can be split.
 
     Defined cases: a null url, or one without ``://``, has empty host and path and fits no rule; page ids
     may be null or repeated (each row is judged); empty input gives no rows; rules with a null or
@@ -86,12 +89,13 @@ def url_filter(
         .withColumn("digest", F.sha2("expression", 256))
         .select("host", "path", "digest", F.substring("digest", 1, HASH_PREFIX).alias("hash"))
     )
-    winners = (
+    winners = written(
         expressions.join(rule_rows, "hash")
         .filter("digest = rule_digest")
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("chars"), "rule_verdict", "rule")).alias("best"))
-        .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("verdict"))
+        .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("verdict")),
+        "url-winners",
     )
     return judged.join(winners, ["host", "path"], "left").select(
         id_col, "host", "path", "rule", F.coalesce("verdict", F.lit(default_verdict)).alias("verdict")
