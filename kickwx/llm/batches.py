@@ -1,19 +1,42 @@
-"""Arrow batches for Python tasks."""
+"""Arrow batches and memory of Python tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
+_kept: dict[tuple[str, str], object] = {}
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+
+def kept(kind: str, path: str, make: Callable[[str], object]) -> object:
+    """This worker's object for a file, kept from task to task; of all kinds and files only the last is kept."""
+    if (kind, path) not in _kept:
+        _kept.clear()
+        _kept[kind, path] = make(path)
+    return _kept[kind, path]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on and are many, their peaks should not add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, keeps: bool = False) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about ``limit`` bytes of the text column (one row at least), so that a
-    task's memory follows neither the batch size nor the length of most rows."""
+    task's memory follows neither the batch size nor the length of most rows. Unless the task ``keeps`` an object
+    of its worker, what an earlier task kept is dropped."""
+    if not keeps:
+        _kept.clear()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -24,3 +47,4 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             stop = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kickwx.llm.batches import slices
+from kickwx.llm.batches import kept, slices
 
 MEMO_PIECES = 500_000
 
@@ -191,21 +191,16 @@ class BytePairCodec:
             return pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.large_string())
 
 
-_codecs: dict[str, BytePairCodec] = {}
-
-
 def codec(path: str) -> BytePairCodec:
     """This worker's codec for a tokenizer file."""
-    if path not in _codecs:
-        _codecs[path] = BytePairCodec(path)
-    return _codecs[path]
+    return kept("byte pair codec", path, BytePairCodec)
 
 
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, ids`` (array of int), as the tokenizers library encodes its text without
     adding special tokens; the strings of special tokens in a text become those tokens.
 
-    No shuffle; a task's memory follows a 4 MB slice of texts (or one longer text) and the bounded memo.
+    No shuffle; a task's memory follows a 2 MB slice of texts (or one longer text) and the bounded memo.
 
     Defined cases: a null or empty text has no ids; ids may be null or repeated; empty input gives no rows;
     other columns are ignored.
@@ -215,7 +210,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(tokenizer_path)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", keeps=True):
             ids, sizes = code.encode(part.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(out.field(0).type), lists.cast(out.field(1).type)], schema=out)

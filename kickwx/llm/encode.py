@@ -15,14 +15,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from kickwx.llm.batches import kept
+
 MEMO_CHUNKS = 400_000
 
 # Lower-case letters of Latin-1 (which normalisation leaves as they are) before ASCII punctuation.
 LETTER_THEN_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 
-_encoders: dict[str, "ChunkEncoder"] = {}
-
-
 def _letters(word: str) -> bool:
     """Letters only, and still so once normalised as the tokenizer does."""
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
@@ -105,6 +104,4 @@ class ChunkEncoder:
 
 def encoder(path: str) -> ChunkEncoder:
     """This worker's encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    return kept("chunk encoder", path, ChunkEncoder)

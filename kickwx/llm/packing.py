@@ -135,7 +135,7 @@ def pack_documents(
         code = encoder(tokenizer_path)
 
         def pieces() -> Iterator[list[Piece]]:
-            for part in slices(batches, "text"):
+            for part in slices(batches, "text", 4 << 20, keeps=True):
                 ids, sizes = code.encode(part.column("text"))
                 some, end = [], 0
                 for doc, size in zip(part.column("doc_id").to_pylist(), sizes.tolist()):
