@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kickwx.llm.batches import slices
+from kickwx.llm.batches import give_back, slices
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -218,7 +218,9 @@ def train(
     """Fit the field on the driver on a bounded sample: per language at most ``per_language`` documents (smallest
     hashed ids), of each at most ``spans`` spans of ``span_words`` words. Rows with a null id, text or language
     teach nothing. Without any such row the model has no label and everything is undetermined."""
-    return fit(training_spans(docs, id_col, text_col, lang_col, per_language, spans, span_words))
+    model = fit(training_spans(docs, id_col, text_col, lang_col, per_language, spans, span_words))
+    give_back()
+    return model
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
