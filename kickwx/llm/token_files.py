@@ -55,7 +55,7 @@ def write_token_files(
             row = [[part], [made], [total], [doc_ids], [file]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, out)], schema=out)
 
-        for some in slices(batches, "text", 4 << 20, keeps=True):
+        for some in slices(batches, "text", 8 << 20, keeps=True):
             ids, n = code.encode(some.column("text"))
             ids = np.insert(ids, np.cumsum(n), end_id)
             names, n = some.column("doc_id").to_pylist(), n + 1

@@ -81,8 +81,8 @@ class WaveletMatrix:
         for level, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
             ones = plane.bits()
             above = np.empty_like(now)
-            above[~ones] = now[:zeros]
-            above[ones] = now[zeros:] | kind(1 << level)
+            above[np.flatnonzero(~ones)] = now[:zeros]
+            above[np.flatnonzero(ones)] = now[zeros:] | kind(1 << level)
             now = above
         return now.astype(np.uint32)
 
