@@ -107,3 +107,15 @@ def test_matched_spans_handle_scattered_shingles():
     found, failed = matched_spans(mine, theirs, [(0, 5, 300), (100, 101, 0), (230, 231, 5)], 46, 5, 0.8)
     assert {(a, b, c, d) for a, b, c, d, _ in found} == {(0, 100, 300, 400), (100, 200, 0, 100)}
     assert failed == [(230, 231)]
+
+
+def test_one_word_edits_in_short_passages_are_found(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(220):
+        passage = words(rnd, 50 + i % 11)
+        edited = list(passage)
+        edited[rnd.randrange(len(edited))] = "edited"
+        rows += [(2 * i, " ".join(words(rnd, 40) + passage + words(rnd, 40))), (2 * i + 1, " ".join(words(rnd, 40) + edited + words(rnd, 40)))]
+    got = {(r.doc_id, r.keep_id) for r in repeated_passages(documents(spark, rows)).collect()}
+    assert got <= {(2 * i + 1, 2 * i) for i in range(220)} and len(got) >= 0.95 * 220
