@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -22,6 +22,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 ODD = np.uint64(0x9E3779B97F4A7C15)
 HIGH = np.uint64(0xFFFFFFFF00000000)
 LOW = 0xFFFFFFFF
+KEEPERS = (4, 32, 256)  # of a group with failed links, in each further round; then all that are left
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -300,7 +301,6 @@ def repeated_passages(
     similarity: float = 0.8,
     hashes: int = 4,
     agree: int = 2,
-    rounds: int = 2,
 ) -> DataFrame:
     """One row per repeated passage: ``doc_id, first_word, n_words, first_char, n_chars, keep_id, keep_first_word,
     keep_n_words, similarity``.
@@ -314,7 +314,8 @@ def repeated_passages(
     2. Of what is left, the tiles of any ``agree`` functions are intersected; intervals that agree in those functions meet
        in a group. All of a group are linked to its document of smallest id.
     3. Each link is verified on the texts themselves and extended as far as the passages match.
-       Groups with a link that failed are linked again to their next document, for at most ``rounds`` rounds in all.
+       A member whose link fails is linked to the next members of its group in ascending order (4, 32, 256, then all that are left), until
+       a found passage holds it or it was compared with every smaller member.
 
     Verbatim passages of ``min_words`` words always meet. As with any min-hashing, edited ones meet with a chance: for
     similarity s and any two of four functions, 1 - (1 - s)**4 - 4 * s * (1 - s)**3 at each independent place (0.973 at 0.8,
@@ -366,15 +367,19 @@ def repeated_passages(
         return open_, written(pool, "pool")
 
     open_, keeper = pool, written(pool.groupBy("sig").agg(F.min(member).alias("keep")), "keepers")
-    for round_no in range(rounds):
-        links = open_.join(keeper, "sig").filter((F.col("keep") < member) & (F.col("text_key") != F.col("keep.text_key")))
-        result = verify(links)
+    for many in (*KEEPERS, None):
+        result = verify(open_.join(keeper, "sig").filter((F.col("keep") < member) & (F.col("text_key") != F.col("keep.text_key"))))
         found.append(result.filter("similarity IS NOT NULL"))
         failed = result.filter("similarity IS NULL").select("text_key", F.col("first_word").alias("first")).distinct()
-        if round_no + 1 == rounds or failed.isEmpty():
+        if failed.isEmpty():
             break
         open_, pool = left_open(open_, failed, found[-1], pool, keeper)
-        keeper = written(pool.groupBy("sig").agg(F.min(member).alias("keep")), "keepers")
+        keeper = pool.select("sig", member.alias("keep"))
+        if many:
+            rank = F.row_number().over(Window.partitionBy("sig").orderBy("keep"))
+            keeper = written(keeper.withColumn("n", rank).filter(F.col("n") <= many).drop("n"), "keepers")
+    else:
+        found.append(verify(open_.join(keeper, "sig").filter((F.col("keep") < member) & (F.col("text_key") != F.col("keep.text_key")))).filter("similarity IS NOT NULL"))
     passages = reduce(DataFrame.unionByName, found).drop("text_key").distinct()
 
     whole = windows.filter("first = 0").select("text_key", "n_words").distinct()

@@ -119,3 +119,16 @@ def test_one_word_edits_in_short_passages_are_found(spark):
         rows += [(2 * i, " ".join(words(rnd, 40) + passage + words(rnd, 40))), (2 * i + 1, " ".join(words(rnd, 40) + edited + words(rnd, 40)))]
     got = {(r.doc_id, r.keep_id) for r in repeated_passages(documents(spark, rows)).collect()}
     assert got <= {(2 * i + 1, 2 * i) for i in range(220)} and len(got) >= 0.95 * 220
+
+
+def test_verbatim_passages_meet_behind_many_variants(spark):
+    rnd, rows = random.Random(13), []
+    for place in range(6):
+        base = words(rnd, 50)
+        for i in range(40):  # two neighbouring words edited: similarity 0.77 to the template, less to each other
+            own, at = list(base), rnd.randrange(5, 44)
+            own[at:at + 2] = [f"variant{i}", f"x{at}"]
+            rows.append((100 * place + i, " ".join(words(rnd, 20) + own + words(rnd, 20))))
+        rows += [(100 * place + 90 + i, " ".join(words(rnd, 20) + base + words(rnd, 20))) for i in range(2)]
+    got = {(r.doc_id, r.keep_id) for r in repeated_passages(documents(spark, rows)).collect()}
+    assert {(100 * place + 91, 100 * place + 90) for place in range(6)} <= got
