@@ -200,24 +200,44 @@ def matched_spans(mine: np.ndarray, theirs: np.ndarray, seeds: list[tuple[int, i
     (an edited word or two) are one span. A span holds if it is at least ``width`` long and the Jaccard similarity of
     its shingles to those of the span they come from is at least ``similarity``. Where it doesn't, its unbroken runs
     are taken instead, then those that the other text has in one piece, and where none holds, the seed's own windows are
-    compared.
+    compared. Of a shingle that stands in the other text more than once, the occurrence nearest to the seed's diagonal counts.
     """
     order = np.argsort(theirs, kind="stable")
-    at = np.minimum(np.searchsorted(theirs[order], mine), len(theirs) - 1)
-    hit = theirs[order][at] == mine
-    where = order[at]
+    low, high = np.searchsorted(theirs[order], mine), np.searchsorted(theirs[order], mine, side="right")
+    hit = low < high
     spots = np.flatnonzero(hit)
+    values, number = np.unique(theirs, return_inverse=True)
+    size = len(theirs) + 1
+    places = number[order] * size + order  # of each value, its positions in order
+    value = np.searchsorted(values, mine)
+
+    def nearest(shift: int) -> np.ndarray:
+        """Of each hit, the occurrence nearest to the diagonal ``shift``."""
+        goal = np.clip(spots + shift, 0, size - 1)
+        after = np.searchsorted(places, value[spots] * size + goal)
+        before, after = order[np.maximum(after - 1, low[spots])], order[np.minimum(after, high[spots] - 1)]
+        return np.where(np.abs(before - goal) <= np.abs(after - goal), before, after)
+
+    def diagonal(first: int, last: int, other: int) -> int:
+        """The shift on which most shingles of the seed's windows stand (ties: the nearest to the seed's)."""
+        some = spots[np.searchsorted(spots, first):np.searchsorted(spots, last + width)]
+        counts = high[some] - low[some]
+        if not len(some):
+            return other - first
+        ends = np.cumsum(counts)
+        at = order[np.repeat(low[some] - (ends - counts), counts) + np.arange(ends[-1])]
+        shifts, votes = np.unique(at - np.repeat(some, counts), return_counts=True)
+        return int(shifts[np.lexsort((np.abs(shifts - (other - first)), -votes))[0]])
 
     def runs(gap: int) -> tuple[np.ndarray, np.ndarray]:
         breaks = np.flatnonzero(np.diff(spots) > gap)
         return spots[np.append(0, breaks + 1)], spots[np.append(breaks, len(spots) - 1)] + 1
 
-    def aligned() -> tuple[np.ndarray, np.ndarray]:
-        shift = where[spots] - spots
-        breaks = np.flatnonzero((np.diff(spots) > 1) | (np.diff(shift) != 0))
+    def aligned(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        breaks = np.flatnonzero((np.diff(spots) > 1) | (np.diff(where - spots) != 0))
         return spots[np.append(0, breaks + 1)], spots[np.append(breaks, len(spots) - 1)] + 1
 
-    levels = [runs(2 * shingle), runs(1), aligned()] if len(spots) else []
+    loose = [runs(2 * shingle), runs(1)] if len(spots) else []
     found: list[tuple[int, int, int, int, float]] = []
     failed = []
 
@@ -226,38 +246,54 @@ def matched_spans(mine: np.ndarray, theirs: np.ndarray, seeds: list[tuple[int, i
         both = len(np.intersect1d(one, two, assume_unique=True))
         return both / (len(one) + len(two) - both)
 
-    def holds(a: int, b: int) -> bool:
+    def compare(a: int, b: int, c: int, d: int) -> bool:
+        near = jaccard(a, b, c, d)
+        if near >= similarity:
+            found.append((a, b, c, d, near))
+        return near >= similarity
+
+    def holds(a: int, b: int, where: np.ndarray) -> bool:
         if any(x <= a and b <= y for x, y, *_ in found):
             return True
         if b - a < width:
             return False
-        own = a + np.flatnonzero(hit[a:b])
-        shift = where[own] - own
+        some = slice(*np.searchsorted(spots, (a, b)))
+        shift = where[some] - spots[some]
         middle = np.sort(shift)[len(shift) // 2]
-        held = where[own][np.abs(shift - middle) <= b - a]  # shingles that also stand elsewhere aside
-        c, d = int(held.min()), int(held.max()) + 1
-        near = jaccard(a, b, c, d)
-        if near >= similarity:
-            found.append((a, b, c, d, near))
-        return near >= similarity
+        held = where[some][np.abs(shift - middle) <= b - a]  # shingles that also stand elsewhere aside
+        return compare(a, b, int(held.min()), int(held.max()) + 1)
+
+    def on_diagonal(first: int, last: int, shift: int) -> bool:
+        """Compare the window of the seed that has most shingles in place."""
+        begin, stop = max(first, -shift), min(last, len(mine) - width, len(theirs) - width - shift)
+        if begin > stop:
+            return False
+        at = np.arange(begin, stop + width)
+        sums = np.append(0, np.cumsum(mine[at] == theirs[at + shift]))
+        a = begin + int(np.argmax(sums[width:] - sums[:-width]))
+        return compare(a, a + width, a + shift, a + shift + width)
 
-    tried: dict[tuple[int, int], bool] = {}
+    tried: dict[tuple[int, int, int], bool] = {}
+    mapped: dict[int, tuple] = {}
     for first, last, other in sorted(set(seeds)):
+        if any(x <= first and last + width <= y for x, y, *_ in found):
+            continue
         good = False
-        for begins, stops in levels:
+        shift = diagonal(first, last, other)
+        if shift not in mapped and len(spots):
+            mapped.clear()
+            where = nearest(shift)
+            mapped[shift] = where, [*loose, aligned(where)]
+        for begins, stops in mapped[shift][1] if len(spots) else []:
             for i in np.flatnonzero((begins < last + width) & (stops > first)).tolist():
                 span = int(begins[i]), int(stops[i])
-                if span not in tried:
-                    tried[span] = holds(*span)
-                good |= tried[span]
+                if (*span, shift) not in tried:
+                    tried[(*span, shift)] = holds(*span, mapped[shift][0])
+                good |= tried[(*span, shift)]
             if good:
                 break
-        if not good:
-            near = jaccard(first, first + width, other, other + width)
-            if near >= similarity:
-                found.append((first, first + width, other, other + width, near))
-            else:
-                failed.append((first, last))
+        if not good and not on_diagonal(first, last, shift) and not compare(first, first + width, other, other + width):
+            failed.append((first, last))
     return found, failed
 
 

@@ -132,3 +132,19 @@ def test_verbatim_passages_meet_behind_many_variants(spark):
         rows += [(100 * place + 90 + i, " ".join(words(rnd, 20) + base + words(rnd, 20))) for i in range(2)]
     got = {(r.doc_id, r.keep_id) for r in repeated_passages(documents(spark, rows)).collect()}
     assert {(100 * place + 91, 100 * place + 90) for place in range(6)} <= got
+
+
+def test_matched_spans_choose_the_occurrence_in_line():
+    rng = np.random.default_rng(1)
+    passage, rest = rng.permutation(46).astype(np.uint64), rng.permutation(np.arange(100, 900)).astype(np.uint64)
+    theirs = np.concatenate((rest[:60], passage[20:31], rest[60:75], passage, rest[75:200]))  # part of it also 46 shingles earlier
+    mine = np.concatenate((rest[300:360], passage, rest[400:460]))
+    found, failed = matched_spans(mine, theirs, [(52, 60, 85)], 46, 5, 0.8)  # the seed's starts are seven shingles out of line
+    assert [(a, b, c, d) for a, b, c, d, _ in found] == [(60, 106, 86, 132)] and not failed
+
+
+def test_matched_spans_compare_edited_windows_in_line():
+    shared = np.arange(1, 43, dtype=np.uint64)
+    mine, theirs = (np.concatenate((np.arange(60) + n, shared, np.arange(60) + n + 100)).astype(np.uint64) for n in (1000, 2000))
+    found, failed = matched_spans(mine, theirs, [(50, 62, 59)], 46, 5, 0.8)  # 42 shingles of 46: 42 / 50
+    assert len(found) == 1 and found[0][4] >= 0.8 and not failed
