@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -142,6 +142,11 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def class_examples(marks: DataFrame, label: int, max_examples: int) -> DataFrame:
+    """The rows (``doc_id, label``) of a class with the smallest hashed ids; each task keeps its smallest only."""
+    return marks.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
+
+
 def choose_terms(examples: DataFrame, max_terms: int, least_chi2: float) -> list[str]:
     """Words and stems that mark the positive class in ``examples`` (``text, label``): chi-squared of document
     presence at least ``least_chi2``, the largest first."""
@@ -203,8 +208,7 @@ def toxicity_scores(
         "doc_id IS NOT NULL AND label IS NOT NULL"
     ).groupBy("doc_id").agg(F.max("label").alias("label"))
     shares = dict(marks.groupBy("label").count().collect())
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = {r.doc_id: r.label for r in marks.withColumn("n", rank).filter(F.col("n") <= max_examples).collect()}
+    chosen = {r.doc_id: r.label for label in sorted(shares) for r in class_examples(marks, label, max_examples).collect()}
     prior = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
 
     # a repeated id is one example

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kickwx.llm.language_id import features, fit, identify, marginals, train
 from kickwx.llm.queries import id_remainder, op7_toxicity, op10_language_id
-from kickwx.llm.toxicity import BlockMaxIndex, TermTable, toxicity_scores
+from kickwx.llm.toxicity import BlockMaxIndex, TermTable, class_examples, toxicity_scores
 from tests.llm.helpers import awkward, documents
 
 SF_LARGER = "/root/testdata/sf0.01"
@@ -126,3 +126,13 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg]) > 0.75
     want = {r[0] for r in spark.range(1000).toDF("doc_id").filter(id_remainder(5) == 0).collect()}
     assert {r.doc_id for r in got if r.held_out} == want
+
+
+def test_examples_of_a_class_are_not_ranked_in_one_task(spark):
+    marks = spark.range(9000).select(F.col("id").alias("doc_id"), (F.col("id") % 9 == 0).cast("int").alias("label"))
+    chosen = class_examples(marks, 0, 2000)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Exchange" not in plan
+    order = marks.filter("label = 0").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()
+    want = [r.doc_id for r in sorted(order, key=lambda r: (r.h, r.doc_id))[:2000]]
+    assert [r.doc_id for r in chosen.collect()] == want
