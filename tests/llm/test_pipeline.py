@@ -1,10 +1,12 @@
 """The pipeline's stages against brute force, and the queries that have SQL against it."""
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline as cp
+from kickwx.llm.language_id import BUCKETS, Model
 from kickwx.llm.queries import llm_oracle_sql, llm_queries
 from kickwx.llm.scratch import written
 from tests.llm.helpers import SF, awkward, documents
@@ -100,3 +102,23 @@ def test_query_matches_its_sql(spark, name):
     columns = [c[0] for c in found.description]
     assert sorted(columns) == sorted(df.columns)
     assert sorted(map(str, df.select(*columns).collect())) == sorted(str(r) for r in spark.createDataFrame(found.fetchall(), df.select(*columns).schema).collect())
+
+
+def test_language_stage_rejects_only_texts_without_a_letter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    of = {}
+    for r in docs.filter("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect():
+        of.setdefault(r.lang, []).extend(w for w in r.text.split() if w.isalpha())
+    n = min(len(own) for own in of.values()) // 4
+    switched = [" ".join(w for lang in sorted(of) for w in of[lang][n * k:n * (k + 1)]) for k in range(4)]
+    odd = [*switched, "xq zzkv wqj vvxk qqz jxkq", "12 34 -- !!", "  "]
+    extra = documents(spark, [(10**9 + i, t) for i, t in enumerate(odd)])
+    got = cp.language(spark, docs.select(*cp.COLUMNS).unionByName(extra), SF).filter(f"doc_id >= {10**9}").collect()
+    assert {r.doc_id - 10**9 for r in got} == set(range(5))
+
+
+def test_language_stage_keeps_texts_evenly_of_all_languages(spark, monkeypatch):
+    even = Model(["aa", "bb", "cc", "dd"], np.zeros((BUCKETS, 4), np.float32), np.zeros((4, 4)), np.zeros(4))  # 1/4 each for any word
+    monkeypatch.setattr(cp, "train", lambda docs: even)
+    got = cp.language(spark, documents(spark, [(1, "words of any language"), (2, "12 !!"), (3, None)]), SF).collect()
+    assert [r.doc_id for r in got] == [1]
