@@ -19,6 +19,7 @@ from kickwx.llm.substring_dedup import repeated_passages
 from kickwx.llm.token_files import read_token_files, write_token_files
 from kickwx.llm.toxicity import toxicity_scores
 from kickwx.llm.url_filter import url_filter
+from kickwx.llm.whitening import whiten_embeddings
 
 # The url rules of the task, as (host, path, verdict).
 URL_RULES = [
@@ -104,8 +105,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id, op13_embedding_whitening)}
 
 
 OP1_SQL = f"""
