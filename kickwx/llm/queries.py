@@ -12,6 +12,7 @@ from kickwx.llm.exact_dedup import exact_dedup
 from kickwx.llm.fingerprints import spliced_fingerprints
 from kickwx.llm.language_id import identify, train
 from kickwx.llm.packing import pack_documents
+from kickwx.llm.phrases import mine_phrases
 from kickwx.llm.scratch import scratch_path
 from kickwx.llm.ship import ship
 from kickwx.llm.simhash import simhash_near_dups
@@ -105,12 +106,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_embeddings(table(spark, sf_dir, "embeddings"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id, op13_embedding_whitening)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id, op12_phrase_mining, op13_embedding_whitening)}
 
 
 OP1_SQL = f"""
@@ -141,5 +146,39 @@ FROM texts JOIN groups USING (body)
 """
 
 
+OP12_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+sizes(size) AS (VALUES (1), (2), (3), (4)),
+places AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM lists CROSS JOIN sizes),
+counts AS (
+  SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*) AS f
+  FROM places GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE size > 1 AND f >= 30),
+inner_sizes AS (SELECT *, unnest(range(2, size)) AS part FROM candidates),
+inner_places AS (SELECT *, unnest(range(1, size - part + 2)) AS i FROM inner_sizes),
+longer AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + part - 1), ' ') AS phrase, max(a) AS most
+  FROM inner_places GROUP BY ALL),
+stay AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase)
+  WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM stay),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+         CAST((2000000 * CAST(a AS HUGEINT)) // (CAST(x.f AS HUGEINT) + CAST(y.f AS HUGEINT)) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, k + 1, c.size), ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op12_phrase_mining": OP12_SQL}
