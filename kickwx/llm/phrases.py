@@ -20,7 +20,7 @@ from kickwx.llm.batches import give_back, slices
 from kickwx.llm.scratch import written
 
 UNKNOWN = "und"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 RANKED = 50_000  # candidates of a language ranked by one task
 # A-Z to lower case; the marks that end a piece, to a dot; a tab to a space.
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz.........\x20")
@@ -38,8 +38,15 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     return numbers, pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
 
 
+def _table(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
+    """A batch with these columns; the others null."""
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema)
+
+
 def word_relation(docs: DataFrame) -> DataFrame:
-    """One row per block: ``block, at`` (the occurrences), and the block's words as ``lang, word, count`` arrays."""
+    """Per block one row ``block, at`` (the occurrences) and one row ``block, number, lang, word, count`` per distinct word."""
+    schema = "block long, number int, lang string, word string, count long, at binary"
+    out = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("count", pa.int64()), ("at", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -47,66 +54,66 @@ def word_relation(docs: DataFrame) -> DataFrame:
             texts: dict[str, list[bytes]] = {}
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 texts.setdefault(lang, []).append(text.encode("utf-8", "surrogatepass"))
-            at, langs, words, counts, seen = [], [], [], [], 0
+            at, seen = [], 0
             for lang, some in texts.items():
                 numbers, distinct = split_words(some)
                 at += [np.where(numbers < 0, -1, numbers + seen), np.array([-1])]
-                langs += [lang] * len(distinct)
-                words.append(distinct)
-                counts.append(np.bincount(numbers[numbers >= 0], minlength=len(distinct)))
+                count = np.bincount(numbers[numbers >= 0], minlength=len(distinct))
+                for i in range(0, len(distinct), 10_000):
+                    words = distinct[i:i + 10_000]
+                    yield _table(out, len(words), block=np.full(len(words), block), number=np.arange(seen + i, seen + i + len(words)), lang=[lang] * len(words), word=words, count=count[i:i + 10_000])
                 seen += len(distinct)
             if seen:
-                columns = [[block], [np.concatenate(at).astype(np.int32)], [langs], [pa.concat_arrays(words)], [np.concatenate(counts)]]
-                types = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "at", "lang", "word", "count"])
+                yield _table(out, 1, block=[block], at=[np.concatenate(at).astype(np.int32).tobytes()])
                 block += 1
         give_back()
 
-    return docs.mapInArrow(run, "block long, at array<int>, lang array<string>, word array<string>, count array<long>")
+    return docs.mapInArrow(run, schema)
 
 
-def longer_relation(blocks: DataFrame, length: int) -> DataFrame:
+def longer_relation(blocks: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     """The occurrences of phrases of ``length`` words, from those one word shorter and those of words.
 
-    ``blocks`` has ``word_at, words`` (a block's frequent words by number), ``at`` and ``marks`` (``number, id`` of its frequent shorter
-    phrases). An occurrence of a frequent phrase at a position meets, by a merge on position, that of the frequent word behind it; the phrase
-    that starts one word later has to be frequent too. Phrases are named by the ids of the shorter phrase and the word.
+    ``blocks`` has ``word_at, words`` (ids of a block's frequent words by number) and ``at``, ``marks`` a row ``block, number, id`` per frequent shorter
+    phrase of a block. An occurrence of a frequent phrase at a position meets, by a merge on position, that of the frequent word behind it; the phrase
+    that starts one word later has to be frequent too. Gives per block a row of the same kind, and one row ``head, tail,
+    count`` per distinct phrase, named by the ids of the shorter phrase and the last word.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block, word_at, words, at, marks = (batch.column(c)[i] for c in ("block", "word_at", "words", "at", "marks"))
-                number, ids = (np.asarray(marks.values.field(f)) for f in ("number", "id"))
-                at, word_at = np.asarray(at.values), np.asarray(word_at.values)
-                shorter = np.full(int(at.max(initial=-1)) + 2, -1, np.int64)  # the last place answers for -1
-                shorter[number] = ids
-                if length == 2:
-                    words = shorter[:-1]
-                else:
-                    words = np.asarray(words.values)
-                behind = np.append(words, -1)
-                first, last = shorter[at], behind[word_at]
-                reach = max(0, len(at) - length + 1)
-                starts = np.flatnonzero((first[:reach] >= 0) & (first[1:reach + 1] >= 0) & (last[length - 1:] >= 0))
-                pairs, numbers, counts = np.unique(at[starts].astype(np.int64) * len(behind) + word_at[starts + length - 1], return_inverse=True, return_counts=True)
-                found = np.full(len(at), -1, np.int32)
-                found[starts] = numbers
-                columns = [block.as_py()], [word_at], [words], [found], [shorter[pairs // len(behind)]], [behind[pairs % len(behind)]], [counts]
-                types = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "word_at", "words", "at", "head", "tail", "count"])
-        give_back()
-
-    return blocks.mapInArrow(run, "block long, word_at array<int>, words array<long>, at array<int>, head array<long>, tail array<long>, count array<long>")
+    schema = "block long, number int, head long, tail long, count long, word_at binary, words binary, at binary"
+    out = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("head", pa.int64()), ("tail", pa.int64()), ("count", pa.int64()), ("word_at", pa.binary()), ("words", pa.binary()), ("at", pa.binary())])
+
+    def numbers_of(table: pa.Table, column: str, kind: type) -> np.ndarray:
+        return np.frombuffer(table.column(column)[0].as_py(), kind)
+
+    def join(key: tuple, block: pa.Table, marks: pa.Table) -> pa.Table:
+        if not block.num_rows or not marks.num_rows:
+            return out.empty_table()
+        at = numbers_of(block, "at", np.int32)
+        shorter = np.full(int(at.max(initial=-1)) + 2, -1, np.int64)  # the last place answers for -1
+        shorter[marks.column("number").to_numpy()] = marks.column("id").to_numpy()
+        word_at, words = (at, shorter[:-1]) if length == 2 else (numbers_of(block, "word_at", np.int32), numbers_of(block, "words", np.int64))
+        behind = np.append(words, -1)
+        first, last = shorter[at], behind[word_at]
+        reach = max(0, len(at) - length + 1)
+        starts = np.flatnonzero((first[:reach] >= 0) & (first[1:reach + 1] >= 0) & (last[length - 1:] >= 0))
+        if not len(starts):
+            return out.empty_table()
+        pairs, numbers, counts = np.unique(at[starts].astype(np.int64) * len(behind) + word_at[starts + length - 1], return_inverse=True, return_counts=True)
+        found = np.full(len(at), -1, np.int32)
+        found[starts] = numbers
+        name, rows = key[0].as_py(), len(pairs)
+        phrases = _table(out, rows, block=np.full(rows, name), number=np.arange(rows), head=shorter[pairs // len(behind)], tail=behind[pairs % len(behind)], count=counts)
+        return pa.Table.from_batches([phrases, _table(out, 1, block=[name], word_at=[word_at.tobytes()], words=[words.tobytes()], at=[found.tobytes()])])
+
+    return blocks.groupBy("block").cogroup(marks.select(F.col("block").alias("of"), "number", "id").groupBy("of")).applyInArrow(join, schema)
 
 
 def _frequent(relation: DataFrame, names: list[str], least: int, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A relation's phrases: all of them (per block), the frequent ones with ``f`` and ``id``, and the frequent ones' numbers by block."""
-    groups = relation.select("block", F.posexplode(F.arrays_zip(*names, "count")).alias("number", "g")).select("block", "number", *[f"g.{c}" for c in [*names, "count"]])
+    groups = relation.filter("number IS NOT NULL").select("block", "number", *names, "count")
     kept = groups.groupBy(*names).agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
     kept = written(kept.withColumn("id", F.monotonically_increasing_id()), f"{label}-frequent")
-    marks = groups.select("block", "number", *names).join(kept.select(*names, "id"), names).groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("marks"))
-    return groups, kept, marks
+    return groups, kept, groups.join(kept.select(*names, "id"), names).select("block", "number", "id")
 
 
 def _decimal(column: Column) -> Column:
@@ -146,22 +153,22 @@ def mine_phrases(
 
     Defined cases: a null language is ``und``; null, empty and wordless texts have no word; repeated rows count as often as they
     come; ties in all of the order can't occur; a language without candidates, and empty input, give no rows; other columns are ignored. A text
-    longer than a block of 8 MB is a block of its own.
+    longer than a block of 4 MB is a block of its own.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
     relation = written(word_relation(texts), "words-relation")
     groups, kept, marks = _frequent(relation, ["lang", "word"], least, "words")
     totals = written(groups.groupBy("lang").agg(F.sum("count").alias("n")), "word-totals")
     names = [written(kept.select("id", "lang", F.col("word").alias("phrase"), F.col("f").alias("a"), F.lit(1).alias("words")), "phrases")]
-    blocks = relation.select("block", F.col("at").alias("word_at"), F.lit(None).cast("array<long>").alias("words"), "at")
+    blocks = relation.filter("number IS NULL").select("block", "at")
     tail = names[0].select(F.col("id").alias("tail"), F.col("phrase").alias("last"))
     for length in range(2, longest + 1):
-        relation = written(longer_relation(blocks.join(marks, "block"), length), f"phrases-{length}-relation")
+        relation = written(longer_relation(blocks, marks, length), f"phrases-{length}-relation")
         _, kept, marks = _frequent(relation, ["head", "tail"], least, f"phrases-{length}")
         head = names[-1].select(F.col("id").alias("head"), "lang", "phrase")
         spelled = kept.join(head, "head").join(tail, "tail").select("id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), F.col("f").alias("a"), F.lit(length).alias("words"))
         names.append(written(spelled, "phrases"))
-        blocks = relation.select("block", "word_at", "words", "at")
+        blocks = relation.filter("number IS NULL").select("block", "word_at", "words", "at")
 
     every = names[0]
     for more in names[1:]:

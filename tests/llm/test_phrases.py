@@ -65,7 +65,7 @@ def table(spark, rows):
 
 
 def test_matches_brute_force(spark, monkeypatch):
-    for least, block in ((1, 16), (3, 64), (4, 8 << 20)):
+    for least, block in ((1, 16), (3, 64), (4, 4 << 20)):
         monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
         got = collected(mine_phrases(table(spark, made()).repartition(3), least=least, limit=50))
         assert got == brute(made(), least=least, limit=50)
