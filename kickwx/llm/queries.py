@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kickwx.llm.bpe import bpe_decode, bpe_encode
 from kickwx.llm.exact_dedup import exact_dedup
 from kickwx.llm.fingerprints import spliced_fingerprints
+from kickwx.llm.hyperminhash import near_duplicates
 from kickwx.llm.language_id import identify, train
 from kickwx.llm.packing import pack_documents
 from kickwx.llm.phrases import mine_phrases
@@ -106,6 +107,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(table(spark, sf_dir, "documents"))
 
@@ -115,7 +120,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id, op12_phrase_mining, op13_embedding_whitening)}
+    return {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_exact_dedup, op4_substring_dedup, op5_simhash_near_dups, op6_token_files, op7_toxicity, op8_bpe_round_trip, op9_document_fingerprints, op10_language_id, op11_minhash_near_dups, op12_phrase_mining, op13_embedding_whitening)}
 
 
 OP1_SQL = f"""
