@@ -26,7 +26,9 @@ BANDS = BUCKETS // ROWS
 EMPTY = 0xFFFF
 BLOCK = 512  # members of a group in one block of comparisons
 GATHERED = 20_000  # rows of small units compared by one call
-SLIP = 1e-9  # chance that an estimate drops a pair that is a link
+GATHERED_BYTES = 8 << 20  # of their texts
+WORDS = 1 << 20  # shingles in one block
+SLIP = 1e-8  # chance that an estimate drops a pair that is a link
 # Of each bucket, the order in which others lend it a register while it is empty.
 LENDERS = np.argsort(mix(np.arange(1, BUCKETS * BUCKETS + 1, dtype=np.uint64) * ODD).reshape(BUCKETS, BUCKETS), axis=1)
 
@@ -96,9 +98,14 @@ def estimate(mine: np.ndarray, theirs: np.ndarray, n: int, m: int) -> tuple[np.n
     return np.maximum(0.0, (same / used - both) / (1 - both)), used
 
 
-def possible(estimates: np.ndarray, used: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether an estimate is near enough to the threshold: a link falls below with a chance of ``SLIP`` (Hoeffding's bound) at most."""
-    return estimates >= similarity - np.sqrt(np.log(1 / SLIP) / (2 * used))
+def possible(estimates: np.ndarray, used: np.ndarray, n: int, m: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Whether an estimate is near enough to the threshold: a link falls below with a chance of ``SLIP`` at most.
+
+    The smallest hashes of the buckets are drawn from the union without replacement (Serfling's bound); a union at the
+    threshold has (n + m) / (1 + similarity) members.
+    """
+    union = np.maximum((n + m) / (1 + similarity), used)
+    return estimates >= similarity - np.sqrt(np.log(1 / SLIP) / (2 * used) * (1 - (used - 1) / union)) - 1e-9
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -141,7 +148,7 @@ def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
             found = []
             for i in range(part.num_rows):
                 near, used = estimate(regs[0][i], regs[1][i], n[i], m[i])
-                if 100 * min(n[i], m[i]) < percent * max(n[i], m[i]) or not possible(near, used, percent / 100):
+                if 100 * min(n[i], m[i]) < percent * max(n[i], m[i]) or not possible(near, used, n[i], m[i], percent / 100):
                     continue
                 if last != b[i]:
                     last, its = b[i], next(shingle_sets([texts[1][i].encode("utf-8", "surrogatepass")], width))
@@ -156,22 +163,31 @@ def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _runs(changed: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """First and behind last of the runs of rows that are equal in all columns."""
+    edges = np.flatnonzero(np.append(True, np.any([np.diff(c) != 0 for c in changed], axis=0))).tolist()
+    yield from zip(edges, [*edges[1:], len(changed[0])])
+
+
 def compared(units: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that may be links, of the members of each unit (blocks ``x, y`` of a group): of different roots, one from the left and
-    one from the right, by their registers alone. A pair is given by the first band it shares only. Units come many to a ``bucket``."""
+    """The members of each unit (blocks ``x, y`` of a group) that may have a link to one of another root, by their registers alone: ``unit,
+    node, root, partners``, where the partners of a member of the left are those of the right, likeliest first (null for a partner).
+
+    A pair is looked at in the first band it shares only. Small units come many to a ``bucket``. One row per member and unit, not per pair.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        unit = [table.column(c).to_numpy() for c in ("band", "sig", "x", "y")]
-        order = np.lexsort(unit)
-        name, root, n, left, right = (table.column(c).to_numpy(zero_copy_only=False)[order] for c in ("node", "root", "n", "left", "right"))
+        place = [table.column(c).to_numpy() for c in ("band", "sig", "x", "y")]
+        order = np.lexsort(place)
+        unit, name, root, n, left, right = (table.column(c).to_numpy(zero_copy_only=False)[order] for c in ("unit", "node", "root", "n", "left", "right"))
         own = np.frombuffer(b"".join(table.column("own").to_pylist()), np.uint16).reshape(-1, BUCKETS)[order]
         full = np.asarray(table.column("bands").chunk(0).flatten()).reshape(-1, BANDS)[order]
-        band = unit[0][order]
-        edges = np.flatnonzero(np.append(True, np.any([np.diff(u[order]) != 0 for u in unit], axis=0))).tolist()
-        found = []
-        for start, stop in zip(edges, [*edges[1:], len(order)]):
+        band = place[0][order]
+        rows = []
+        for start, stop in _runs([c[order] for c in place]):
             others = start + np.flatnonzero(right[start:stop])
+            met: dict[int, bytes | None] = {}
             for i in (start + np.flatnonzero(left[start:stop])).tolist():
                 # where a block meets itself, a pair comes from its smaller member
                 with_ = others[(root[others] != root[i]) & (~left[others] | (name[others] > name[i]))]
@@ -181,11 +197,60 @@ def compared(units: DataFrame, percent: int) -> DataFrame:
                     with_ = with_[(full[with_] == full[i]).argmax(axis=1) == band[i]]
                 if len(with_):
                     near, used = estimate(own[i], own[with_], int(n[i]), int(n[i]))
-                    found += [(name[i], x) for x in name[with_[possible(near, used, percent / 100)]].tolist()]
+                    able = possible(near, used, int(n[i]), n[with_], percent / 100)
+                    with_ = with_[able][np.argsort(-near[able], kind="stable")]
+                if len(with_):
+                    met[i] = name[with_].tobytes()
+                    for x in with_.tolist():
+                        met.setdefault(x, None)
+            rows += [(int(unit[i]), int(name[i]), int(root[i]), partners) for i, partners in met.items()]
+        columns = list(zip(*rows)) if rows else [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["unit", "node", "root", "partners"])
+
+    return units.groupBy("bucket").applyInArrow(run, "unit long, node long, root long, partners binary")
+
+
+def joined(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between the roots of each unit's ``members`` (as from :func:`compared`, with ``text``), verified on the full sets.
+
+    A pair whose roots the unit has linked already is skipped, so a unit gives fewer links than it has members.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("unit").to_numpy(), kind="stable")
+        unit, node, root = (table.column(c).to_numpy()[order] for c in ("unit", "node", "root"))
+        partners, texts = table.column("partners"), table.column("text")
+        found = []
+        for start, stop in _runs([unit]):
+            at = {x: i for i, x in enumerate(node[start:stop].tolist(), start)}
+            top: dict[int, int] = {}
+            sets: dict[int, np.ndarray] = {}
+
+            def find(x: int) -> int:
+                while x in top:
+                    x = top[x]
+                return x
+
+            def members_of(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = next(shingle_sets([texts[int(order[i])].as_py().encode("utf-8", "surrogatepass")], width))
+                return sets[i]
+
+            for i in range(start, stop):
+                some = partners[int(order[i])].as_py()
+                for other in np.frombuffer(some, np.int64).tolist() if some else []:
+                    mine, its = find(int(root[i])), find(int(root[at[other]]))
+                    if mine == its:
+                        continue
+                    one, two = members_of(i), members_of(at[other])
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    if 100 * both >= percent * (len(one) + len(two) - both):
+                        top[mine] = its
+                        found.append((int(node[i]), other))
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return units.groupBy("bucket").applyInArrow(run, "a long, b long")
+    return members.groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 80) -> DataFrame:
@@ -200,10 +265,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     3. Pairs are estimated from their registers, less the coincidences expected by chance, and verified on the full sets.
        Links give components.
     4. In groups that still hold several components, every member outside the largest one is compared with all members of other
-       components, in blocks of registers; what may be a link is verified too, and components are built anew.
+       components, in blocks of registers. Members that may have a link meet again with their texts, block by block; pairs whose components the
+       block has linked already are skipped, the others verified. Components are built anew.
 
     A pair of similarity s is in no common group with a chance of (1 - s**4)**32: below 5e-8 at 0.8. An estimate drops a link with a chance of
-    1e-9 at most. Groups that are one component after step 3 (copies and edits of one text) cost no more than their size.
+    1e-8 at most. Groups that are one component after step 3 (copies and edits of one text) cost no more than their size.
 
     Defined cases: null, empty and wordless texts have an empty set, n_shingles 0, and are linked with nothing: their component is their own
     id; fewer words than ``width`` are one shingle, the whole sequence; null ids get a component but never name one (it is null where all
@@ -214,7 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(filled.groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least")), "sketch-classes")
     firsts = filled.select(F.col("row").alias("node"), "n", "own", "bands").join(classes.select("node"), "node", "left_semi")
     nodes = written(firsts, "sketch-nodes")
-    bands = nodes.select("node", F.posexplode("bands").alias("band", "sig"))
+    bands = nodes.select("node", "n", F.posexplode("bands").alias("band", "sig"))
     sizes = written(bands.groupBy("band", "sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "band-sizes")
     groups = written(bands.join(sizes, ["band", "sig"]), "band-groups")
     degree = written(groups.groupBy("node").agg(F.sum("size").alias("degree")), "band-degrees")
@@ -231,12 +297,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = checked(stars)
     roots = written(components(links), "star-components")
-    rooted = written(groups.join(roots, "node", "left").select("band", "sig", "node", F.coalesce("root", "node").alias("root")), "rooted-groups")
-    by_root = rooted.groupBy("band", "sig", "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = by_root.groupBy("band", "sig").agg(F.max(F.struct("size", "root")).alias("top"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-    mixed = written(mixed.select("band", "sig", F.col("top.root").alias("main_root"), F.col("top.size").alias("mains"), (F.col("size") - F.col("top.size")).alias("others")), "mixed-groups")
+    rooted = written(groups.join(roots, "node", "left").select("band", "sig", "node", "n", F.coalesce("root", "node").alias("root")), "rooted-groups")
+    by_root = rooted.groupBy("band", "sig", "root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("words"))
+    mixed = by_root.groupBy("band", "sig").agg(
+        F.max(F.struct("size", "root", "words")).alias("top"), F.sum("size").alias("size"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("roots")
+    ).filter("roots > 1")
+    blocks = lambda size, words: F.ceil(F.greatest(size / F.lit(BLOCK), words / F.lit(WORDS))).cast("int")
+    mixed = written(mixed.select(
+        "band", "sig", F.col("top.root").alias("main_root"), F.col("top.size").alias("mains"), (F.col("size") - F.col("top.size")).alias("others"),
+        blocks(F.col("top.size"), F.col("top.words")).alias("ys"), blocks(F.col("size") - F.col("top.size"), F.col("words") - F.col("top.words")).alias("xs"),
+    ), "mixed-groups")
     more = written(compared(_units(rooted, mixed, nodes), percent), "candidates")
-    links = links.unionByName(checked(more.distinct())) if not more.isEmpty() else links
+    texts = filled.select(F.col("row").alias("node"), "text").join(written(more.select("node").distinct(), "candidate-nodes"), "node", "left_semi")
+    more = written(more.join(texts, "node"), "candidate-texts")
+    buckets = -(-(more.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GATHERED_BYTES) or 1
+    links = links.unionByName(written(joined(more.withColumn("bucket", F.pmod("unit", F.lit(buckets))), width, percent), "verified"))
 
     rooted = classes.join(components(links), "node", "left").select("d1", "d2", "least", F.coalesce("root", "node").alias("root"))
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
@@ -250,16 +325,15 @@ def _units(members: DataFrame, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members dealt to units of comparison: blocks of members outside the main root (``left``) against blocks of all (``right``).
 
     Both sides of a group are cut into blocks by a hash. A unit (x, y) has block x of the others on its left, and on its right block y
-    of the main root (y >= 0) or block -1 - y of the others (y < 0, not below x: each two blocks once). ``bucket`` gathers units to
+    of the main root (y >= 0) or block -1 - y of the others (y < 0, not below x: each two blocks once). ``bucket`` gathers small units to
     about ``GATHERED`` rows.
     """
-    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
-    rows = F.col("mains") * blocks("others") + F.col("others") * (blocks("mains") + blocks("others"))
+    rows = F.col("mains") * F.col("xs") + F.col("others") * (F.col("ys") + F.col("xs"))
     buckets = -(-(mixed.agg(F.sum(rows)).first()[0] or 0) // GATHERED) or 1
     is_main = F.col("root") == F.col("main_root")
     dealt = members.join(mixed, ["band", "sig"]).select(
-        "band", "sig", "node", "root", is_main.alias("main"), blocks("others").alias("xs"), blocks("mains").alias("ys"),
-        F.pmod(F.xxhash64("node"), F.when(is_main, blocks("mains")).otherwise(blocks("others"))).cast("int").alias("block"),
+        "band", "sig", "node", "root", is_main.alias("main"), "xs", "ys",
+        F.pmod(F.xxhash64("node"), F.when(is_main, F.col("ys")).otherwise(F.col("xs"))).cast("int").alias("block"),
     )
     block = F.col("block")
 
@@ -273,5 +347,5 @@ def _units(members: DataFrame, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
     lower = F.transform(F.filter(every("xs"), lambda x: x < block), lambda x: unit(x, -1 - block, False, True))
     upper = F.transform(F.filter(every("xs"), lambda x: x > block), lambda x: unit(block, -1 - x, True, False))
     units = dealt.select("band", "sig", "node", "root", F.explode(F.when(F.col("main"), as_main).otherwise(F.concat(with_mains, inside, lower, upper))).alias("u"))
-    bucket = F.pmod(F.xxhash64("band", "sig", "u.x", "u.y"), F.lit(buckets))
-    return units.select(bucket.alias("bucket"), "band", "sig", "node", "root", "u.*").join(nodes, "node")
+    number = F.xxhash64("band", "sig", "u.x", "u.y")
+    return units.select(number.alias("unit"), F.pmod(number, F.lit(buckets)).alias("bucket"), "band", "sig", "node", "root", "u.*").join(nodes, "node")
