@@ -6,8 +6,11 @@ For every match the reference keeps
   * the second one at or after kick-off, when kick-off is on the full hour,
 and drops the rest. A match may keep one, two or three observations.
 
-Five plans compute this. Which one suits is a property of the weather source, not of its size: ``grid`` for a
-source that delivers every full hour of the kick-off date, ``window`` (the default) for any other.
+Five plans compute this, and ``guarded`` joins two of them. Which one suits is a property of the weather source, not of its size: ``guarded``
+for a source that should deliver every full hour of the kick-off date, ``window`` (the default) for any other.
+
+``guarded`` (exact on any data): ``grid`` for the matches whose observations it is exact for, ``window`` for the others.
+:func:`irregular_matches` finds them from one small row per match (see ``staging.kickoff_weather``).
 
 ``window`` (exact on any data): one window partitioned by match and
 ordered by time. All three picks sit next to kick-off in time order, so
@@ -117,6 +120,43 @@ def select_grid(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     return weather.join(candidate_hours(kickoffs), [EVENT, TS], "inner")
 
 
+def irregular_matches(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
+    """Ids of the matches for which the grid form is not exact: an observation off the full hours of the kick-off
+    date, or a candidate hour without one.
+
+    A match's observations shrink to the set of their hours, as bits, and whether any is off the grid; both are combined map-side, so
+    a match leaves each task as one row whatever it holds. Repeated versions of an observation change nothing.
+    """
+    seen = weather.groupBy(EVENT).agg(
+        F.expr(f"bit_or(shiftleft(1, hour({TS})))").alias("__hours"),
+        F.max(F.date_trunc("hour", TS).cast("timestamp_ntz") != F.col(TS)).alias("__off"),
+        F.min(F.to_date(TS)).alias("__first"),
+        F.max(F.to_date(TS)).alias("__last"),
+    )
+    wanted = candidate_hours(kickoffs).groupBy(EVENT).agg(
+        F.expr(f"bit_or(shiftleft(1, hour({TS})))").alias("__wanted"), F.min(F.to_date(KO)).alias("__day"))
+    whole = (
+        ~F.col("__off") & (F.col("__first") == F.col("__day")) & (F.col("__last") == F.col("__day"))
+        & (F.col("__hours").bitwiseAND(F.col("__wanted")) == F.col("__wanted"))
+    )
+    return seen.join(wanted, EVENT).filter(~F.coalesce(whole, F.lit(False))).select(EVENT)
+
+
+MARKS = 32_768  # bits of one bitmap
+
+
+def may_be_among(ids: DataFrame, column: str = EVENT) -> Column:
+    """Whether a row's id may be in ``ids``, by one bitmap of 4 KB: a scalar subquery, so that the filter runs in the scan, before any exchange.
+
+    Never false for an id in ``ids``; true for others by chance, so an exact join has to follow. With
+    far more ids than bits it lets everything through.
+    """
+    place = F.pmod(F.xxhash64(F.col(column)), F.lit(MARKS))
+    bitmap = ids.select(F.expr(f"bitmap_construct_agg(pmod(xxhash64({column}), {MARKS}))").alias("bits")).scalar()
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+
+
 def select_aggregate(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     """Exact selection without any per-match sort, for sources where one match may hold many rows.
 
@@ -184,6 +224,11 @@ def select_topk(weather: DataFrame, kickoffs: DataFrame) -> DataFrame:
     return after.unionByName(nearest_before).drop("__r").repartition(EVENT)
 
 
+def union_of_picks(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Both sets of picks, a few rows per match, with a real partitioning on the match (see :func:`select_topk`)."""
+    return first.unionByName(second).repartition(EVENT)
+
+
 def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str = "window",
                            strict: bool = True) -> DataFrame:
     if method == "window":
@@ -198,4 +243,8 @@ def select_kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str
         return select_aggregate(weather, kickoffs)
     if method == "topk":
         return select_topk(weather, kickoffs)
+    if method == "guarded":
+        odd = irregular_matches(weather, kickoffs)
+        rest = weather.filter(may_be_among(odd)).join(odd, EVENT, "left_semi")
+        return union_of_picks(select_grid(weather, kickoffs.join(odd, EVENT, "left_anti")), select_window(rest, kickoffs))
     raise ValueError(f"unknown method {method!r}")

@@ -1,7 +1,7 @@
 """DuckDB SQL for the parity check of every registered query.
 
-Written from the stated semantics, apart from both the reference's SQL and the Spark plans: the weather
-picks are chosen from each match's list of times, home and away statistics are two lookups, and
+Written from the stated semantics, apart from the Spark plans: the weather
+picks are numbered by distance and, on either side of kick-off, by time, home and away statistics are two lookups, and
 team perspectives are a lateral pair of rows. Categories come from the tables of fixed values in
 ``kickwx.functions``. The stand-in recipe is repeated in SQL (see ``kickwx.sources.testdata``); the test tables
 are pre-registered views.
@@ -212,19 +212,17 @@ wobs AS (
          precipitation, rain AS rainfall, snowfall, wind_speed_10m AS wind_speed
   FROM weather_latest
 ),
-times AS (
-  SELECT event_id, any_value(match_datetime) AS ko, list_sort(list(weather_datetime)) AS seen
-  FROM wobs JOIN fx USING (event_id) GROUP BY event_id
-),
-parted AS (
-  SELECT event_id, ko, list_filter(seen, lambda t: t < ko)[-1] AS before, list_filter(seen, lambda t: t >= ko) AS after FROM times
+timed AS (
+  SELECT event_id, weather_datetime, match_datetime,
+         row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch(weather_datetime) - epoch(match_datetime)), weather_datetime) AS by_distance,
+         weather_datetime >= match_datetime AS is_after,
+         row_number() OVER (PARTITION BY event_id, weather_datetime >= match_datetime ORDER BY weather_datetime) AS in_part
+  FROM wobs JOIN fx USING (event_id) WHERE match_datetime IS NOT NULL
 ),
 picks AS (
-  SELECT event_id, ko AS match_datetime, unnest(list_distinct([
-    CASE WHEN after[1] IS NULL OR ko - before <= after[1] - ko THEN before ELSE after[1] END,
-    after[1],
-    CASE WHEN extract(minute FROM ko) = 0 AND extract(second FROM ko) = 0 THEN after[2] END])) AS weather_datetime
-  FROM parted
+  SELECT event_id, match_datetime, weather_datetime FROM timed
+  WHERE by_distance = 1 OR (is_after AND in_part = 1)
+     OR (is_after AND in_part = 2 AND extract(minute FROM match_datetime) = 0 AND extract(second FROM match_datetime) = 0)
 ),
 kept_weather AS (
   SELECT wobs.*, match_datetime FROM picks JOIN wobs USING (event_id, weather_datetime)

@@ -17,7 +17,15 @@ from kickwx.functions.casts import (
     trimmed_or_null,
 )
 from kickwx.functions.keys import hash_key
-from kickwx.operators.asof import DEFAULT_WEATHER_METHOD, select_kickoff_weather
+from kickwx.operators.asof import (
+    DEFAULT_WEATHER_METHOD,
+    irregular_matches,
+    may_be_among,
+    select_grid,
+    select_kickoff_weather,
+    select_window,
+    union_of_picks,
+)
 from kickwx.operators.dedup import latest_by_key
 from kickwx.sources.schemas import BRONZE_KEYS, INGESTION_TIME
 
@@ -174,6 +182,23 @@ def latest_observations(weather: DataFrame, method: str) -> DataFrame:
     return latest_by_key(typed, ["event_id", "weather_datetime"]).drop(INGESTION_TIME)
 
 
+def kickoff_weather(weather: DataFrame, kickoffs: DataFrame, method: str) -> DataFrame:
+    """The newest versions of the observations kept around each kick-off, from bronze rows of any version.
+
+    ``guarded``: the grid's equi-join for the matches that have just the full hours of their date, the window for all others. Which these are
+    is told by one row per match; a bitmap of 4 KB of them filters the scan of the second path, so that the weather
+    is exchanged once, and only the rows of irregular matches a second time.
+    """
+    if method != "guarded":
+        return select_kickoff_weather(latest_observations(weather, method), kickoffs, method=method)
+    typed = weather_observations(weather)
+    odd = irregular_matches(typed, kickoffs)
+    version = lambda df: latest_by_key(df, ["event_id", "weather_datetime"]).drop(INGESTION_TIME)
+    grid = select_grid(version(typed), kickoffs.join(odd, "event_id", "left_anti"))
+    rest = typed.filter(may_be_among(odd)).repartition("event_id").join(odd, "event_id", "left_semi")
+    return union_of_picks(grid, select_window(version(rest), kickoffs))
+
+
 WEATHER_MEASURES = ["temperature", "precipitation", "rainfall", "snowfall", "wind_speed"]
 
 
@@ -183,7 +208,7 @@ def stg_dim_weather(weather: DataFrame, fixtures: DataFrame, method: str = DEFAU
     ``weather`` are bronze rows of any version, ``fixtures`` the typed fixtures.
     """
     kick = fixtures.select("event_id", "match_datetime")
-    kept = select_kickoff_weather(latest_observations(weather, method), kick, method=method)
+    kept = kickoff_weather(weather, kick, method)
     hour = start_of_hour(F.col("weather_datetime"))
     return (
         kept.groupBy("event_id", hour.alias("timestamp_hour"))

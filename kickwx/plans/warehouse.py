@@ -21,8 +21,8 @@ from kickwx.session import output_root
 from kickwx.sources.schemas import BRONZE_KEYS
 from kickwx.sources.testdata import StandIn, stand_in
 
-# The hourly payload delivers every full hour of the kick-off date.
-PAYLOAD_WEATHER_METHOD = "grid"
+# The hourly payload should deliver every full hour of the kick-off date; matches where it does not take the window path.
+PAYLOAD_WEATHER_METHOD = "guarded"
 
 
 def bronze_from_stand_in(s: StandIn) -> Bronze:

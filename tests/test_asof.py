@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from kickwx.operators.asof import select_aggregate, select_grid, select_kickoff_weather, select_topk, select_window
+from pyspark.sql import functions as F
+
+from kickwx.operators.asof import irregular_matches, may_be_among, select_aggregate, select_grid, select_kickoff_weather, select_topk, select_window
 
 DAY = datetime(2001, 5, 6)
 
@@ -35,15 +37,14 @@ GOLDEN = [  # kick-off (h, m) -> hours kept (hourly data 00:00-23:00 of the matc
 ]
 
 
-@pytest.mark.parametrize("method", ["window", "grid", "aggregate", "topk"])
+@pytest.mark.parametrize("method", ["window", "grid", "aggregate", "topk", "guarded"])
 def test_golden_hours(spark, method):
     obs, kicks = [], []
     for i, ((h, m), _) in enumerate(GOLDEN):
         kicks.append((i, DAY.replace(hour=h, minute=m)))
         obs += [(i, DAY + timedelta(hours=x), float(x)) for x in range(24)]
     w, k = frames(spark, obs, kicks)
-    fn = {"window": select_window, "grid": select_grid, "aggregate": select_aggregate, "topk": select_topk}[method]
-    got = kept(fn(w, k))
+    got = kept(select_kickoff_weather(w, k, method=method))
     for i, (_, hours) in enumerate(GOLDEN):
         assert {t.hour for t in got[i]} == hours, GOLDEN[i]
 
@@ -66,7 +67,7 @@ def brute_force(obs, ko, strict=True):
 
 def test_only_the_window_form_takes_strict_false(spark):
     w, k = frames(spark, [(1, DAY, 0.0)], [(1, DAY)])
-    for method in ("grid", "ranks", "aggregate", "topk"):
+    for method in ("grid", "ranks", "aggregate", "topk", "guarded"):
         with pytest.raises(ValueError):
             select_kickoff_weather(w, k, method=method, strict=False)
 
@@ -121,3 +122,40 @@ def test_skew_safe_forms_match_brute_force(spark, fn):
     expect[999] = brute_force(hot, DAY + timedelta(hours=100))
     w, k = frames(spark, obs, kicks)
     assert kept(fn(w, k)) == expect
+
+
+def payloads(seed):
+    """Full days, half-hour series, part days, shifted hours, days around the kick-off's, single odd observations, repeated rows."""
+    rnd = random.Random(seed)
+    obs, kicks, expect = [], [], {}
+    for e in range(400):
+        ko = DAY + timedelta(minutes=rnd.choice([0, 15, 30, 45]) + 60 * rnd.randint(0, 23), seconds=rnd.choice([0, 0, 30]))
+        hours = [DAY + timedelta(hours=h) for h in range(24)]
+        times = [
+            hours, [t + timedelta(minutes=30) for t in hours], [DAY + timedelta(minutes=30 * i) for i in range(48)], hours[: rnd.randint(1, 24)],
+            hours[rnd.randint(0, 23):], [DAY + timedelta(hours=h) for h in range(-24, 48)], [*hours, ko + timedelta(seconds=7)], rnd.sample(hours, 9),
+        ][e % 8 if e % 3 else 0]
+        kicks.append((e, ko))
+        obs += [(e, t, 0.0) for t in [*times, *times[:2]]]
+        expect[e] = brute_force(times, ko)
+    kicks += [(1000, None), (1001, DAY)]
+    obs.append((1000, DAY, 0.0))
+    return obs, kicks, expect
+
+
+def test_guarded_form_matches_brute_force_on_any_payload(spark):
+    obs, kicks, expect = payloads(5)
+    w, k = frames(spark, obs, kicks)
+    one = w.distinct()  # the selections take one version of each observation
+    assert kept(select_kickoff_weather(one, k, method="guarded")) == expect
+    odd = {r[0] for r in irregular_matches(w, k).collect()}
+    assert kept(select_grid(one, k.filter(~F.col("event_id").isin(odd)))) == {e: t for e, t in expect.items() if e not in odd}
+    assert 50 < len(odd) < 350
+
+
+def test_bitmap_never_misses(spark):
+    ids = spark.range(0, 3000, 7).select(F.col("id").alias("event_id"))
+    all_ = spark.range(3000).select(F.col("id").alias("event_id"))
+    through = {r[0] for r in all_.filter(may_be_among(ids)).collect()}
+    assert through >= set(range(0, 3000, 7)) and len(through) < 600
+    assert all_.filter(may_be_among(ids.filter("false"))).count() == 0

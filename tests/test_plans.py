@@ -117,13 +117,12 @@ def test_fact_grain_sits_on_the_event_partitioning_below_every_lookup(spark, mar
 
 
 def exchanges_of_the_weather(spark, method):
-    from kickwx.operators.asof import select_kickoff_weather
     from kickwx.plans import staging as stg
     from kickwx.plans.warehouse import bronze_from_tables, read_bronze, write_bronze
     b = read_bronze(spark, write_bronze(spark, bronze_from_tables(spark, "/root/testdata/sf0.001")))
     with without_broadcast_or_aqe(spark):
         kick = stg.stg_fixtures(b.fixtures).select("event_id", "match_datetime")
-        lines = plan(select_kickoff_weather(stg.latest_observations(b.weather, method), kick, method=method)).splitlines()
+        lines = plan(stg.kickoff_weather(b.weather, kick, method)).splitlines()
     # exchanges on the path from the weather scan to the root
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "timestamp_utc" in line)
     depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
