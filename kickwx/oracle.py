@@ -457,6 +457,7 @@ SELECT f.* REPLACE (CASE WHEN EXISTS (SELECT 1 FROM bronze_weather w WHERE w."ev
                          THEN '1' ELSE f."hasWeather" END AS "hasWeather")
 FROM fixtures_latest f""",
     "incremental_upsert": "SELECT * FROM fact_match",
+    "marts_refresh": "SELECT * FROM fact_match",
     "weather_latest": "SELECT * FROM weather_latest",
     "csv_ingest": "SELECT " + ", ".join(
         f'CASE WHEN "{c}" NOT IN ({_NA_SQL}) THEN "{c}" END AS "{c}"' for c in _VENUE_COLS

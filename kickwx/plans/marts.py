@@ -4,7 +4,7 @@ Inside the marts every surrogate key is the signed 64-bit form (``bigint``);
 ``published_*`` projections turn keys into the reference's unsigned
 ``decimal(20,0)``. The fact also keeps the natural ids it was built from
 (``event_id``, ``venue_id``, ``home_team_id``, ``away_team_id``) for the older
-schema's adapter; the published fact has the reference's 21 columns.
+schema's adapter, and the kick-off, by whose month written facts are laid out; the published fact has the reference's 21 columns.
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ def fact_match(fixtures: DataFrame, team_stats: DataFrame, dim_venue: DataFrame,
         grain.join(dv, "venue_id", "left").join(th, "home_team_id", "left").join(ta, "away_team_id", "left")
         .withColumn("match_id", hash_key(F.col("event_id")))
         .withColumn("date_key", stg.date_key(F.col("match_datetime"), F.col("venue_id")))
-        .select(*KEY_COLUMNS, *MEASURES, *NATURAL_IDS)
+        .select(*KEY_COLUMNS, *MEASURES, *NATURAL_IDS, "match_datetime")
     )
 
 

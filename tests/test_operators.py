@@ -29,17 +29,43 @@ def test_incremental_upsert_replaces_keeps_and_is_idempotent(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
-def test_upsert_table_replaces_only_touched_buckets(spark, tmp_path):
-    root = str(tmp_path / "fact")
-    first = spark.createDataFrame([(i, "a") for i in range(200)], "id int, v string")
-    upsert_table(spark, root, first, ["id"], buckets=8)
-    files = lambda: set((tmp_path / "fact").glob("*/part-*"))
-    before = files()
-    batch = spark.createDataFrame([(5, "b")], "id int, v string")
-    for _ in range(2):  # a re-run changes nothing
-        out = {r.id: r.v for r in upsert_table(spark, root, batch, ["id"], buckets=8).collect()}
-        assert out == {i: "b" if i == 5 else "a" for i in range(200)}
-    assert len(before & files()) == len(before) - 1
+def _upserted(tmp_path):
+    return {f: f.stat().st_mtime_ns for f in (tmp_path / "fact").rglob("part-*")}
+
+
+def test_upsert_table_rewrites_only_the_months_of_a_batch(spark, tmp_path):
+    """Twenty batches of one month each: other files stay as they are, and their number doesn't grow."""
+    root, month = str(tmp_path / "fact"), F.col("m")
+    want = {i: (f"2001-{i % 12 + 1:02d}", "a") for i in range(2400)}
+    table = lambda rows: spark.createDataFrame([(i, m, v) for i, (m, v) in rows.items()], "id int, m string, v string")
+    upsert_table(spark, root, table(want), ["id"], month, rows_per_part=100)
+    first = _upserted(tmp_path)
+    assert len(first) == 24  # two parts a month
+    for n in range(20):
+        before, name = _upserted(tmp_path), f"2001-{n % 12 + 1:02d}"
+        batch = {i: (m, f"b{n}") for i, (m, v) in want.items() if m == name and i % 5 == 0}
+        for _ in range(2):  # a re-run changes nothing
+            out = upsert_table(spark, root, table(batch), ["id"], month, rows_per_part=100)
+        want |= batch
+        kept = {f for f, t in _upserted(tmp_path).items() if before.get(f) == t}
+        assert len(_upserted(tmp_path)) == 24 and len(kept) == 22 and not any(f"={name}/" in str(f) for f in kept)
+    assert {r.id: (r.m, r.v) for r in out.collect()} == want
+
+
+def test_upsert_table_moves_and_deletes(spark, tmp_path):
+    root, schema = str(tmp_path / "fact"), "id int, m string, v string"
+    rows = [(1, "2001-01", "a"), (2, "2001-02", "a"), (3, "2001-02", "a"), (4, None, "a"), (None, "2001-03", "a")]
+    upsert_table(spark, root, spark.createDataFrame(rows, schema), ["id"], F.col("m"))
+    out = upsert_table(spark, root, spark.createDataFrame([(1, "2001-02", "b")], schema), ["id"], F.col("m"))  # to another month
+    assert sorted((r.id or 0, r.m, r.v) for r in out.collect()) == [(0, "2001-03", "a"), (1, "2001-02", "b"), (2, "2001-02", "a"), (3, "2001-02", "a"), (4, None, "a")]
+    assert len(_upserted(tmp_path)) == 3 and not list((tmp_path / "fact").glob("*=2001-01/*/part-*"))
+    gone = spark.createDataFrame([(2,), (4,), (9,)], "id int")
+    out = upsert_table(spark, root, spark.createDataFrame([(2, None, "c")], schema), ["id"], F.col("m"), replaces=gone)
+    assert sorted((r.id or 0, r.m, r.v) for r in out.collect()) == [(0, "2001-03", "a"), (1, "2001-02", "b"), (2, None, "c"), (3, "2001-02", "a")]
+    empty = spark.createDataFrame([], schema)
+    assert upsert_table(spark, root, empty, ["id"], F.col("m")).count() == 4
+    assert upsert_table(spark, root, empty, ["id"], F.col("m"), replaces=out.select("id")).count() == 1  # the row without a key stays
+    assert upsert_table(spark, str(tmp_path / "new"), empty, ["id"]).count() == 0
 
 
 def test_ties_on_the_version_go_to_the_smallest_columns(spark):
