@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -22,7 +22,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 ODD = np.uint64(0x9E3779B97F4A7C15)
 HIGH = np.uint64(0xFFFFFFFF00000000)
 LOW = 0xFFFFFFFF
-KEEPERS = (4, 32, 256)  # of a group with failed links, in each further round; then all that are left
+# Of each round: how many functions the members of a group agree in, and which texts of it (by id, from and to) they are compared with.
+ROUNDS = ((2, 1, 1), (3, 1, 3), (4, 1, 6))
+FEW = 8  # seeds of a pair up to which its windows are looked at before its texts
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -275,9 +277,15 @@ def matched_spans(mine: np.ndarray, theirs: np.ndarray, seeds: list[tuple[int, i
 
     tried: dict[tuple[int, int, int], bool] = {}
     mapped: dict[int, tuple] = {}
-    for first, last, other in sorted(set(seeds)):
-        if any(x <= first and last + width <= y for x, y, *_ in found):
+    todo = np.array(sorted(set(seeds)), np.int64).reshape(-1, 3)
+    seen = 0
+    while len(todo):
+        if len(found) > seen:
+            for x, y, *_ in found[seen:]:
+                todo = todo[(todo[:, 0] < x) | (todo[:, 1] + width > y)]
+            seen = len(found)
             continue
+        (first, last, other), todo = todo[0].tolist(), todo[1:]
         good = False
         shift = diagonal(first, last, other)
         if shift not in mapped and len(spots):
@@ -328,6 +336,85 @@ def verified(pairs: DataFrame, width: int, shingle: int, similarity: float) -> D
     return pairs.mapInArrow(run, schema)
 
 
+def hash_prints(texts: DataFrame, shingle: int) -> DataFrame:
+    """``text_key, prints``: 32 bits of the hash of every shingle of a text, in order."""
+    out = pa.schema([("text_key", pa.int64()), ("prints", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            hashed, owner, _ = shingles(_utf8(part.column("text")), shingle)
+            ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            short = hashed.astype(np.uint32)
+            yield _records([part.column("text_key"), [short[a:b].tobytes() for a, b in zip(ends, ends[1:])]], out)
+
+    return texts.select("text_key", "text").mapInArrow(run, "text_key long, prints binary")
+
+
+def likely(windows: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Seeds with the hashes around them in both texts (``mine, theirs``), and ``ok``: whether a passage of ``width`` shingles there can be similar.
+
+    A passage with that similarity has at least that share of its shingles in the other text, so some ``width`` neighbours have
+    not much less (misses in its middle cost a third at most). Windows with repeated shingles are always ok.
+    """
+    fields = [f for f in windows.schema.fields if f.name not in ("mine", "theirs")]
+    schema = T.StructType([*fields, T.StructField("ok", T.BooleanType())])
+    out = to_arrow_schema(schema)
+    need = int(width * similarity * 0.8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                keys, rows = [], []
+                for c in ("mine", "theirs"):
+                    blobs = part.column(c).to_pylist()
+                    row = np.repeat(np.arange(len(blobs)), [len(b) // 4 for b in blobs])
+                    keys.append((row.astype(np.uint64) << np.uint64(32)) | np.frombuffer(b"".join(blobs), np.uint32))
+                    rows.append(row)
+                mine, row = keys[0], rows[0]
+                sizes = np.bincount(row, minlength=part.num_rows)
+                distinct = np.bincount((np.unique(mine) >> np.uint64(32)).astype(np.int64), minlength=part.num_rows) == sizes
+                sums = np.append(0, np.cumsum(np.isin(mine, keys[1])))
+                most = np.zeros(part.num_rows, np.int64)
+                if len(mine) >= width:
+                    inside = row[: len(mine) - width + 1] == row[width - 1:]
+                    np.maximum.at(most, row[: len(inside)][inside], (sums[width:] - sums[:-width])[inside])
+                ok = ~distinct | (most >= need) | (sizes < width)
+                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in fields], pa.array(ok)], schema=out)
+
+    return windows.mapInArrow(run, schema)
+
+
+def window_digests(texts: DataFrame, width: int, shingle: int) -> DataFrame:
+    """Of every start within a text's ``spans`` (``first, last``) a digest of the passage of exactly ``width`` shingles there: ``digest, text_key, doc_id,
+    first``."""
+    schema = T.StructType([
+        T.StructField("digest", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("doc_id", texts.schema["doc_id"].dataType), T.StructField("first", T.IntegerType()),
+    ])
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            hashed, owner, _ = shingles(_utf8(part.column("text")), shingle)
+            ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            for i in range(part.num_rows):
+                mine = hashed[ends[i]:ends[i + 1]]
+                if len(mine) < width:
+                    continue
+                total = np.zeros(len(mine) - width + 1, np.uint64)
+                for j in range(width):
+                    total = total * ODD + mine[j: len(mine) - width + 1 + j]
+                spans = part.column("spans")[i].values
+                edge = np.zeros(len(total) + 1, np.int64)
+                np.add.at(edge, np.asarray(spans.field("first")), 1)
+                np.add.at(edge, np.asarray(spans.field("last")) + 1, -1)
+                at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                rows = pa.array(np.full(len(at), i))
+                yield _records([mix(total[at]).view(np.int64), part.column("text_key").take(rows), part.column("doc_id").take(rows), at], out)
+
+    return texts.select("text_key", "doc_id", "text", "spans").mapInArrow(run, schema)
+
+
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -349,11 +436,14 @@ def repeated_passages(
        their smallest hash. Tiles whose hash no other text has under that function are done with.
     2. Of what is left, the tiles of any ``agree`` functions are intersected; intervals that agree in those functions meet
        in a group. All of a group are linked to its document of smallest id.
-    3. Each link is verified on the texts themselves and extended as far as the passages match.
-       A member whose link fails is linked to the next members of its group in ascending order (4, 32, 256, then all that are left), until
-       a found passage holds it or it was compared with every smaller member.
-
-    Verbatim passages of ``min_words`` words always meet. As with any min-hashing, edited ones meet with a chance: for
+    3. Each link is verified on the texts themselves and extended as far as the passages match. A member has one link to a text, whatever the number
+       of its intervals there.
+    4. In texts with a failed link, what no found passage holds by half is linked to the first three and six texts of
+       the smaller groups of members that agree in three and in all four functions. What no found passage holds whole then meets by digests of the exact passages. So each round makes links in
+       proportion to its members, and none compares all pairs of a group. Pairs with few seeds ship the windows around them, not their texts, until these look alike.
+
+    Verbatim passages of ``min_words`` words always meet. Near repeats are compared with at most ten texts at a place, those of smallest id in ever closer
+    groups; behind more smaller ones that are similar but not enough, a near repeat that isn't verbatim can be missed. As with any min-hashing, edited ones meet with a chance: for
     similarity s and any two of four functions, 1 - (1 - s)**4 - 4 * s * (1 - s)**3 at each independent place (0.973 at 0.8,
     0.988 at 0.85, 0.996 at 0.9), so passages much longer than ``min_words`` are rarely missed.
     Exact copies of a text are one text in these steps; each copy is then one row, its whole text repeating the copy of
@@ -379,43 +469,77 @@ def repeated_passages(
         ),
         "passage-sources",
     )
-    found = []
-    intervals = written(signatures(sources, hashes, agree), "intervals")
-    pool = intervals.join(shared(intervals, "sig"), "sig")
+    found: list[DataFrame] = []
     texts = sources.select("text_key", "doc_id", "text")
     kept = texts.toDF("keep_key", "keep_id", "keep_text")
-    member = F.struct("doc_id", "text_key", "first")
+    member, keeper = F.struct("doc_id", "text_key"), F.struct("keep.doc_id", "keep.text_key")
+
+    def pool_of(agree_: int) -> DataFrame:
+        intervals = written(signatures(sources, hashes, agree_), "intervals")
+        return written(intervals.join(shared(intervals, "sig"), "sig"), "pool")
+
+    prints = written(hash_prints(texts, shingle), "prints")
+
+    def around(blob: str, first: Column, until: Column) -> Column:
+        """The hashes from ``width`` before the first to ``width`` behind the last shingle of a passage that starts in [first, until]."""
+        start = F.greatest(first - width, F.lit(0))
+        return F.substring(blob, (4 * start + 1).cast("int"), (4 * (until + 2 * width - start)).cast("int"))
 
-    def verify(links: DataFrame) -> DataFrame:
+    def verify(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Found passages, and the texts that have a seed without one."""
         seeds = links.groupBy("text_key", F.col("keep.text_key").alias("keep_key")).agg(
             F.collect_set(F.struct("first", "last", F.col("keep.first").alias("keep_first"))).alias("seeds")
         )
-        pairs = seeds.join(texts, "text_key").join(kept, "keep_key").select("text_key", "doc_id", "text", "seeds", "keep_id", "keep_text")
-        return written(verified(pairs, width, shingle, similarity), "passages")
-
-    def left_open(open_: DataFrame, failed: DataFrame, spans: DataFrame, pool: DataFrame, keeper: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members whose link failed and that no found passage holds; all members of their groups but the former keepers."""
-        spans = spans.select("text_key", F.col("first_word").alias("a"), (F.col("first_word") + F.col("n_words")).alias("b"))
-        held = [open_["text_key"] == spans["text_key"], F.col("a") <= F.col("first"), F.col("first") + min_words <= F.col("b")]
-        open_ = written(open_.join(failed, ["text_key", "first"], "left_semi").join(spans, held, "left_anti"), "open")
-        former = keeper.select("sig", "keep.text_key", "keep.first")
-        pool = pool.join(written(open_.select("sig").distinct(), "open-groups"), "sig", "left_semi").join(former, ["sig", "text_key", "first"], "left_anti")
-        return open_, written(pool, "pool")
-
-    open_, keeper = pool, written(pool.groupBy("sig").agg(F.min(member).alias("keep")), "keepers")
-    for many in (*KEEPERS, None):
-        result = verify(open_.join(keeper, "sig").filter((F.col("keep") < member) & (F.col("text_key") != F.col("keep.text_key"))))
-        found.append(result.filter("similarity IS NOT NULL"))
-        failed = result.filter("similarity IS NULL").select("text_key", F.col("first_word").alias("first")).distinct()
+        seeds = written(seeds, "seeds")
+        few = seeds.filter(F.size("seeds") <= FEW).select("text_key", "keep_key", F.inline("seeds"))
+        mine = few.join(prints, "text_key").select(*few.columns, around("prints", F.col("first"), F.col("last")).alias("mine"))
+        both = mine.join(prints.toDF("keep_key", "prints"), "keep_key").select(*mine.columns, around("prints", F.col("keep_first"), F.col("keep_first") + F.col("last") - F.col("first")).alias("theirs"))
+        judged = written(likely(both, width, similarity), "judged")
+        again = judged.filter("ok").groupBy("text_key", "keep_key").agg(F.collect_set(F.struct("first", "last", "keep_first")).alias("seeds"))
+        pairs = written(seeds.filter(F.size("seeds") > FEW).unionByName(again), "pairs")
+        whole = pairs.join(texts, "text_key").join(kept, "keep_key").select("text_key", "doc_id", "text", "seeds", "keep_id", "keep_text")
+        result = written(verified(whole, width, shingle, similarity), "passages")
+        open_texts = judged.filter("NOT ok").select("text_key").union(result.filter("similarity IS NULL").select("text_key"))
+        return result.filter("similarity IS NOT NULL"), written(open_texts.distinct(), "failed")
+
+    def without_held(pool: DataFrame, failed: DataFrame, words: int) -> DataFrame:
+        """Of texts with a failed link, the members of which no found passage holds ``words`` words."""
+        spans = reduce(DataFrame.unionByName, found).select("text_key", F.col("first_word").alias("a"), (F.col("first_word") + F.col("n_words")).alias("b")).distinct()
+        overlap = F.least("b", F.col("first") + min_words) - F.greatest("a", "first")
+        return written(pool.join(failed, "text_key", "left_semi").join(spans, [pool["text_key"] == spans["text_key"], overlap >= words], "left_anti"), "open")
+
+    def keepers(groups: DataFrame, by: str, low: int, high: int) -> DataFrame:
+        """Of each group the texts of the ``low``-th to ``high``-th smallest id, each with one interval: no products of intervals."""
+        one = groups.groupBy(by, "doc_id", "text_key").agg(F.min("first").alias("first"))
+        keep = F.struct("doc_id", "text_key", "first").alias("keep")
+        if high == 1:
+            return written(one.groupBy(by).agg(F.min(keep).alias("keep")), "keepers")
+        rank = F.row_number().over(Window.partitionBy(by).orderBy("doc_id", "text_key"))
+        return written(one.withColumn("n", rank).filter(F.col("n").between(low, high)).select(by, keep), "keepers")
+
+    smaller = (keeper < member) & (F.col("text_key") != F.col("keep.text_key"))
+    pool, agreed, failed = None, 0, None
+    for agree_, low, high in ROUNDS:
+        if agree_ != agreed:
+            pool, agreed = pool_of(agree_), agree_
+        open_ = pool if failed is None else without_held(pool, failed, min_words // 2)
+        groups = pool if failed is None else pool.join(written(open_.select("sig").distinct(), "open-groups"), "sig", "left_semi")
+        passages, left = verify(open_.join(keepers(groups, "sig", low, high), "sig").filter(smaller))
+        found.append(passages)
+        if failed is None:
+            first_pool, failed = pool, left
         if failed.isEmpty():
             break
-        open_, pool = left_open(open_, failed, found[-1], pool, keeper)
-        keeper = pool.select("sig", member.alias("keep"))
-        if many:
-            rank = F.row_number().over(Window.partitionBy("sig").orderBy("keep"))
-            keeper = written(keeper.withColumn("n", rank).filter(F.col("n") <= many).drop("n"), "keepers")
     else:
-        found.append(verify(open_.join(keeper, "sig").filter((F.col("keep") < member) & (F.col("text_key") != F.col("keep.text_key")))).filter("similarity IS NOT NULL"))
+        # what is still open meets its verbatim repeats by the passages themselves
+        open_ = without_held(first_pool, failed, min_words)
+        groups = first_pool.join(written(open_.select("sig").distinct(), "open-groups"), "sig", "left_semi")
+        places = groups.groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+        digests = written(window_digests(texts.join(places, "text_key"), width, shingle), "digests")
+        same = digests.join(shared(digests, "digest"), "digest")
+        still = same.join(written(open_.select("text_key").distinct(), "open-texts"), "text_key", "left_semi").withColumn("last", F.col("first"))
+        links = still.join(keepers(same, "digest", 1, 1), "digest").filter(smaller)
+        found.append(verify(links)[0])
     passages = reduce(DataFrame.unionByName, found).drop("text_key").distinct()
 
     whole = windows.filter("first = 0").select("text_key", "n_words").distinct()
