@@ -34,3 +34,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing needs any more, and let Spark drop the shuffles of finished jobs.
+
+    Only where all that was built on them is written itself. Spark's cleaner removes the shuffle files of jobs whose plans the
+    driver has collected as garbage; asking for a collection makes it do so now.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if "/kickwx-llm/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.java.lang.System.gc()

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kickwx.llm.batches import slices
-from kickwx.llm.scratch import written
+from kickwx.llm.scratch import discard, written
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -502,7 +502,8 @@ def repeated_passages(
         ends = table.groupBy(*by).agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"))
         return written(ends.filter("low <> high").select(*by), "shared")
 
-    tiles = windows.join(shared(windows, "k", "sig"), ["k", "sig"]).groupBy("text_key").agg(F.collect_set(F.struct("k", "first", "last", "sig")).alias("tiles"))
+    met = shared(windows, "k", "sig")
+    tiles = windows.join(met, ["k", "sig"]).groupBy("text_key").agg(F.collect_set(F.struct("k", "first", "last", "sig")).alias("tiles"))
     tiles = tiles.filter(F.size(F.array_distinct("tiles.k")) >= agree)
     sources = written(
         rows.join(tiles, "text_key").groupBy("text_key").agg(
@@ -510,6 +511,8 @@ def repeated_passages(
         ),
         "passage-sources",
     )
+    whole = written(windows.filter("first = 0").select("text_key", "n_words").distinct(), "lengths")
+    discard(windows, met)
     found: list[DataFrame] = []
     texts = sources.select("text_key", "doc_id", "text")
     kept = texts.toDF("keep_key", "keep_id", "keep_text")
@@ -537,7 +540,9 @@ def repeated_passages(
         whole = pairs.join(texts, "text_key").join(kept, "keep_key").select("text_key", "doc_id", "text", "seeds", "keep_id", "keep_text")
         result = written(verified(whole, width, shingle, similarity), "passages")
         open_texts = judged.filter("NOT ok").select("text_key").union(result.filter("similarity IS NULL").select("text_key"))
-        return result.filter("similarity IS NOT NULL"), written(open_texts.distinct(), "failed")
+        left = written(open_texts.distinct(), "failed")
+        discard(seeds, judged, pairs)
+        return result.filter("similarity IS NOT NULL"), left
 
     def without_held(pool: DataFrame, failed: DataFrame, words: int) -> DataFrame:
         """Of texts with a failed link, the members of which no found passage holds ``words`` words."""
@@ -564,7 +569,9 @@ def repeated_passages(
         digests = written(window_digests(texts.join(places, "text_key"), width, shingle), "digests")
         same = digests.join(shared(digests, "digest"), "digest")
         still = same.join(written(open_.select("text_key").distinct(), "open-texts"), "text_key", "left_semi").withColumn("last", F.col("first"))
-        return verify(still.join(keepers(same, "digest", 1, 1), "digest").filter(smaller))[0]
+        passages, _ = verify(still.join(keepers(same, "digest", 1, 1), "digest").filter(smaller))
+        discard(open_, digests)
+        return passages
 
     failed = None
     for agree_, low, high in ROUNDS:
@@ -580,9 +587,9 @@ def repeated_passages(
             if failed.isEmpty():
                 break
             found.append(verbatim(pool, failed))
+        discard(pool)
     passages = reduce(DataFrame.unionByName, found).drop("text_key").distinct()
 
-    whole = windows.filter("first = 0").select("text_key", "n_words").distinct()
     classes = rows.groupBy("text_key").agg(F.min(F.struct("doc_id")).alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = (
         rows.select("doc_id", "text_key", F.length("text").alias("n_chars")).distinct().join(classes, "text_key").filter(~F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))).join(whole, "text_key")
