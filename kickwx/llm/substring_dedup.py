@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kickwx.llm.batches import slices
-from kickwx.llm.scratch import discard, written
+from kickwx.llm.scratch import discard, drop_shuffles, written
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -496,23 +496,25 @@ def repeated_passages(
     """
     width = min_words - shingle + 1
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    drop_shuffles(docs.sparkSession)  # of what came before
     windows = written(all_intervals(rows, hashes, width, shingle), "windows")
 
     def shared(table: DataFrame, *by: str) -> DataFrame:
         ends = table.groupBy(*by).agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"))
         return written(ends.filter("low <> high").select(*by), "shared")
 
+    whole = written(windows.filter("first = 0").select("text_key", "n_words").distinct(), "lengths")
     met = shared(windows, "k", "sig")
+    drop_shuffles(docs.sparkSession)
     tiles = windows.join(met, ["k", "sig"]).groupBy("text_key").agg(F.collect_set(F.struct("k", "first", "last", "sig")).alias("tiles"))
-    tiles = tiles.filter(F.size(F.array_distinct("tiles.k")) >= agree)
+    tiles = written(tiles.filter(F.size(F.array_distinct("tiles.k")) >= agree), "tiles")
+    discard(windows, met)
     sources = written(
         rows.join(tiles, "text_key").groupBy("text_key").agg(
             F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tiles").alias("tiles")
         ),
         "passage-sources",
     )
-    whole = written(windows.filter("first = 0").select("text_key", "n_words").distinct(), "lengths")
-    discard(windows, met)
     found: list[DataFrame] = []
     texts = sources.select("text_key", "doc_id", "text")
     kept = texts.toDF("keep_key", "keep_id", "keep_text")
