@@ -37,10 +37,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by :func:`written` that nothing needs any more, and let Spark drop the shuffles of finished jobs.
-
-    Only where all that was built on them is written itself.
-    """
+    """Delete tables made by :func:`written` that nothing needs any more: where all that was built on them is written itself."""
     for table in tables:
         spark = table.sparkSession
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -48,10 +45,3 @@ def discard(*tables: DataFrame) -> None:
             if "/kickwx-llm/" in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
-    for spark in {t.sparkSession for t in tables}:
-        drop_shuffles(spark)
-
-
-def drop_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of jobs that nothing refers to any more."""
-    spark.sparkContext._jvm.java.lang.System.gc()
