@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,24 +29,32 @@ def terms_of(word: str) -> list[str]:
 
 
 class TermTable(dict):
-    """Numbers of the vocabulary's terms in a word, worked out once per word met."""
+    """Rows of term numbers (word, then stems; -1: not in the vocabulary), worked out once per word met."""
 
-    def __init__(self, vocabulary: list[str]):
+    def __init__(self, number: dict[str, int]):
         super().__init__()
-        self.number = {t: i for i, t in enumerate(vocabulary)}
+        self.number, self.rows = number, array("i")
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> int:
+        own = [self.number.get(t, -1) for t in terms_of(word)]
+        self.rows.extend(own + [-1] * (1 + len(STEMS) - len(own)))
+        self[word] = len(self)
+        return self[word]
+
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Term numbers of all texts, ascending within each, how often each occurs in its whole text, and the
+        place of each text's first (and of the end)."""
         if len(self) >= MEMO_WORDS:
             self.clear()
-        found = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-        self[word] = found
-        return found
-
-    def counts(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Term numbers, ascending, and how often each occurs in the whole text."""
-        found = Counter(t for own in map(self.__getitem__, WORD.findall((text or "").lower())) if own for t in own)
-        numbers = sorted(found)
-        return numbers, [found[t] for t in numbers]
+            self.rows = array("i")
+        words = [WORD.findall((t or "").lower()) for t in texts]
+        sizes = [len(w) for w in words]
+        at = np.fromiter((self[w] for own in words for w in own), np.int64, sum(sizes))
+        terms = np.array(self.rows, np.int64).reshape(-1, 1 + len(STEMS))[at]
+        own = np.repeat(np.arange(len(texts)), sizes)[:, None] * max(1, len(self.number)) + terms
+        found, counts = np.unique(own[terms >= 0], return_counts=True)
+        owner, numbers = np.divmod(found, max(1, len(self.number)))
+        return numbers, counts, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
 def weigh(numbers: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -55,39 +63,73 @@ def weigh(numbers: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarra
     return w / np.sqrt((w * w).sum()) if len(w) else w
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the given ranges, range by range."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def alike_together(owner: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int, width: int = 128) -> np.ndarray:
+    """An order of the examples whose blocks hold similar ones, so that block maxima are tight: sketches of the
+    vectors by hashed terms, halved along their main direction until a part fits a block."""
+    mixed = (term.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    sketch = np.bincount(owner * width + (mixed % np.uint64(width)).astype(np.int64),
+                         np.where(mixed >> np.uint64(20) & np.uint64(1), weight, -weight), minlength=size * width).reshape(size, width)
+    parts, done = [np.arange(size)], []
+    while parts:
+        part = parts.pop()
+        if len(part) <= BLOCK:
+            done.append(part)
+            continue
+        own = sketch[part] - sketch[part].mean(axis=0)
+        part = part[np.argsort(own @ np.linalg.eigh(own.T @ own)[1][:, -1], kind="stable")]
+        half = BLOCK * -(-len(part) // (2 * BLOCK))
+        parts += [part[half:], part[:half]]
+    return np.concatenate(done)
+
+
 class BlockMaxIndex:
-    """Postings by term, cut at blocks of 64 examples, with the largest weight of each term in each block.
+    """Postings by term, cut at blocks of 64 similar examples, with the largest weight of each term in each block.
 
     A query's bound for a block is the sum of its weights times those maxima; blocks are read in falling order
-    of bounds until the next bound is below the k-th best score, so the k nearest are exact.
+    of bounds until the next bound is below the k-th best score, so the k nearest are exact. Only the cells (term and
+    block) that have postings are stored.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.size, self.n_blocks = len(vectors), -(-len(vectors) // BLOCK)
+        self.size = len(vectors)
+        self.n_blocks = max(1, -(-self.size // BLOCK))
         owner = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        order = np.lexsort((owner, term))
-        self.owner, self.weight, cell = owner[order], weight[order], (term * self.n_blocks + owner // BLOCK)[order]
-        self.cells = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1)).reshape(-1)
-        self.most = np.zeros(n_terms * max(self.n_blocks, 1))
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, max(self.n_blocks, 1))
+        place = np.argsort(alike_together(owner, term, weight, self.size)) if self.size else np.empty(0, np.int64)
+        order = np.lexsort((place[owner], term))
+        self.owner, self.weight = owner[order].astype(np.int32), weight[order]
+        cell, first = np.unique((term * self.n_blocks + place[owner] // BLOCK)[order], return_index=True)
+        self.starts = np.append(first, len(order))
+        self.block = (cell % self.n_blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.cells = np.searchsorted(cell, np.arange(n_terms + 1) * self.n_blocks)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (ties: lower number), and the cosines."""
         if not len(terms) or not self.size:
             return np.empty(0, np.int64), np.empty(0)
-        bound = weights @ self.most[terms]
+        sizes = self.cells[terms + 1] - self.cells[terms]
+        cells, pull = spread(self.cells[terms], sizes), np.repeat(weights, sizes)
+        block = self.block[cells]
+        bound = np.bincount(block, pull * self.most[cells], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        scores, read, step, least = np.zeros(self.size), 0, 1, 0.0
+        scores, read, step, least = np.zeros(self.size), 0, 2, 0.0
         while read < len(order) and bound[order[read]] >= least - 1e-12:
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                for b in order[read:read + step].tolist():
-                    at = t * self.n_blocks + b
-                    some = slice(self.cells[at], self.cells[at + 1])
-                    scores[self.owner[some]] += w * self.weight[some]
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[order[read:read + step]] = True
+            some = chosen[block]
+            own = cells[some]
+            sizes = self.starts[own + 1] - self.starts[own]
+            at = spread(self.starts[own], sizes)
+            scores += np.bincount(self.owner[at], np.repeat(pull[some], sizes) * self.weight[at], self.size)
             read, step = read + step, 2 * step
             if without >= 0:
                 scores[without] = 0
@@ -101,7 +143,6 @@ class BlockMaxIndex:
 class Model:
     """Examples, their index, the idf of the vocabulary, class weights and the calibration of votes."""
 
-    vocabulary: list[str]
     idf: np.ndarray
     ids: list
     labels: np.ndarray
@@ -147,30 +188,16 @@ def class_examples(marks: DataFrame, label: int, max_examples: int) -> DataFrame
     return marks.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
 
 
-def choose_terms(examples: DataFrame, max_terms: int, least_chi2: float) -> list[str]:
-    """Words and stems that mark the positive class in ``examples`` (``text, label``): chi-squared of document
-    presence at least ``least_chi2``, the largest first."""
-    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("terms", T.ArrayType(T.StringType()))])
-    out = to_arrow_schema(schema)
+def example_terms(examples: DataFrame) -> list[str]:
+    """All words and word stems of the examples' texts, in order."""
+    schema = T.StructType([T.StructField("term", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            terms = [list({t for w in set(WORD.findall((x or "").lower())) for t in terms_of(w)}) for x in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("label").cast(out.field(0).type), pa.array(terms, out.field(1).type)], schema=out)
-
-    sums = examples.agg(F.count(F.lit(1)), F.sum("label")).first()
-    n, share = sums[0], (sums[1] or 0) / max(sums[0], 1)
-    if not 0 < share < 1:
-        return []
-    terms = examples.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, schema)
-    counted = terms.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")
-    )
-    # of the two by two table of presence and label
-    lift = F.col("pos") - F.col("n") * share
-    chi2 = lift * lift / (F.col("n") * share * (1 - share) * (1 - F.col("n") / n))
-    marked = counted.filter((F.col("n") < n) & (lift > 0)).withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2)
-    return [r.term for r in marked.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
+            words = set().union(*(WORD.findall((x or "").lower()) for x in part.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(list({t for w in words for t in terms_of(w)}), pa.string())], schema=to_arrow_schema(schema))
+
+    return sorted(r.term for r in examples.select("text").mapInArrow(run, schema).distinct().collect())
 
 
 def toxicity_scores(
@@ -180,21 +207,20 @@ def toxicity_scores(
     text_col: str = "text",
     label_col: str = "toxic",
     max_examples: int = 2000,
-    max_terms: int = 1024,
-    least_chi2: float = 24.0,
     k: int = 16,
 ) -> DataFrame:
     """One row per document: ``doc_id, score, evidence``.
 
     ``labelled`` (``id_col, label_col`` 0/1) is all that may be learned from. Of each class at most
-    ``max_examples`` documents (smallest hashed ids) are the examples; from them at most ``max_terms`` words and
-    word stems are chosen as vocabulary. Document frequencies are counted over all documents. A document's whole
-    text becomes a unit TF-IDF vector over the vocabulary; its ``k`` nearest examples by exact cosine vote with their
-    cosine as weight, corrected for the classes' shares among all labelled rows; votes are calibrated by a
-    logistic fit to the examples' own left-one-out votes. ``evidence`` lists the neighbours: ``doc_id, cosine, label``.
+    ``max_examples`` documents (smallest hashed ids) are the examples; every word and word stem of their whole texts
+    is a term. Document frequencies are counted over all documents. A document's whole text becomes a unit TF-IDF
+    vector over the terms (a word that no example has can match none, and has no weight); its ``k`` nearest examples
+    by exact cosine vote with their cosine as weight, corrected for the classes' shares among all labelled rows;
+    votes are calibrated by a logistic fit to the examples' own left-one-out votes. ``evidence`` lists the
+    neighbours: ``doc_id, cosine, label``.
 
-    The texts are read once: counts of vocabulary terms go to a written table, from which frequencies, example vectors
-    and scores come. The index (bounded by examples and terms) is broadcast.
+    The texts are read once: term counts go to a written table, from which frequencies, example vectors
+    and scores come. Terms and index are broadcast; they are bounded by the examples' texts, whatever the corpus.
 
     Defined cases: null, empty and termless texts have no neighbour and get the calibrated score of the smoothed
     share of positives; rows with a null id or label teach nothing, of an id labelled twice the larger label
@@ -208,15 +234,14 @@ def toxicity_scores(
         "doc_id IS NOT NULL AND label IS NOT NULL"
     ).groupBy("doc_id").agg(F.max("label").alias("label"))
     shares = dict(marks.groupBy("label").count().collect())
-    chosen = {r.doc_id: r.label for label in sorted(shares) for r in class_examples(marks, label, max_examples).collect()}
+    classes = (0, 1) if {0, 1} <= set(shares) else ()
+    chosen = {r.doc_id: r.label for label in classes for r in class_examples(marks, label, max_examples).collect()}
     prior = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
 
     # a repeated id is one example
     picked = rows.filter(F.col("doc_id").isin(list(chosen))).groupBy("doc_id").agg(F.min("text").alias("text"))
-    positive = [i for i, label in chosen.items() if label]
-    vocabulary = choose_terms(
-        picked.select("text", F.col("doc_id").isin(positive).cast("int").alias("label")), max_terms, least_chi2
-    ) if chosen else []
+    vocabulary = example_terms(picked) if chosen else []
+    numbers = spark.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
 
     counts_schema = T.StructType([
         T.StructField("doc_id", id_type), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType())),
@@ -224,10 +249,11 @@ def toxicity_scores(
     counts_out = to_arrow_schema(counts_schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TermTable(vocabulary)
+        table = TermTable(numbers.value)
         for part in slices(batches, "text"):
-            found = [table.counts(t) for t in part.column("text").to_pylist()]
-            columns = [part.column("doc_id"), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([c for _, c in found], pa.list_(pa.int32()))]
+            terms, counts, starts = table.counts(part.column("text").to_pylist())
+            lists = [pa.ListArray.from_arrays(starts.astype(np.int32), v.astype(np.int32)) for v in (terms, counts)]
+            columns = [part.column("doc_id"), *lists]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, counts_out)], schema=counts_out)
 
     counted = written(rows.mapInArrow(count, counts_schema), "toxic-terms")
@@ -242,7 +268,7 @@ def toxicity_scores(
     labels = np.array([chosen[r.doc_id] for r in examples], float)
     per_class = [max(1.0, shares.get(c, 0)) / max(1.0, (labels == c).sum()) for c in (0, 1)]
     votes = np.where(labels == 1, per_class[1], per_class[0]) / (max(per_class) or 1)
-    model = Model(vocabulary, idf, [r.doc_id for r in examples], labels, votes, BlockMaxIndex(vectors, len(vocabulary)), prior, k=k)
+    model = Model(idf, [r.doc_id for r in examples], labels, votes, BlockMaxIndex(vectors, len(vocabulary)), prior, k=k)
     if 0 < labels.sum() < len(labels):
         raw = np.array([model.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
         model.calibrate(raw, votes)
@@ -261,13 +287,16 @@ def toxicity_scores(
         plain = model.score(float(np.clip(model.prior, 1e-4, 1 - 1e-4)))
         for batch in batches:
             scores, evidence = [], []
-            for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                if not terms:
+            lists = batch.column("terms"), batch.column("counts")
+            starts = np.asarray(lists[0].offsets) - lists[0].offsets[0].as_py()
+            terms, counts = (np.asarray(v.flatten()) for v in lists)
+            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                if start == end:
                     scores.append(plain)
                     evidence.append([])
                     continue
-                numbers = np.array(terms, np.int64)
-                raw, best, cosine = model.vote(numbers, weigh(numbers, np.array(counts, float), model.idf))
+                own = terms[start:end].astype(np.int64)
+                raw, best, cosine = model.vote(own, weigh(own, counts[start:end].astype(float), model.idf))
                 scores.append(model.score(raw))
                 evidence.append([{"doc_id": model.ids[i], "cosine": c, "label": int(model.labels[i])} for i, c in zip(best.tolist(), cosine.tolist())])
             columns = [batch.column("doc_id"), pa.array(scores), pa.array(evidence, out.field(2).type)]

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -90,9 +92,54 @@ def test_block_max_search_is_exact():
 
 
 def test_term_counts_cover_the_whole_text():
-    table = TermTable(["idiot", "idio*", "zz"])
+    table = TermTable({"idiot": 0, "idio*": 1, "zz": 2})
     text = "x " * 100_000 + "Idiot, idiots IDIOT"
-    assert table.counts(text) == ([0, 1], [2, 3]) and table.counts(None) == ([], [])
+    terms, counts, starts = table.counts([None, text, "", "zz y"])
+    assert (terms.tolist(), counts.tolist(), starts.tolist()) == ([0, 1, 2], [2, 3, 1], [0, 0, 2, 2, 3])
+    assert [len(v) for v in table.counts([None, ""])] == [0, 0, 3] and not len(TermTable({}).counts(["a b"])[0])
+
+
+def test_toxicity_equals_a_plain_nearest_neighbour_search(spark):
+    """Scores and evidence of all documents, against vectors as dictionaries and all cosines."""
+    docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_LARGER}/labels.parquet").filter(id_remainder(5) != 0)
+    got = {r.doc_id: r for r in toxicity_scores(docs, labels).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    marks = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    bags = {}
+    for i, text in texts.items():
+        bag = bags[i] = {}
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            for term in {word, *((word[:4] + "*",) if len(word) > 4 else ()), *((word[:5] + "*",) if len(word) > 5 else ())}:
+                bag[term] = bag.get(term, 0) + 1
+    ids = sorted((i for i in marks if i in texts), key=str)
+    known = {t for i in ids for t in bags[i]}
+    df = {}
+    for bag in bags.values():
+        for t in known.intersection(bag):
+            df[t] = df.get(t, 0) + 1
+    vectors = {}
+    for i, bag in bags.items():
+        v = {t: (1 + math.log(c)) * (math.log((1 + len(texts)) / (1 + df[t])) + 1) for t, c in bag.items() if t in known}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        vectors[i] = {t: x / size for t, x in v.items()}
+    by_vote = []
+    share = {c: sum(m == c for m in marks.values()) / sum(marks[i] == c for i in ids) for c in (0, 1)}
+    pull = {c: share[c] / max(share.values()) for c in (0, 1)}
+    prior = (sum(marks.values()) + 1) / (len(marks) + 2)
+    for i in texts:
+        cosines = {e: sum(x * vectors[e].get(t, 0.0) for t, x in vectors[i].items()) for e in ids}
+        best = sorted((c for c in cosines.values() if c > 1e-12), reverse=True)[:16]
+        row = got[i]
+        assert np.allclose([e.cosine for e in row.evidence], np.minimum(best, 1), atol=1e-9)
+        assert all(abs(min(cosines[e.doc_id], 1) - e.cosine) < 1e-9 and e.label == marks[e.doc_id] for e in row.evidence)
+        near = [(pull[e.label] * e.cosine, e.label) for e in row.evidence]
+        raw = (sum(w for w, m in near if m) + 0.5 * prior) / (sum(w for w, _ in near) + 0.5)
+        raw = min(max(raw, 1e-4), 1 - 1e-4)
+        by_vote.append((math.log(raw / (1 - raw)), math.log(row.score / (1 - row.score))))
+    x, z = np.array(sorted(by_vote)).T
+    slope, shift = np.polyfit(x, z, 1)  # scores are one rising logistic function of the votes
+    assert slope > 0 and np.allclose(slope * x + shift, z, atol=1e-6)
 
 
 def test_toxicity_learns_only_from_the_labelled_rows(spark):
