@@ -20,6 +20,7 @@ from kickwx.llm.scratch import written
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
 BLOCK = 64
+QUERIES = 64
 MEMO_WORDS = 500_000
 
 
@@ -91,9 +92,10 @@ def alike_together(owner: np.ndarray, term: np.ndarray, weight: np.ndarray, size
 class BlockMaxIndex:
     """Postings by term, cut at blocks of 64 similar examples, with the largest weight of each term in each block.
 
-    A query's bound for a block is the sum of its weights times those maxima; blocks are read in falling order
-    of bounds until the next bound is below the k-th best score, so the k nearest are exact. Only the cells (term and
-    block) that have postings are stored.
+    Terms that a tenth of the examples have are full rows, multiplied for many queries at once. Their sums are
+    lower bounds of the scores; a block's largest sum plus the query's other weights times the block's maxima is its
+    upper bound. Blocks are read in falling order of these until the next is below the k-th best score, so the k nearest
+    are exact. Of the other terms only the cells (term and block) that have postings are stored.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
@@ -102,10 +104,18 @@ class BlockMaxIndex:
         owner = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        place = np.argsort(alike_together(owner, term, weight, self.size)) if self.size else np.empty(0, np.int64)
-        order = np.lexsort((place[owner], term))
-        self.owner, self.weight = owner[order].astype(np.int32), weight[order]
-        cell, first = np.unique((term * self.n_blocks + place[owner] // BLOCK)[order], return_index=True)
+        self.number = alike_together(owner, term, weight, self.size) if self.size else np.empty(0, np.int64)
+        self.place = np.argsort(self.number)
+        at = self.place[owner]
+        often = np.bincount(term, minlength=n_terms) >= max(BLOCK, self.size / 10)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.rows = np.zeros((int(often.sum()), self.size))
+        full = often[term]
+        self.rows[self.row[term[full]], at[full]] = weight[full]
+        term, at, weight = term[~full], at[~full], weight[~full]
+        order = np.lexsort((at, term))
+        self.at, self.weight = at[order].astype(np.int32), weight[order]
+        cell, first = np.unique((term * self.n_blocks + at // BLOCK)[order], return_index=True)
         self.starts = np.append(first, len(order))
         self.block = (cell % self.n_blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
@@ -113,15 +123,34 @@ class BlockMaxIndex:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (ties: lower number), and the cosines."""
+        return next(self.nearest_each([(terms, weights)], k, [without]))
+
+    def nearest_each(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of every query, in order."""
+        for first in range(0, len(queries), QUERIES):
+            some = queries[first:first + QUERIES]
+            full = np.zeros((len(some), len(self.rows)))
+            for i, (terms, weights) in enumerate(some):
+                row = self.row[terms]
+                full[i, row[row >= 0]] = weights[row >= 0]
+            for i, scores in enumerate(full @ self.rows):
+                hidden = without[first + i] if without else -1
+                yield self._finish(scores, *some[i], k, self.place[hidden] if hidden >= 0 else -1)
+
+    def _finish(self, scores: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, hidden: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(terms) or not self.size:
             return np.empty(0, np.int64), np.empty(0)
+        if hidden >= 0:
+            scores[hidden] = 0
         sizes = self.cells[terms + 1] - self.cells[terms]
         cells, pull = spread(self.cells[terms], sizes), np.repeat(weights, sizes)
         block = self.block[cells]
-        bound = np.bincount(block, pull * self.most[cells], self.n_blocks)
+        bound = np.maximum.reduceat(scores, np.arange(0, self.size, BLOCK)) + np.bincount(block, pull * self.most[cells], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        scores, read, step, least = np.zeros(self.size), 0, 2, 0.0
+        read, step, least = 0, 4, np.partition(scores, -k)[-k] if self.size >= k else 0.0
         while read < len(order) and bound[order[read]] >= least - 1e-12:
             chosen = np.zeros(self.n_blocks, bool)
             chosen[order[read:read + step]] = True
@@ -129,14 +158,14 @@ class BlockMaxIndex:
             own = cells[some]
             sizes = self.starts[own + 1] - self.starts[own]
             at = spread(self.starts[own], sizes)
-            scores += np.bincount(self.owner[at], np.repeat(pull[some], sizes) * self.weight[at], self.size)
+            scores += np.bincount(self.at[at], np.repeat(pull[some], sizes) * self.weight[at], self.size)
             read, step = read + step, 2 * step
-            if without >= 0:
-                scores[without] = 0
+            if hidden >= 0:
+                scores[hidden] = 0
             least = np.partition(scores, -k)[-k] if self.size >= k else 0.0
-        found = np.flatnonzero(scores)
-        best = found[np.lexsort((found, -scores[found]))][:k]
-        return best, np.minimum(scores[best], 1.0)
+        found = np.flatnonzero(scores >= least) if least > 0 else np.flatnonzero(scores)
+        best = found[np.lexsort((self.number[found], -scores[found]))][:k]
+        return self.number[best], np.minimum(scores[best], 1.0)
 
 
 @dataclass
@@ -154,11 +183,13 @@ class Model:
     k: int = 16
     smoothing: float = 0.5
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        best, cosine = self.index.nearest(terms, weights, self.k, without)
-        pull = cosine * self.votes[best]
-        raw = (pull @ self.labels[best] + self.smoothing * self.prior) / (pull.sum() + self.smoothing)
-        return float(np.clip(raw, 1e-4, 1 - 1e-4)), best, cosine
+    def votes_of(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+    ) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        for best, cosine in self.index.nearest_each(queries, self.k, without):
+            pull = cosine * self.votes[best]
+            raw = (pull @ self.labels[best] + self.smoothing * self.prior) / (pull.sum() + self.smoothing)
+            yield float(np.clip(raw, 1e-4, 1 - 1e-4)), best, cosine
 
     def calibrate(self, raw: np.ndarray, weight: np.ndarray) -> None:
         """Logistic fit of label on the log-odds of the vote, with smoothed targets and a ridge at slope 1, shift 0."""
@@ -270,7 +301,7 @@ def toxicity_scores(
     votes = np.where(labels == 1, per_class[1], per_class[0]) / (max(per_class) or 1)
     model = Model(idf, [r.doc_id for r in examples], labels, votes, BlockMaxIndex(vectors, len(vocabulary)), prior, k=k)
     if 0 < labels.sum() < len(labels):
-        raw = np.array([model.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
+        raw = np.array([raw for raw, _, _ in model.votes_of(vectors, list(range(len(vectors))))])
         model.calibrate(raw, votes)
 
     schema = T.StructType([
@@ -284,19 +315,16 @@ def toxicity_scores(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        plain = model.score(float(np.clip(model.prior, 1e-4, 1 - 1e-4)))
         for batch in batches:
-            scores, evidence = [], []
             lists = batch.column("terms"), batch.column("counts")
             starts = np.asarray(lists[0].offsets) - lists[0].offsets[0].as_py()
             terms, counts = (np.asarray(v.flatten()) for v in lists)
+            queries = []
             for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                if start == end:
-                    scores.append(plain)
-                    evidence.append([])
-                    continue
                 own = terms[start:end].astype(np.int64)
-                raw, best, cosine = model.vote(own, weigh(own, counts[start:end].astype(float), model.idf))
+                queries.append((own, weigh(own, counts[start:end].astype(float), model.idf)))
+            scores, evidence = [], []
+            for raw, best, cosine in model.votes_of(queries):
                 scores.append(model.score(raw))
                 evidence.append([{"doc_id": model.ids[i], "cosine": c, "label": int(model.labels[i])} for i, c in zip(best.tolist(), cosine.tolist())])
             columns = [batch.column("doc_id"), pa.array(scores), pa.array(evidence, out.field(2).type)]
