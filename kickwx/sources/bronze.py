@@ -179,15 +179,15 @@ def load_or_create_lake_table(spark: SparkSession, name: str, table: str) -> Dat
 
 
 def read_lake_or_csv(spark: SparkSession, table: str, lake: str | None, csv_path: str | None,
-                     ingestion_time: Column | None = None) -> DataFrame | None:
-    """Prefer the lake table/path, fall back to the CSV file, else None."""
+                     ingestion_time: Column | None = None, multi_line: bool = False) -> DataFrame | None:
+    """Prefer the lake table/path, fall back to the CSV file (``multi_line`` as in ``scan_csv``), else None."""
     if lake:
         if table_exists(spark, lake):
             return conform_to_bronze(spark.table(lake), table, ingestion_time)
         if path_exists(spark, lake):
             return conform_to_bronze(spark.read.parquet(lake), table, ingestion_time)
     if csv_path and path_exists(spark, csv_path):
-        return read_bronze_csv(spark, csv_path, table, ingestion_time)
+        return read_bronze_csv(spark, csv_path, table, ingestion_time, multi_line)
     log.warning("no source for bronze_%s", table)
     return None
 

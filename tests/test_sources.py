@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from kickwx.operators.dedup import latest_by_key
 from kickwx.sources.bronze import (
-    UnknownColumnError, append_bronze, append_drop, ensure_bronze_table, read_bronze_csv, stringify_fixtures, unnest_hourly)
-from kickwx.sources.schemas import FIXTURES_COLUMNS, PAYLOAD_SCHEMA, WEATHER_VARIABLES
+    UnknownColumnError, append_bronze, append_drop, ensure_bronze_table, read_bronze_csv, read_lake_or_csv, stringify_fixtures, unnest_hourly)
+from kickwx.sources.schemas import FIXTURES_COLUMNS, INGESTION_TIME, PAYLOAD_SCHEMA, WEATHER_VARIABLES
 
 
 def test_csv_bronze_na_tokens_and_missing_columns(spark, tmp_path):
@@ -89,3 +89,19 @@ def test_stringify_fixtures(spark):
                                  ", ".join(f"{c} int" for c in FIXTURES_COLUMNS if c != "hasWeather"))
     out = stringify_fixtures(lake, datetime(2025, 1, 1)).first()
     assert out.eventId == "3" and out.hasWeather is None and out._ingestion_time == datetime(2025, 1, 1)
+
+
+def test_csv_fallback_takes_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "venues.csv"
+    path.write_text('venueId,fullName\n1,"North\nStand"\n2,South\n')
+    rows = read_lake_or_csv(spark, "venues", str(tmp_path / "absent"), str(path), multi_line=True)
+    assert {(r.venueId, r.fullName) for r in rows.collect()} == {("1", "North\nStand"), ("2", "South")}
+
+
+def test_default_stamp_is_the_time_of_the_read(spark, tmp_path):
+    path = tmp_path / "venues.csv"
+    path.write_text("venueId,fullName\n1,North\n")
+    clock = lambda: spark.sql("SELECT current_timestamp()::timestamp_ntz AS t").first().t
+    before = clock()
+    stamp = read_bronze_csv(spark, str(path), "venues").first()[INGESTION_TIME]
+    assert before <= stamp <= clock()
