@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +23,42 @@ MEMO_CHUNKS = 600_000
 # Lower-case letters of Latin-1 (which normalisation leaves as they are) before ASCII punctuation.
 LETTER_THEN_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 
+ALPHABET = "abcdefghijklmnopqrstuvwxyz zyxwvutsrqponmlkjihgfedcba"
+
+
+def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or its used part in one of twice the length, with room for ``more`` entries."""
+    if used + more <= len(array):
+        return array
+    out = np.empty(max(2 * len(array), used + more), array.dtype)
+    out[:used] = array[:used]
+    return out
+
+
 def _letters(word: str) -> bool:
     """Letters only, and still so once normalised as the tokenizer does."""
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
 class ChunkEncoder:
-    """Encoder for one tokenizer file; keeps the ids of at most ``MEMO_CHUNKS`` chunks, then starts anew."""
+    """Encoder for one tokenizer file; keeps the ids of at most ``MEMO_CHUNKS`` chunks (or of one slice, if it has more).
+
+    When a slice would pass that, the chunks that the fewest slices had go: at least half of those kept.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # lower-case ASCII words need no normalisation, most of the cost of a word, where that leaves them as they are
+        self.plain = self.tokenizer
+        normalizer = self.tokenizer.normalizer
+        if normalizer and normalizer.normalize_str(ALPHABET) == ALPHABET:
+            self.plain = Tokenizer.from_str(self.tokenizer.to_str())
+            self.plain.normalizer = Sequence([])
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
@@ -47,11 +70,51 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         self.memo: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.hits = (np.empty(1 << 14, t) for t in (np.int64, np.int64, np.int32))
+
+    def _thin(self) -> None:
+        """Keep the chunks that the most slices had, at most half of ``MEMO_CHUNKS``; their ids move together."""
+        n = len(self.memo)
+        hits = self.hits[:n]
+        least = 2
+        while np.count_nonzero(hits >= least) > MEMO_CHUNKS // 2:
+            least += 1
+        stay = hits >= least
+        old = np.flatnonzero(stay)
+        sizes = self.sizes[old]
+        ids = self.ids[self._places(self.starts[old], sizes)]
+        chunks = list(compress(self.memo, stay.tolist()))  # the memo numbers its chunks in the order of their insertion
+        again = hits[old] // 2
+        self._forget()
+        self._keep(chunks, ids, sizes)
+        self.hits[:len(old)] = again
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Positions of the runs that begin at ``starts``, one after the other."""
+        at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
+        return at
+
+    def _keep(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, more = len(self.memo), len(chunks)
+        self.ids = _room(self.ids, self.used, len(ids))
+        self.starts, self.sizes, self.hits = (_room(a, n, more) for a in (self.starts, self.sizes, self.hits))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.starts[n:n + more] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n:n + more] = sizes
+        self.hits[n:n + more] = 0
+        self.memo.update(zip(chunks, range(n, n + more)))
+        self.used += len(ids)
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._encode_words(words, self.plain)
+
+    def _encode_words(self, words: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of letter runs, each one pre-token, read off the word-end marks of their last tokens."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        tokenizer = tokenizer or self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words):
             return self._encode_chunks(words)
@@ -65,13 +128,11 @@ class ChunkEncoder:
         """Add chunks to the memo: runs of letters as one text, others each by itself."""
         words = [c for c in chunks if _letters(c)]
         others = list(set(chunks).difference(words))
-        for own, code in ((words, self._encode_words), (others, self._encode_chunks)):
+        plain = [c for c in words if c.isascii() and c.islower()]
+        words = list(set(words).difference(plain))
+        for own, code in ((plain, self._encode_plain), (words, self._encode_words), (others, self._encode_chunks)):
             if own:
-                ids, sizes = code(own)
-                self.memo.update(zip(own, range(len(self.memo), len(self.memo) + len(own))))
-                self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
-                self.sizes = np.append(self.sizes, sizes)
-                self.ids = np.append(self.ids, ids)
+                self._keep(own, *code(own))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (nulls as empty) in one flat array, and the number of ids of each text."""
@@ -87,19 +148,25 @@ class ChunkEncoder:
         if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         chunks = coded.dictionary.to_pylist()
-        new = [c for c in chunks if c not in self.memo]
-        if new:
-            if len(self.memo) + len(new) > MEMO_CHUNKS:
-                self._forget()
-                new = chunks
-            self._learn(new)
-        number = np.fromiter(map(self.memo.__getitem__, chunks), np.int64, len(chunks))
+        number = self._numbers(chunks)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            if self.memo and len(self.memo) + len(new) > MEMO_CHUNKS:
+                self._thin()
+                number = self._numbers(chunks)
+                new = np.flatnonzero(number < 0)
+            learnt = [chunks[i] for i in new.tolist()]
+            self._learn(learnt)
+            number[new] = self._numbers(learnt)
+        self.hits[number] += 1
         index = number[np.asarray(coded.indices)]
         each = self.sizes[index]
         ends = np.cumsum(each)
-        at = np.repeat(self.starts[index] - (ends - each), each)
-        at += np.arange(len(at))
-        return self.ids[at], np.diff(np.append(0, ends)[offsets])
+        return self.ids[self._places(self.starts[index], each)], np.diff(np.append(0, ends)[offsets])
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """Each chunk's number in the memo, -1 where it has none."""
+        return np.fromiter(map(self.memo.get, chunks, repeat(-1)), np.int64, len(chunks))
 
 
 def encoder(path: str) -> ChunkEncoder:

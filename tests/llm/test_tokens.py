@@ -159,3 +159,21 @@ def test_token_files_round_trip(spark, tmp_path):
     assert sorted([(r.doc_id, zlib.crc32(r.ids)) for r in rows], key=key) == sorted(want, key=key)
     write_token_files(df.filter("false"), str(tmp_path / "none"), WORD)
     assert read_token_files(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_full_memo_keeps_the_chunks_that_most_slices_had(monkeypatch):
+    from kickwx.llm import encode as E
+
+    monkeypatch.setattr(E, "MEMO_CHUNKS", 60)
+    code = E.ChunkEncoder(tokenizer("word_bpe_49k.json"))
+    common = "der Weg, the way: Été ÅNGSTRÖM x1 don't 12"
+    for n in range(40):
+        texts = [common, " ".join(f"w{n}q{i} ur{chr(97 + n % 26)}{chr(97 + i)}" for i in range(8)), "", None]
+        ids, sizes = code.encode(pa.array(texts, pa.string()))
+        whole = [code.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for w in whole for i in w] and sizes.tolist() == [len(w) for w in whole]
+        assert len(code.memo) <= 60 and list(code.memo.values()) == list(range(len(code.memo)))
+    hits = code.hits[:len(code.memo)]
+    assert hits[code.memo["weg,"] if "weg," in code.memo else code.memo["weg"]] > 1
+    ids, _ = code.encode(pa.array([" ".join(f"z{i}" for i in range(200))], pa.string()))  # one slice with more than fit
+    assert ids.tolist() == code.tokenizer.encode(" ".join(f"z{i}" for i in range(200)), add_special_tokens=False).ids
