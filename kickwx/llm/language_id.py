@@ -182,14 +182,38 @@ def fit(spans: list[tuple[str, list[str]]], epochs: int = 6, rate: float = 0.3,
     return Model(labels, weights, trans, start)
 
 
+def smallest_hashed(rows: DataFrame, per_language: int) -> list:
+    """Ids (column ``doc_id``) of the ``per_language`` rows of each language with the smallest hashed ids.
+
+    Languages are counted first (combined map-side; one row each, as the model's labels, reaches the driver). Only rows whose hash
+    is below a bound that some eight times ``per_language`` rows should pass are ranked, so no task gets a whole language. Where
+    fewer than needed pass (an id that much of a language repeats), that language is ranked without a bound.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    hashed = F.xxhash64("doc_id")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id"))
+    found: dict[str, list] = {lang: [] for lang in counts}
+    for margin in (8, None):
+        short = {lang: n for lang, n in counts.items() if len(found[lang]) < min(n, per_language)}
+        if not short:
+            break
+        share = {lang: min(1.0, margin * per_language / n) if margin else 1.0 for lang, n in short.items()}
+        bounds = F.create_map(*[F.lit(x) for lang, part in sorted(share.items()) for x in (lang, part * 2.0**64 - 2.0**63)])
+        near = rows.filter(hashed.cast("double") <= F.element_at(bounds, F.col("lang")))  # no bound for the languages that are done
+        for lang in short:
+            found[lang] = []
+        for r in near.withColumn("n", rank).filter(F.col("n") <= per_language).collect():
+            found[r.lang].append(r.doc_id)
+    return [doc_id for lang in sorted(found) for doc_id in found[lang]]
+
+
 def training_spans(
     docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, spans: int, span_words: int
 ) -> list[tuple[str, list[str]]]:
     """Word spans of at most ``per_language`` documents of each language, spread evenly over each whole text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = [r[0] for r in rows.select("doc_id", "lang").withColumn("n", rank).filter(F.col("n") <= per_language).collect()]
+    chosen = smallest_hashed(rows.select("doc_id", "lang"), per_language)
     if not chosen:
         return []
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("doc_id", docs.schema[id_col].dataType),

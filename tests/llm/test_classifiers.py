@@ -183,3 +183,18 @@ def test_examples_of_a_class_are_not_ranked_in_one_task(spark):
     order = marks.filter("label = 0").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()
     want = [r.doc_id for r in sorted(order, key=lambda r: (r.h, r.doc_id))[:2000]]
     assert [r.doc_id for r in chosen.collect()] == want
+
+
+def test_language_sample_is_the_smallest_hashed_ids(spark):
+    from pyspark.sql import Window
+
+    from kickwx.llm.language_id import smallest_hashed
+
+    rows = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 3 > 0 THEN 'aa' WHEN id % 2 = 0 THEN 'bb' ELSE 'cc' END AS lang")
+    rows = rows.unionByName(spark.range(3000).selectExpr("-7L AS doc_id", "'dd' AS lang"))  # one id repeated
+    rows = rows.unionByName(spark.range(3000).selectExpr("id % 4 AS doc_id", "'ee' AS lang")).unionByName(spark.range(2).selectExpr("id + 90000 AS doc_id", "'ff' AS lang"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    for k in (1, 20, 700):
+        want = sorted(r[0] for r in rows.withColumn("n", rank).filter(F.col("n") <= k).collect())
+        assert sorted(smallest_hashed(rows, k)) == want
+    assert smallest_hashed(rows.limit(0), 5) == []
