@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from kickwx.llm.batches import kept
 
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 400_000
 
 # Lower-case letters of Latin-1 (which normalisation leaves as they are) before ASCII punctuation.
 LETTER_THEN_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
@@ -54,11 +54,9 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # lower-case ASCII words need no normalisation, most of the cost of a word, where that leaves them as they are
-        self.plain = self.tokenizer
-        normalizer = self.tokenizer.normalizer
-        if normalizer and normalizer.normalize_str(ALPHABET) == ALPHABET:
-            self.plain = Tokenizer.from_str(self.tokenizer.to_str())
-            self.plain.normalizer = Sequence([])
+        self.normal = self.plain = self.tokenizer.normalizer
+        if self.normal and self.normal.normalize_str(ALPHABET) == ALPHABET:
+            self.plain = Sequence([])
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
@@ -109,12 +107,15 @@ class ChunkEncoder:
         self.used += len(ids)
 
     def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self._encode_words(words, self.plain)
+        self.tokenizer.normalizer = self.plain
+        try:
+            return self._encode_words(words)
+        finally:
+            self.tokenizer.normalizer = self.normal
 
-    def _encode_words(self, words: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of letter runs, each one pre-token, read off the word-end marks of their last tokens."""
-        tokenizer = tokenizer or self.tokenizer
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words):
             return self._encode_chunks(words)
