@@ -459,6 +459,7 @@ FROM fixtures_latest f""",
     "incremental_upsert": "SELECT * FROM fact_match",
     "marts_refresh": "SELECT * FROM fact_match",
     "weather_latest": "SELECT * FROM weather_latest",
+    "weather_stream_latest": "SELECT * FROM weather_latest",
     "csv_ingest": "SELECT " + ", ".join(
         f'CASE WHEN "{c}" NOT IN ({_NA_SQL}) THEN "{c}" END AS "{c}"' for c in _VENUE_COLS
     ) + ", _ingestion_time FROM bronze_venues",

@@ -238,6 +238,19 @@ def _weather_latest(spark, sf_dir):
     return _bronze(spark, sf_dir).weather
 
 
+def _weather_stream_latest(spark, sf_dir):
+    """Payloads streamed into the hourly table, which keeps the last fetch of every (event, hour): the second load lands first (K4, K5)."""
+    from kickwx.operators.upsert import read_upserted
+    from kickwx.sources.schemas import INGESTION_TIME
+    from kickwx.sources.testdata import FIRST_LOAD, SECOND_LOAD, stand_in
+    from kickwx.streaming.payload_ingest import upsert_available_payloads
+    s, landing, table = stand_in(spark, sf_dir), fresh_path(spark, "payloads"), fresh_path(spark, "weather-latest")
+    for load in (SECOND_LOAD, FIRST_LOAD):
+        s.payload.filter(F.col(INGESTION_TIME) == F.lit(load).cast("timestamp_ntz")).write.mode("append").parquet(landing)
+        upsert_available_payloads(spark, landing, table, schema=s.payload.schema)
+    return read_upserted(spark, table, s.weather.schema)
+
+
 def _csv_ingest(spark, sf_dir):
     """Venue rows exported as CSV (quotes, commas, line breaks, NA tokens) and loaded back as bronze."""
     from kickwx.sources.bronze import read_bronze_csv
@@ -441,6 +454,7 @@ def _dq_profile(spark, sf_dir):
 EXTRA = {
     "latest_by_key": _latest_by_key,
     "weather_latest": _weather_latest,
+    "weather_stream_latest": _weather_stream_latest,
     "csv_ingest": _csv_ingest,
     "bronze_append": _bronze_append,
     "csv_export": _csv_export,

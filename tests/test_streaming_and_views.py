@@ -3,13 +3,14 @@ import sys
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from kickwx.operators.asof import select_ranks, select_window
 from kickwx.plans import analytics as A
 from kickwx.plans.views import register_views
 from kickwx.sources.bronze import ensure_bronze_table, export_csv_to_parquet
 from kickwx.sources.schemas import PAYLOAD_SCHEMA, WEATHER_VARIABLES
-from kickwx.streaming.payload_ingest import ingest_available_payloads
+from kickwx.streaming.payload_ingest import ingest_available_payloads, upsert_available_payloads, upsert_payloads
 
 
 def payload_rows(ids, day=datetime(2001, 1, 1)):
@@ -28,6 +29,41 @@ def test_stream_ingests_each_payload_file_once(spark, tmp_path):
     assert w.count() == 72 and w.select("eventId").distinct().count() == 3
 
 
+def loaded(rows, hour, shift=0.0):
+    """Payload rows with a load time and readings moved by ``shift``."""
+    rows = [(*r[:7], *[[v + shift for v in values] for values in r[7:]]) for r in rows]
+    return [(*r, datetime(2001, 6, 1, hour)) for r in rows]
+
+
+def test_stream_keeps_the_last_fetch_of_every_hour(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "weather")
+    schema = StructType([*PAYLOAD_SCHEMA.fields, StructField("_ingestion_time", TimestampNTZType())])
+    february = datetime(2001, 2, 3)
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        upsert_available_payloads(spark, landing, out, schema=schema)
+        files = {p: p.stat().st_mtime_ns for p in (tmp_path / "weather").rglob("*.parquet")}
+        return {(r.eventId, r.timestamp_utc.hour): r.rain for r in read(spark, out).collect()}, files
+
+    read = lambda s, path: s.read.parquet(path)
+    got, _ = land(loaded(payload_rows([1, 2]), 5) + loaded(payload_rows([3], february), 5) + loaded(payload_rows([2]), 4, 70.0))
+    assert len(got) == 72 and read(spark, out).count() == 72 and got["2", 7] == 7.0
+    got, before = land(loaded(payload_rows([1]), 8, 100.0))  # fetched again
+    assert len(got) == 72 and read(spark, out).count() == 72 and got["1", 7] == 107.0 and got["2", 7] == 7.0
+    got, after = land(loaded(payload_rows([1]), 6, 50.0))  # an older fetch that lands late
+    assert len(got) == 72 and read(spark, out).count() == 72 and got["1", 7] == 107.0
+    assert len(before) == len(after) == 2
+    untouched = [p for p in before if before[p] == after.get(p)]
+    assert len(untouched) == 1 and "2001-02" in str(untouched[0])  # only the batch's month is written
+    again = spark.createDataFrame(loaded(payload_rows([1]), 8, 100.0) + loaded(payload_rows([2]), 9, 1.0), schema)
+    for _ in range(2):  # a batch that a failure repeats
+        table = upsert_payloads(again, out, str(tmp_path / "staging"))
+        rows = {(r.eventId, r.timestamp_utc.hour): r.rain for r in table.collect()}
+        assert table.count() == 72 and rows["1", 7] == 107.0 and rows["2", 7] == 8.0
+    assert upsert_payloads(again.limit(0), out, str(tmp_path / "staging")).count() == 72
+
+
 SESSION = """
 import sys
 from pyspark.sql import SparkSession
