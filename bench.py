@@ -95,7 +95,7 @@ def main() -> None:
     kick = stg.stg_fixtures(bronze.fixtures).select("event_id", "match_datetime")
     for method in ("window", "grid", "aggregate", "topk"):
         times[f"weather_{method}"] = timed(lambda method=method: run(
-            select_kickoff_weather(stg.latest_observations(bronze.weather, method), kick, method=method)))
+            select_kickoff_weather(stg.latest_observations(bronze.weather), kick, method=method)))
     times["weather_unnest"] = timed(lambda: run(bronze_from_tables(spark, sf_dir).weather))
 
     # bronze_load derives stand-in inputs from the test tables (not engine work) and the
