@@ -123,3 +123,21 @@ def test_the_three_readings_of_aggregate_share_one_exchange(spark, tables):
     readings = re.findall(r"Exchange hashpartitioning\(event_id#\d+L[^)]*\), REPARTITION_BY_COL.*?\n((?:.*\n){6})", plan(found))
     assert len(readings) == 3
     assert len({re.sub(r"#\d+L?|^[\s:|+-]*|, \[plan_id=\d+\]", "", r, flags=re.M) for r in readings}) == 1
+
+
+@pytest.mark.parametrize("name", ["attendance_rain", "matches_temperature", "dq_summary", "sql_views"])
+def test_questions_plan_the_star_in_steps(spark, tables, name):
+    """Weather and typed fixtures are read back, and no row per match is broadcast."""
+    found = registry()[name](spark, tables)
+    files = " ".join(found.inputFiles())
+    assert "/dim-weather-" in files and "/typed-fixtures-" in files
+    assert not re.search(r"BroadcastHashJoin \[(event_id|WeatherID|DateID)", plan(found))
+
+
+def test_refresh_and_upsert_do_not_broadcast_matches(spark, tables):
+    from kickwx.plans.refresh import of_matches
+    from kickwx.plans.warehouse import bronze_from_tables
+    some = of_matches(bronze_from_tables(spark, tables), small(spark, 3, event_id="id"))
+    for rows in (some.fixtures, some.team_stats, some.weather):
+        assert not re.search(r"BroadcastHashJoin \[.*eventId", plan(rows))
+    assert some.fixtures.select("eventId").distinct().count() == 3
