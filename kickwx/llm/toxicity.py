@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -219,8 +220,8 @@ def class_examples(marks: DataFrame, label: int, max_examples: int) -> DataFrame
     return marks.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
 
 
-def example_terms(examples: DataFrame) -> list[str]:
-    """All words and word stems of the examples' texts, in order."""
+def example_terms(examples: DataFrame) -> pa.Array:
+    """All words and word stems of the examples' texts, in order; as Arrow, not as rows of Python strings."""
     schema = T.StructType([T.StructField("term", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +229,8 @@ def example_terms(examples: DataFrame) -> list[str]:
             words = set().union(*(WORD.findall((x or "").lower()) for x in part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([pa.array(list({t for w in words for t in terms_of(w)}), pa.string())], schema=to_arrow_schema(schema))
 
-    return sorted(r.term for r in examples.select("text").mapInArrow(run, schema).distinct().collect())
+    terms = examples.select("text").mapInArrow(run, schema).distinct().toArrow().column("term").combine_chunks()
+    return terms.take(pc.sort_indices(terms))
 
 
 def toxicity_scores(
@@ -271,8 +273,9 @@ def toxicity_scores(
 
     # a repeated id is one example
     picked = rows.filter(F.col("doc_id").isin(list(chosen))).groupBy("doc_id").agg(F.min("text").alias("text"))
-    vocabulary = example_terms(picked) if chosen else []
-    numbers = spark.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
+    vocabulary = example_terms(picked) if chosen else pa.array([], pa.string())
+    n_terms = len(vocabulary)
+    numbers = spark.sparkContext.broadcast(vocabulary)
 
     counts_schema = T.StructType([
         T.StructField("doc_id", id_type), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType())),
@@ -280,7 +283,7 @@ def toxicity_scores(
     counts_out = to_arrow_schema(counts_schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TermTable(numbers.value)
+        table = TermTable({t: i for i, t in enumerate(numbers.value.to_pylist())})
         for part in slices(batches, "text"):
             terms, counts, starts = table.counts(part.column("text").to_pylist())
             lists = [pa.ListArray.from_arrays(starts.astype(np.int32), v.astype(np.int32)) for v in (terms, counts)]
@@ -289,17 +292,22 @@ def toxicity_scores(
 
     counted = written(rows.mapInArrow(count, counts_schema), "toxic-terms")
     n_docs = counted.count()
-    frequency = np.zeros(len(vocabulary))
-    for r in counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-        frequency[r[0]] = r[1]
+    frequency = np.zeros(n_terms)
+    of_term = counted.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+    frequency[np.asarray(of_term.column("term"))] = np.asarray(of_term.column("count"))
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-    examples = counted.filter(F.col("doc_id").isin(list(chosen))).groupBy("doc_id").agg(F.min(F.struct("terms", "counts")).alias("v")).collect()
-    examples = sorted(examples, key=lambda r: str(r.doc_id)) if chosen else []
-    vectors = [(np.array(r.v.terms, np.int64), weigh(np.array(r.v.terms, np.int64), np.array(r.v.counts, float), idf)) for r in examples]
-    labels = np.array([chosen[r.doc_id] for r in examples], float)
+    examples = counted.filter(F.col("doc_id").isin(list(chosen))).groupBy("doc_id").agg(F.min(F.struct("terms", "counts")).alias("v")).select("doc_id", "v.*").toArrow()
+    ids = examples.column("doc_id").to_pylist() if chosen else []
+    order = sorted(range(len(ids)), key=lambda i: str(ids[i]))
+    ids, examples = [ids[i] for i in order], examples.take(pa.array(order, pa.int64())).combine_chunks()
+    lists = [examples.column(c).combine_chunks() for c in ("terms", "counts")]
+    ends = np.cumsum(np.asarray(pc.list_value_length(lists[0])))
+    terms, counts = (np.split(np.asarray(v.flatten()), ends[:-1]) if ids else [] for v in lists)
+    vectors = [(t.astype(np.int64), weigh(t, c.astype(float), idf)) for t, c in zip(terms, counts)]
+    labels = np.array([chosen[i] for i in ids], float)
     per_class = [max(1.0, shares.get(c, 0)) / max(1.0, (labels == c).sum()) for c in (0, 1)]
     votes = np.where(labels == 1, per_class[1], per_class[0]) / (max(per_class) or 1)
-    model = Model(idf, [r.doc_id for r in examples], labels, votes, BlockMaxIndex(vectors, len(vocabulary)), prior, k=k)
+    model = Model(idf, ids, labels, votes, BlockMaxIndex(vectors, n_terms), prior, k=k)
     if 0 < labels.sum() < len(labels):
         raw = np.array([raw for raw, _, _ in model.votes_of(vectors, list(range(len(vectors))))])
         model.calibrate(raw, votes)

@@ -3,11 +3,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kickwx.llm.language_id import features, fit, identify, marginals, train
 from kickwx.llm.queries import id_remainder, op7_toxicity, op10_language_id
-from kickwx.llm.toxicity import BlockMaxIndex, TermTable, class_examples, toxicity_scores
+from kickwx.llm.toxicity import BlockMaxIndex, TermTable, class_examples, example_terms, toxicity_scores
 from tests.llm.helpers import awkward, documents
 
 SF_LARGER = "/root/testdata/sf0.01"
@@ -198,3 +199,10 @@ def test_language_sample_is_the_smallest_hashed_ids(spark):
         want = sorted(r[0] for r in rows.withColumn("n", rank).filter(F.col("n") <= k).collect())
         assert sorted(smallest_hashed(rows, k)) == want
     assert smallest_hashed(rows.limit(0), 5) == []
+
+
+def test_example_terms_come_as_arrow_in_order(spark):
+    rows = spark.createDataFrame([("Zebra é word",), (None,), ("word",)], "text string")
+    terms = example_terms(rows)
+    assert isinstance(terms, pa.Array) and terms.to_pylist() == sorted({"zebra", "zebr*", "é", "word"})
+    assert example_terms(rows.limit(0)).to_pylist() == []
