@@ -141,3 +141,29 @@ def test_refresh_and_upsert_do_not_broadcast_matches(spark, tables):
     for rows in (some.fixtures, some.team_stats, some.weather):
         assert not re.search(r"BroadcastHashJoin \[.*eventId", plan(rows))
     assert some.fixtures.select("eventId").distinct().count() == 3
+
+
+def test_weather_is_chosen_in_steps(spark, tables):
+    """Irregular matches and picks are read back: the dimension's plan holds no as-of join, and its rows are those of one plan."""
+    from kickwx.plans.warehouse import MartsInSteps, bronze_from_tables
+    b = bronze_from_tables(spark, tables)
+    hourly = F.hour("timestamp_utc") == 9  # matches 1 and 2 lack hours, so both paths have picks
+    b.weather = b.weather.filter(~(F.col("eventId").isin("1", "2") & hourly))
+    marts = MartsInSteps(b, "guarded")
+    assert not re.search(r"Window|Join|bitmap", plan(marts.stg_dim_weather))
+    whole = staging.stg_dim_weather(b.weather, marts.fixtures, method="guarded")
+    assert sorted(map(str, marts.stg_dim_weather.collect())) == sorted(map(str, whole.collect()))
+    exact = staging.stg_dim_weather(b.weather, marts.fixtures, method="window")
+    assert whole.count() == exact.count() > 0
+
+
+def test_both_loads_come_from_one_scan(spark, tables):
+    from kickwx.sources.testdata import stand_in
+    s = stand_in(spark, tables)
+    for rows, again in ((s.fixtures, lambda k: k % 7 == 0), (s.payload, lambda k: k % 9 == 4)):
+        text = plan(rows)
+        assert text.count("FileScan") == 1 and "Subquery" not in text
+        found = [(int(r.eventId) % 3_000_000_000, str(r._ingestion_time)) for r in rows.select("eventId", "_ingestion_time").collect()]
+        first = [k for k, t in found if t == "2025-10-28 06:00:00"]
+        assert len(found) > len(first) == len(set(first))
+        assert sorted(k for k, t in found if t == "2025-10-29 06:00:00") == sorted(k for k in first if again(k))
