@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kickwx.llm.substring_dedup import compact_windows, matched_spans, repeated_passages, shingles, sliding_argmin
+from kickwx.llm.substring_dedup import compact_windows, matched_spans, rare_prefixes, repeated_passages, shingles, sliding_argmin
 from tests.llm.helpers import awkward, documents
 
 
@@ -134,6 +134,32 @@ def test_verbatim_passages_meet_behind_many_variants(spark):
     assert {(100 * place + 91, 100 * place + 90) for place in range(6)} <= got
 
 
+def test_near_repeats_meet_behind_many_variants(spark):
+    rnd, rows = random.Random(17), []
+    for place in range(4):
+        base = words(rnd, 50)
+        for i in range(40):  # similar to the template and to each other, but not enough
+            own, at = list(base), rnd.randrange(5, 44)
+            own[at:at + 2] = [f"variant{i}", f"x{at}"]
+            rows.append((100 * place + i, " ".join(words(rnd, 20) + own + words(rnd, 20))))
+        edited = [*base[:2], "edited", *base[3:]]
+        rows += [(100 * place + 90 + i, " ".join(words(rnd, 20) + own + words(rnd, 20))) for i, own in enumerate((base, edited))]
+    got = {(r.doc_id, r.keep_id) for r in repeated_passages(documents(spark, rows)).collect()}
+    assert {(100 * place + 91, 100 * place + 90) for place in range(4)} <= got
+
+
+def test_rare_prefixes_hold_a_shingle_of_every_similar_window(spark):
+    rnd = random.Random(19)
+    text = words(rnd, 50)
+    hashed, _, _ = shingles([" ".join(text).encode()], 5)
+    numbers = [(int(h), n) for n, h in enumerate(hashed.view(np.int64), 2)]
+    schema = "text_key long, doc_id long, text string, spans array<struct<first:int,last:int>>, shared array<struct<h:long,n:long>>"
+    table = spark.createDataFrame([(1, 5, " ".join(text), [(0, 0)], numbers), (2, 6, " ".join(text), [(0, 0)], numbers[:30]), (3, 7, " ".join(text), [(0, 0)], numbers[:31])], schema)
+    got = [(r.doc_id, r.at) for r in rare_prefixes(table, 46, 5, 0.8).collect()]
+    # 31 of 46 make a window similar: any 16 have one of them, none where only 30 are shared, the rarest where just 31 are
+    assert sorted(got) == [(5, i) for i in range(16)] + [(7, 0)]
+
+
 def test_matched_spans_choose_the_occurrence_in_line():
     rng = np.random.default_rng(1)
     passage, rest = rng.permutation(46).astype(np.uint64), rng.permutation(np.arange(100, 900)).astype(np.uint64)
