@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,12 +20,19 @@ from kickwx.llm.batches import slices
 from kickwx.llm.scratch import written
 
 WORD = re.compile(r"[^\W\d_]+")
+ASCII_WORD = re.compile(r"[a-z]+")  # the same in lower-cased ASCII
 STEMS = (4, 5)
 BLOCK = 64
 QUERIES = 64
+CELLS = 4  # blocks from which on a term's maxima and places are full rows
 MEMO_WORDS = 500_000
 
 
+def words_of(text: str | None) -> list[str]:
+    lower = (text or "").lower()
+    return (ASCII_WORD if lower.isascii() else WORD).findall(lower)
+
+
 def terms_of(word: str) -> list[str]:
     """A word and its opening stems, marked with a star."""
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
@@ -36,26 +44,44 @@ class TermTable(dict):
     def __init__(self, number: dict[str, int]):
         super().__init__()
         self.number, self.rows = number, array("i")
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.rows = array("i", [-1] * (1 + len(STEMS)))  # the row of all words without a term
 
     def __missing__(self, word: str) -> int:
-        own = [self.number.get(t, -1) for t in terms_of(word)]
-        self.rows.extend(own + [-1] * (1 + len(STEMS) - len(own)))
-        self[word] = len(self)
-        return self[word]
+        known, size = self.number.get, len(word)
+        own = [known(word, -1), *[known(f"{word[:n]}*", -1) if size > n else -1 for n in STEMS]]
+        if max(own) < 0:
+            self[word] = 0
+            return 0
+        at = self[word] = len(self.rows) // (1 + len(STEMS))
+        self.rows.extend(own)
+        return at
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Term numbers of all texts, ascending within each, how often each occurs in its whole text, and the
         place of each text's first (and of the end)."""
         if len(self) >= MEMO_WORDS:
             self.clear()
-            self.rows = array("i")
-        words = [WORD.findall((t or "").lower()) for t in texts]
+        words = [Counter(words_of(t)) for t in texts]
         sizes = [len(w) for w in words]
         at = np.fromiter((self[w] for own in words for w in own), np.int64, sum(sizes))
-        terms = np.array(self.rows, np.int64).reshape(-1, 1 + len(STEMS))[at]
+        often = np.fromiter((n for own in words for n in own.values()), np.int64, sum(sizes))
+        terms = np.array(self.rows, np.int32).reshape(-1, 1 + len(STEMS))[at]
         own = np.repeat(np.arange(len(texts)), sizes)[:, None] * max(1, len(self.number)) + terms
-        found, counts = np.unique(own[terms >= 0], return_counts=True)
-        owner, numbers = np.divmod(found, max(1, len(self.number)))
+        there = terms >= 0
+        places, often = own[there], np.broadcast_to(often[:, None], terms.shape)[there]
+        most = int(often.max(initial=0)) + 1
+        if len(texts) * max(1, len(self.number)) * most < 1 << 62:  # place and number in one value: a sort of values is cheaper than one of places
+            places, often = np.divmod(np.sort(places * most + often), most)
+        else:
+            order = np.argsort(places, kind="stable")
+            places, often = places[order], often[order]
+        first = np.flatnonzero(np.append(True, places[1:] != places[:-1])) if len(places) else np.empty(0, np.int64)
+        counts = np.add.reduceat(often, first) if len(first) else often
+        owner, numbers = np.divmod(places[first], max(1, len(self.number)))
         return numbers, counts, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
@@ -96,7 +122,8 @@ class BlockMaxIndex:
     Terms that a tenth of the examples have are full rows, multiplied for many queries at once. Their sums are
     lower bounds of the scores; a block's largest sum plus the query's other weights times the block's maxima is its
     upper bound. Blocks are read in falling order of these until the next is below the k-th best score, so the k nearest
-    are exact. Of the other terms only the cells (term and block) that have postings are stored.
+    are exact: the first four, then all that can still hold one. Of terms in few blocks only the cells (term and block) that have postings are
+    stored; for the others a row of block maxima (rounded up, for bounds alone) and one of the blocks' places.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
@@ -115,12 +142,22 @@ class BlockMaxIndex:
         self.rows[self.row[term[full]], at[full]] = weight[full]
         term, at, weight = term[~full], at[~full], weight[~full]
         order = np.lexsort((at, term))
-        self.at, self.weight = at[order].astype(np.int32), weight[order]
+        self.at, self.weight = at[order], weight[order]
         cell, first = np.unique((term * self.n_blocks + at // BLOCK)[order], return_index=True)
         self.starts = np.append(first, len(order))
         self.block = (cell % self.n_blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.cells = np.searchsorted(cell, np.arange(n_terms + 1) * self.n_blocks)
+        wide = np.diff(self.cells) >= CELLS
+        self.wide = np.where(wide, np.cumsum(wide) - 1, -1)
+        own = np.repeat(wide, np.diff(self.cells))
+        row = np.repeat(self.wide, np.diff(self.cells))[own]
+        self.maxima = np.zeros((int(wide.sum()), self.n_blocks), np.float32)
+        self.maxima[row, self.block[own]] = np.nextafter(self.most[own].astype(np.float32), np.float32(np.inf))
+        size = np.zeros((len(self.maxima), self.n_blocks + 1), np.int32)
+        size[row, self.block[own] + 1] = np.diff(self.starts)[own]
+        size[:, 0] = self.starts[self.cells[:-1][wide]]
+        self.begins = np.cumsum(size, axis=1, dtype=np.int32)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (ties: lower number), and the cosines."""
@@ -145,25 +182,43 @@ class BlockMaxIndex:
             return np.empty(0, np.int64), np.empty(0)
         if hidden >= 0:
             scores[hidden] = 0
-        sizes = self.cells[terms + 1] - self.cells[terms]
-        cells, pull = spread(self.cells[terms], sizes), np.repeat(weights, sizes)
+        row = self.wide[terms]
+        wide, pull = row[row >= 0], weights[row >= 0]
+        few, little = terms[row < 0], weights[row < 0]
+        sizes = self.cells[few + 1] - self.cells[few]
+        cells, light = spread(self.cells[few], sizes), np.repeat(little, sizes)
         block = self.block[cells]
-        bound = np.maximum.reduceat(scores, np.arange(0, self.size, BLOCK)) + np.bincount(block, pull * self.most[cells], self.n_blocks)
+        bound = np.maximum.reduceat(scores, np.arange(0, self.size, BLOCK)) + np.bincount(block, light * self.most[cells], self.n_blocks)
+        bound += (pull.astype(np.float32) @ self.maxima[wide]) * (1 + 1e-4)  # more than single precision loses
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        read, step, least = 0, 4, np.partition(scores, -k)[-k] if self.size >= k else 0.0
-        while read < len(order) and bound[order[read]] >= least - 1e-12:
+        begins = self.begins[wide]
+
+        def read(blocks: np.ndarray) -> None:
             chosen = np.zeros(self.n_blocks, bool)
-            chosen[order[read:read + step]] = True
-            some = chosen[block]
-            own = cells[some]
-            sizes = self.starts[own + 1] - self.starts[own]
-            at = spread(self.starts[own], sizes)
-            scores += np.bincount(self.at[at], np.repeat(pull[some], sizes) * self.weight[at], self.size)
-            read, step = read + step, 2 * step
+            chosen[blocks] = True
+            if 2 * len(blocks) < self.n_blocks:  # cells, by term
+                some = chosen[block]
+                own = cells[some]
+                by_term = np.argsort(np.append(np.repeat(np.flatnonzero(row >= 0), len(blocks)), np.repeat(np.flatnonzero(row < 0), sizes)[some]), kind="stable")
+                first = np.append(begins[:, blocks], self.starts[own])[by_term]
+                stop = np.append(begins[:, blocks + 1], self.starts[own + 1])[by_term]
+                weight = np.append(np.repeat(pull, len(blocks)), light[some])[by_term]
+            else:  # whole terms, of which the other blocks' part goes
+                first, stop, weight = self.starts[self.cells[terms]], self.starts[self.cells[terms + 1]], weights
+            at = spread(first, stop - first)
+            more = np.bincount(self.at[at], np.repeat(weight, stop - first) * self.weight[at], self.size)
+            scores[:] += np.where(np.repeat(chosen, BLOCK)[:self.size], more, 0)
             if hidden >= 0:
                 scores[hidden] = 0
-            least = np.partition(scores, -k)[-k] if self.size >= k else 0.0
+
+        least = np.partition(scores, -k)[-k] if self.size >= k else 0.0
+        first, order = order[:4], order[4:]
+        for blocks in (first, None):
+            blocks = order[bound[order] >= least - 1e-12] if blocks is None else blocks[bound[blocks] >= least - 1e-12]
+            if len(blocks):
+                read(blocks)
+                least = np.partition(scores, -k)[-k] if self.size >= k else 0.0
         found = np.flatnonzero(scores >= least) if least > 0 else np.flatnonzero(scores)
         best = found[np.lexsort((self.number[found], -scores[found]))][:k]
         return self.number[best], np.minimum(scores[best], 1.0)
@@ -226,7 +281,7 @@ def example_terms(examples: DataFrame) -> pa.Array:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            words = set().union(*(WORD.findall((x or "").lower()) for x in part.column("text").to_pylist()))
+            words = set().union(*(words_of(x) for x in part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([pa.array(list({t for w in words for t in terms_of(w)}), pa.string())], schema=to_arrow_schema(schema))
 
     terms = examples.select("text").mapInArrow(run, schema).distinct().toArrow().column("term").combine_chunks()
@@ -323,6 +378,7 @@ def toxicity_scores(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        ids = pa.array(model.ids, out.field(0).type)
         for batch in batches:
             lists = batch.column("terms"), batch.column("counts")
             starts = np.asarray(lists[0].offsets) - lists[0].offsets[0].as_py()
@@ -331,11 +387,16 @@ def toxicity_scores(
             for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 own = terms[start:end].astype(np.int64)
                 queries.append((own, weigh(own, counts[start:end].astype(float), model.idf)))
-            scores, evidence = [], []
+            scores, near, likeness = [], [], []
             for raw, best, cosine in model.votes_of(queries):
                 scores.append(model.score(raw))
-                evidence.append([{"doc_id": model.ids[i], "cosine": c, "label": int(model.labels[i])} for i, c in zip(best.tolist(), cosine.tolist())])
-            columns = [batch.column("doc_id"), pa.array(scores), pa.array(evidence, out.field(2).type)]
+                near.append(best)
+                likeness.append(cosine)
+            at, ends = np.concatenate([*near, np.empty(0, np.int64)]), np.cumsum([0, *map(len, near)])
+            fields = [ids.take(pa.array(at)), pa.array(np.concatenate([*likeness, np.empty(0)])), pa.array(model.labels[at].astype(np.int32))]
+            inner = out.field(2).type.value_type
+            evidence = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([x.cast(f.type) for x, f in zip(fields, inner)], fields=list(inner)))
+            columns = [batch.column("doc_id"), pa.array(scores, pa.float64()), evidence]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
 
     return counted.mapInArrow(score, schema)

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kickwx.llm.language_id import features, fit, identify, marginals, train
 from kickwx.llm.queries import id_remainder, op7_toxicity, op10_language_id
-from kickwx.llm.toxicity import BlockMaxIndex, TermTable, class_examples, example_terms, toxicity_scores
+from kickwx.llm.toxicity import WORD, BlockMaxIndex, TermTable, class_examples, example_terms, terms_of, toxicity_scores, words_of
 from tests.llm.helpers import awkward, documents
 
 SF_LARGER = "/root/testdata/sf0.01"
@@ -100,6 +101,20 @@ def test_term_counts_cover_the_whole_text():
     assert [len(v) for v in table.counts([None, ""])] == [0, 0, 3] and not len(TermTable({}).counts(["a b"])[0])
 
 
+def test_term_counts_equal_a_plain_count():
+    rnd = random.Random(7)
+    texts = [None, "", "123 _ --", "Straße ÉCOLE idiots_x1y Idiot's", *(" ".join(rnd.choice(["Idiots", "idiom", "zz", "été", "a1b", "unknown"]) for _ in range(n)) for n in (1, 40, 900))]
+    assert all(words_of(t) == WORD.findall((t or "").lower()) for t in texts)
+    number = {t: i for i, t in enumerate(["idiots", "idio*", "idiot*", "zz", "été", "b"])}
+    table = TermTable(number)
+    for _ in range(2):  # also with the words known
+        numbers, counts, starts = table.counts(texts)
+        for i, text in enumerate(texts):
+            want = Counter(number[t] for w in WORD.findall((text or "").lower()) for t in terms_of(w) if t in number)
+            assert list(zip(numbers[starts[i]:starts[i + 1]].tolist(), counts[starts[i]:starts[i + 1]].tolist())) == sorted(want.items())
+    assert len(table.rows) == 3 * 7  # one row for all words without a term
+
+
 def test_toxicity_equals_a_plain_nearest_neighbour_search(spark):
     """Scores and evidence of all documents, against vectors as dictionaries and all cosines."""
     docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet")
