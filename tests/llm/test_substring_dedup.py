@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kickwx.llm.substring_dedup import compact_windows, matched_spans, rare_prefixes, repeated_passages, shingles, sliding_argmin
+from kickwx.llm.substring_dedup import compact_windows, coverable, earlier, matched_spans, rare_prefixes, repeated_passages, shingles, sliding_argmin
 from tests.llm.helpers import awkward, documents
 
 
@@ -174,3 +174,45 @@ def test_matched_spans_compare_edited_windows_in_line():
     mine, theirs = (np.concatenate((np.arange(60) + n, shared, np.arange(60) + n + 100)).astype(np.uint64) for n in (1000, 2000))
     found, failed = matched_spans(mine, theirs, [(50, 62, 59)], 46, 5, 0.8)  # 42 shingles of 46: 42 / 50
     assert len(found) == 1 and found[0][4] >= 0.8 and not failed
+
+
+def test_seeds_too_late_for_a_window_are_compared_within_the_texts():
+    mine = np.arange(1000, 1116, dtype=np.uint64)
+    assert matched_spans(mine, np.tile(mine[108:], 6), [(108, 112, 0)], 46, 5, 0.8) == ([], [(70, 70)])  # no eight shingles, as often as they come
+    theirs = np.concatenate((mine[70:115], np.arange(3000, 3010, dtype=np.uint64)))
+    found, failed = matched_spans(mine, theirs, [(108, 113, 38)], 46, 5, 0.8)
+    assert [(a, b, c, d) for a, b, c, d, _ in found] == [(70, 116, 0, 46)] and not failed  # 45 shingles of 46
+    assert matched_spans(mine[:20], theirs, [(3, 5, 0)], 46, 5, 0.8) == ([], [(3, 5)])
+
+
+def test_rest_compares_places_at_the_end_of_a_text(spark):
+    rnd, rows = random.Random(23), []
+    for place in range(4):
+        base = words(rnd, 50)
+        for i in range(40):  # similar to the template and to each other, but not enough; at the end of a text
+            own, at = list(base), rnd.randrange(5, 44)
+            own[at:at + 2] = [f"variant{i}", f"x{at}"]
+            rows.append((100 * place + i, " ".join(words(rnd, 20 * (i % 2)) + own + base[10:24] * (i % 3))))
+        edited = [*base[:2], "edited", *base[3:]]
+        rows += [(100 * place + 90 + i, " ".join(words(rnd, 20) + own)) for i, own in enumerate((base, edited))]
+    texts = dict(rows)
+    got = repeated_passages(documents(spark, rows)).collect()
+    for r in got:
+        assert r.similarity >= 0.8 and 50 <= r.n_words <= len(texts[r.doc_id].split()) - r.first_word and r.keep_first_word + r.keep_n_words <= len(texts[r.keep_id].split())
+    assert {(100 * place + 91, 100 * place + 90) for place in range(4)} <= {(r.doc_id, r.keep_id) for r in got}
+
+
+def test_coverable_holds_every_span_with_enough_distinct_hits():
+    rng = np.random.default_rng(2)
+    for n in range(150):
+        values = np.repeat(rng.integers(0, 30, 40), rng.integers(1, 1 + n % 5 + 1, 40))[:60]
+        hit, width = (rng.random(30) < 0.7)[values], int(rng.integers(2, 12))
+        got, want = coverable(hit, earlier(values), width, 0.8), np.zeros(len(values), bool)
+        for a in range(len(values)):
+            for b in range(a + width, len(values) + 1):
+                distinct = dict(zip(values[a:b].tolist(), hit[a:b].tolist()))
+                if sum(distinct.values()) >= 0.8 * len(distinct):
+                    want[a:b] = True
+        assert got[want].all()
+    noise = np.repeat(np.arange(20), 10)  # a long run alone is no passage
+    assert not coverable(noise == 3, earlier(noise), 46, 0.8).any()
