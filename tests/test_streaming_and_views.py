@@ -64,6 +64,20 @@ def test_stream_keeps_the_last_fetch_of_every_hour(spark, tmp_path):
     assert upsert_payloads(again.limit(0), out, str(tmp_path / "staging")).count() == 72
 
 
+def test_applied_payloads_leave_no_staged_rows_and_are_exchanged_once_with_the_table(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame, DataFrameWriter
+    writes, joins = [], []
+    plain_write, plain_join = DataFrameWriter.parquet, DataFrame.join
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (writes.append(path), plain_write(self, path, *a, **k))[1])
+    monkeypatch.setattr(DataFrame, "join", lambda self, *a, **k: (joins.append(a), plain_join(self, *a, **k))[1])
+    schema = StructType([*PAYLOAD_SCHEMA.fields, StructField("_ingestion_time", TimestampNTZType())])
+    out, staging = str(tmp_path / "weather"), tmp_path / "staging"
+    for day, extra, rain in ((5, 0.0, 7.0), (8, 100.0, 107.0), (6, 50.0, 107.0)):  # an older fetch comes last
+        table = upsert_payloads(spark.createDataFrame(loaded(payload_rows([1]), day, extra), schema), out, str(staging))
+        assert {r.timestamp_utc.hour: r.rain for r in table.collect()}[7] == rain and table.count() == 24
+    assert len(writes) == 6 and not joins and not staging.exists()  # of each batch its hours, and the folders they change
+
+
 SESSION = """
 import sys
 from pyspark.sql import SparkSession
