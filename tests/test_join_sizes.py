@@ -143,6 +143,18 @@ def test_refresh_and_upsert_do_not_broadcast_matches(spark, tables):
     assert some.fixtures.select("eventId").distinct().count() == 3
 
 
+def test_weather_of_a_batch_is_not_joined_before_it_meets_the_kickoffs(spark, tables):
+    from dataclasses import replace
+    from kickwx.plans.refresh import of_matches
+    from kickwx.plans.warehouse import MartsInSteps, bronze_from_tables
+    b, ids = bronze_from_tables(spark, tables), small(spark, 3, event_id="id")
+    some = of_matches(b, ids)
+    assert "Join" not in plan(some.weather)
+    exact = b.weather.join(ids, b.weather["eventId"].cast("long") == ids["event_id"], "left_semi")
+    got, want = (MartsInSteps(replace(some, weather=w), "guarded").stg_dim_weather.collect() for w in (some.weather, exact))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and got
+
+
 def test_weather_is_chosen_in_steps(spark, tables):
     """Irregular matches and picks are read back: the dimension's plan holds no as-of join, and its rows are those of one plan."""
     from kickwx.plans.warehouse import MartsInSteps, bronze_from_tables
